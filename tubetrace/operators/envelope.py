@@ -22,10 +22,15 @@ def drop_blank(messages: DataFrame) -> DataFrame:
     return messages.filter(~is_blank("value"))
 
 
-def _decoded(messages: DataFrame, kinds: tuple[Stage, ...]) -> DataFrame:
+def _decoded(messages: DataFrame, kinds: tuple[Stage, ...], *columns: str) -> DataFrame:
+    """Messages with the fields of their envelope.
+
+    The parsed message goes through ``inline``: filters on its fields then stay above
+    the parse. Pushed below, each would parse the text again.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return messages.withColumn(
-        "envelope", F.from_json(_one_spelling(F.col("value")), envelope_schema(*kinds), options))
+    parsed = F.from_json(_one_spelling(F.col("value")), envelope_schema(*kinds), options)
+    return messages.select("message_id", *columns, F.inline(F.array(parsed)))
 
 
 def _one_spelling(value: Column) -> Column:
@@ -35,11 +40,6 @@ def _one_spelling(value: Column) -> Column:
     return F.when(value.contains('"addtime"'), renamed).otherwise(value)
 
 
-def _envelope_columns() -> list[Column]:
-    return [F.col(f"envelope.{name}").try_cast(dtype).alias(name)
-            for name, dtype in ENVELOPE_FIELDS.items()]
-
-
 def parse_envelope(messages: DataFrame, *kinds: Stage, keep_raw: bool = False) -> DataFrame:
     """Parsed, well-formed messages with a non-blank type.
 
@@ -49,10 +49,11 @@ def parse_envelope(messages: DataFrame, *kinds: Stage, keep_raw: bool = False) -
     relevant = drop_blank(messages)
     if kinds:
         relevant = relevant.filter(_mentions_any(kinds))
-    parsed = _decoded(relevant, kinds)
-    parsed = parsed.filter(~is_blank("envelope.type") & F.col(f"envelope.{CORRUPT}").isNull())
     raw = ["value"] if keep_raw else []
-    return parsed.select("message_id", *raw, *_envelope_columns(), "envelope.data")
+    parsed = _decoded(relevant, kinds, *raw)
+    parsed = parsed.filter(~is_blank("type") & F.col(CORRUPT).isNull())
+    fields = [F.col(name).try_cast(dtype).alias(name) for name, dtype in ENVELOPE_FIELDS.items()]
+    return parsed.select("message_id", *raw, *fields, "data")
 
 
 def _mentions_any(kinds) -> Column:
@@ -68,11 +69,12 @@ def _mentions_any(kinds) -> Column:
 
 def quarantine_messages(messages: DataFrame, known_types=KNOWN_TYPES) -> DataFrame:
     """Messages that no job can use, with the reason; the complement of routing."""
-    parsed = _decoded(messages, (HOURLY,))
-    kind = F.col("envelope.type")
+    parsed = _decoded(messages, (HOURLY,), "value")
+    kind = F.col("type")
+    # a broken message is kept as text in the corrupt column; one that is no object at
+    # all leaves every field null
     reason = (F.when(is_blank("value"), F.lit("blank"))
-              .when(F.col("envelope").isNull() | F.col(f"envelope.{CORRUPT}").isNotNull(),
-                    F.lit("malformed"))
+              .when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
               .when(is_blank(kind), F.lit("missing_type"))
               .when(~kind.isin(*known_types) & (F.upper(kind) != HOURLY.types[0]),
                     F.lit("unknown_type")))

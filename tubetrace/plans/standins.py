@@ -191,6 +191,12 @@ def _message(kind: Column, user: Column, client: Column, number: Column, receive
         dropped.alias("dropDataNum"), data.alias("data")))
 
 
+def _as_source(value: Column) -> Column:
+    # a message arrives as a plain column; an expression would be repeated by every
+    # filter that looks at it
+    return F.explode(F.array(value)).alias("value")
+
+
 def _event_element(kind: Column, extra: int) -> Column:
     """Element of an event message; only the fields of its kind are set."""
     event, user, k = F.col("event_id"), F.col("user_id"), F.col("k") + extra
@@ -236,9 +242,9 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.array(_event_element(F.col("kind"), 0), _event_element(F.col("kind"), 1))
     return rows.select(
         text("event_id").alias("message_id"),
-        _message(F.col("kind"), F.concat(F.lit("u"), text(F.col("user_id") % 7)),
-                 F.col("user_id") % 25, text("event_id"), format_time("recTs"),
-                 F.col("event_id") % 3, data).alias("value"))
+        _as_source(_message(F.col("kind"), F.concat(F.lit("u"), text(F.col("user_id") % 7)),
+                            F.col("user_id") % 25, text("event_id"), format_time("recTs"),
+                            F.col("event_id") % 3, data)))
 
 
 def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +253,7 @@ def damaged_event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.when(n == 0, F.expr("substring(value, 1, 40)")).when(n == 1, F.lit("  "))
              .when(n == 2, F.regexp_replace("value", '"type":"[A-Z_]+",', ""))
              .when(n == 3, F.lit("not json")).otherwise(F.col("value")))
-    return event_messages(spark, sf_dir).withColumn("value", value)
+    return event_messages(spark, sf_dir).select("message_id", _as_source(value))
 
 
 def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,8 +278,9 @@ def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(conv % 13 == 6, F.lit("OTHER_DATA")).otherwise(F.lit("COLLECT_DATA"))
     return batches.select(
         F.concat_ws("-", text("conv_id"), text("batch")).alias("message_id"),
-        _message(kind, F.concat(F.lit("u"), text(conv % 7)), conv % 25, text("conv_id"),
-                 F.lit("2024-01-31 23:50:00"), conv % 3, F.col("data")).alias("value"))
+        _as_source(_message(kind, F.concat(F.lit("u"), text(conv % 7)), conv % 25,
+                            text("conv_id"), F.lit("2024-01-31 23:50:00"), conv % 3,
+                            F.col("data"))))
 
 
 def hourly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,6 +298,6 @@ def hourly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = F.when(key % 2 == 0, F.lit("HOUR_SUM_REPORT")).otherwise(F.lit("hour_sum_report"))
     return o.select(
         text("o_orderkey").alias("message_id"),
-        _message(tag, F.lit("loader"), key % 25, text("o_orderkey"),
-                 format_time(F.col("o_orderdate").cast("timestamp")), F.lit(0),
-                 F.array(element)).alias("value"))
+        _as_source(_message(tag, F.lit("loader"), key % 25, text("o_orderkey"),
+                            format_time(F.col("o_orderdate").cast("timestamp")), F.lit(0),
+                            F.array(element))))
