@@ -15,13 +15,17 @@ from .scan import CHUNK, ordered_scan, range_chunks
 CANDIDATE_COLUMNS = ("rule_code", "problem_type", "TYPE", "is_valid")
 
 
-def validate(df: DataFrame, rules, now: Column, secret=None) -> DataFrame:
-    """One row per record and rule with an outcome: ``is_valid`` 0 (error) or 1."""
+def validate(df: DataFrame, rules, now: Column, secret=None, only: int | None = None) -> DataFrame:
+    """One row per record and rule with an outcome: ``is_valid`` 0 (error) or 1.
+
+    ``only`` keeps one kind of outcome, before any row is made of the others.
+    """
     candidates = F.array(*[
         F.struct(F.lit(r.code).alias("rule_code"), F.lit(r.problem_type).alias("problem_type"),
                  F.lit(r.kind).alias("TYPE"), r.outcome(now).alias("is_valid"))
         for r in rules])
-    known = F.filter(candidates, lambda c: c["is_valid"].isNotNull())
+    known = F.filter(candidates, lambda c: c["is_valid"].isNotNull() if only is None
+                     else c["is_valid"] == only)
     rows = with_plain_text(df, secret).select(
         *df.columns, F.explode(known).alias("_candidate"))
     return rows.select(*df.columns, "_candidate.*")
@@ -60,8 +64,8 @@ def tube_records(tubes: DataFrame) -> DataFrame:
     return tubes.filter(~is_blank("matchReceiveTime"))
 
 
-def validate_tubes(tubes: DataFrame, now: Column, secret=None) -> DataFrame:
-    return validate(tube_records(tubes), TUBE_RULES, now, secret)
+def validate_tubes(tubes: DataFrame, now: Column, secret=None, only=None) -> DataFrame:
+    return validate(tube_records(tubes), TUBE_RULES, now, secret, only)
 
 
 # fields of a stage record that go into its issue rows
@@ -169,6 +173,13 @@ def tracked_issues(issues: DataFrame, stored: DataFrame | None = None, reopen: b
     is replayed as an earlier candidate, so a batch continues where the last one ended.
     """
     order = [c for c in ("recTs", "message_id", "pos", "itemPos") if c in issues.columns]
+    # most passes concern keys that never had an error; they go before the ordered scan
+    failed = issues.filter("is_valid = 0")
+    keys = failed.select("issue_key")
+    if stored is not None:
+        keys = keys.unionByName(stored.filter("is_open").select("issue_key"))
+    passed = issues.filter("is_valid = 1").join(keys.distinct(), "issue_key", "left_semi")
+    issues = failed.unionByName(passed)
     rows = issues.withColumn("_stored", F.lit(False))
     if stored is not None:
         past = stored.join(issues.select("issue_key").distinct(), "issue_key", "left_semi")

@@ -4,8 +4,12 @@ Three tables, each with one row per key:
   person    (personIdCard, tubeCode) -> collectTime, checkTime
   tube      tubeCode                 -> tubeCollectTime, collectSubmitId
   delivery  deliveryCode             -> deliveryTime, tubeNum, packNum, receiveTime
-They are built by partial aggregation (last write wins per column) and joined, so a
-lookup of any number of records costs one shuffle rather than a read per record.
+(times also as timestamps: collectTs, checkTs and so on). They are built by partial
+aggregation (last write wins per column) and joined, so a lookup of any number of
+records costs one shuffle rather than a read per record.
+
+All aggregates work on fixed-width values: Spark then aggregates by hash and does not
+sort the rows by key first, which strings or structs in the buffer would force.
 """
 
 from __future__ import annotations
@@ -14,55 +18,77 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import is_blank
-from ..functions.times import parse_time
+from ..functions.times import format_time
+from ..schemas import time_column
 from .joins import keyed_left_join
 
 PERSON_KEY = ("personIdCard", "tubeCode")
 TUBE_KEY = ("tubeCode",)
 DELIVERY_KEY = ("deliveryCode",)
+ORDER = ("recTs", "message_id", "pos")
+
+
+def arrival_order(order=ORDER) -> Column:
+    """Place of a row in time as one number: seconds, then a hash of what is left.
 
+    Rows of one second come in a fixed though arbitrary order.
+    """
+    first, *rest = order
+    seconds = F.unix_seconds(first)
+    if not rest:
+        return seconds
+    tie = F.xxhash64(*rest).bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.shiftleft(seconds, 32).bitwiseOR(tie)
 
-def _latest(column: str, order) -> Column:
-    place = F.when(F.col(column).isNotNull(), F.struct(*order))
-    return F.max_by(column, place).alias(column)
 
+def _latest(column: str) -> Column:
+    return F.max_by(column, F.when(F.col(column).isNotNull(), F.col("_place"))).alias(column)
 
-def _latest_per_key(rows: DataFrame, keys, columns, order) -> DataFrame:
+
+def _latest_per_key(rows: DataFrame, keys, columns) -> DataFrame:
     present = rows.dropna(subset=list(keys))
-    return present.groupBy(*keys).agg(*[_latest(c, order) for c in columns])
+    return present.groupBy(*keys).agg(*[_latest(c) for c in columns])
+
+
+def _with_text(table: DataFrame, *times: str) -> DataFrame:
+    return table.withColumns({t: format_time(time_column(t)) for t in times})
 
 
-def person_relation(collect: DataFrame, report: DataFrame, order=("recTs", "message_id", "pos")):
+def person_relation(collect: DataFrame, report: DataFrame, order=ORDER) -> DataFrame:
     """Latest collect and check time of each person and tube."""
-    nothing = F.lit(None).cast("string")
-    rows = collect.select(*PERSON_KEY, "collectTime", nothing.alias("checkTime"), *order)
+    nothing = F.lit(None).cast("timestamp")
+    place = arrival_order(order).alias("_place")
+    rows = collect.select(*PERSON_KEY, "collectTs", nothing.alias("checkTs"), place)
     rows = rows.unionByName(
-        report.select(*PERSON_KEY, nothing.alias("collectTime"), "checkTime", *order))
-    return _latest_per_key(rows, PERSON_KEY, ("collectTime", "checkTime"), order)
+        report.select(*PERSON_KEY, nothing.alias("collectTs"), "checkTs", place))
+    table = _latest_per_key(rows, PERSON_KEY, ("collectTs", "checkTs"))
+    return _with_text(table, "collectTime", "checkTime")
 
 
-def tube_relation(collect: DataFrame, order=("recTs", "message_id", "pos")) -> DataFrame:
+def tube_relation(collect: DataFrame, order=ORDER) -> DataFrame:
     """Latest collect time and submission of each tube."""
-    rows = collect.select(
-        *TUBE_KEY, F.col("collectTime").alias("tubeCollectTime"),
-        F.col("submitId").cast("string").alias("collectSubmitId"), *order)
-    return _latest_per_key(rows, TUBE_KEY, ("tubeCollectTime", "collectSubmitId"), order)
+    rows = collect.select(*TUBE_KEY, F.col("collectTs").alias("tubeCollectTs"),
+                          F.col("submitId").alias("collectSubmitId"),
+                          arrival_order(order).alias("_place"))
+    table = _latest_per_key(rows, TUBE_KEY, ("tubeCollectTs", "collectSubmitId"))
+    return _with_text(table, "tubeCollectTime").withColumn(
+        "collectSubmitId", F.col("collectSubmitId").cast("string"))
 
 
-def delivery_relation(transport: DataFrame, receive: DataFrame,
-                      order=("recTs", "message_id", "pos")) -> DataFrame:
+def delivery_relation(transport: DataFrame, receive: DataFrame, order=ORDER) -> DataFrame:
     """Latest transport and receive facts of each delivery."""
-    nothing = F.lit(None)
+    nothing, place = F.lit(None), arrival_order(order).alias("_place")
     sent = transport.select(
-        *DELIVERY_KEY, "deliveryTime", F.col("tubeNum").cast("int").alias("tubeNum"),
+        *DELIVERY_KEY, "deliveryTs", F.col("tubeNum").cast("int").alias("tubeNum"),
         F.col("packNum").cast("int").alias("packNum"),
-        nothing.cast("string").alias("receiveTime"), *order)
+        nothing.cast("timestamp").alias("receiveTs"), place)
     got = receive.select(
-        *DELIVERY_KEY, nothing.cast("string").alias("deliveryTime"),
+        *DELIVERY_KEY, nothing.cast("timestamp").alias("deliveryTs"),
         nothing.cast("int").alias("tubeNum"), nothing.cast("int").alias("packNum"),
-        "receiveTime", *order)
-    return _latest_per_key(sent.unionByName(got), DELIVERY_KEY,
-                           ("deliveryTime", "tubeNum", "packNum", "receiveTime"), order)
+        "receiveTs", place)
+    table = _latest_per_key(sent.unionByName(got), DELIVERY_KEY,
+                            ("deliveryTs", "tubeNum", "packNum", "receiveTs"))
+    return _with_text(table, "deliveryTime", "receiveTime")
 
 
 def merge_relation(stored: DataFrame | None, fresh: DataFrame, keys) -> DataFrame:
@@ -81,35 +107,32 @@ def _prefixed(table: DataFrame, keys, columns: dict[str, str]) -> DataFrame:
 
 def match_collect_report(collect: DataFrame, person: DataFrame) -> DataFrame:
     """Collect records with the check time of their report (``matchCheckTime``)."""
-    table = _prefixed(person.filter(~is_blank("checkTime")), PERSON_KEY,
-                      {"checkTime": "matchCheckTime"})
-    return (keyed_left_join(collect, table, PERSON_KEY)
-            .withColumn("matchCheckTs", parse_time("matchCheckTime")))
+    table = _prefixed(person.filter(F.col("checkTs").isNotNull()), PERSON_KEY,
+                      {"checkTime": "matchCheckTime", "checkTs": "matchCheckTs"})
+    return keyed_left_join(collect, table, PERSON_KEY)
 
 
 def match_report_collect(report: DataFrame, person: DataFrame) -> DataFrame:
     """Report records with the collect time on record (``matchCollectTime``)."""
-    table = _prefixed(person.filter(~is_blank("collectTime")), PERSON_KEY,
+    table = _prefixed(person.filter(F.col("collectTs").isNotNull()), PERSON_KEY,
                       {"collectTime": "matchCollectTime"})
     return keyed_left_join(report, table, PERSON_KEY)
 
 
 def match_receive_transport(receive: DataFrame, delivery: DataFrame) -> DataFrame:
     """Receive records with what the transport record of the delivery says."""
-    table = _prefixed(delivery.filter(F.coalesce("deliveryTime", F.col("tubeNum").cast("string"),
-                                                 F.col("packNum").cast("string")).isNotNull()),
-                      DELIVERY_KEY, {"deliveryTime": "matchDeliveryTime",
-                                     "tubeNum": "matchTubeNum", "packNum": "matchPackNum"})
-    return (keyed_left_join(receive, table, DELIVERY_KEY)
-            .withColumn("matchDeliveryTs", parse_time("matchDeliveryTime")))
+    sent = delivery.filter("deliveryTs is not null or tubeNum is not null or packNum is not null")
+    table = _prefixed(sent, DELIVERY_KEY, {
+        "deliveryTime": "matchDeliveryTime", "deliveryTs": "matchDeliveryTs",
+        "tubeNum": "matchTubeNum", "packNum": "matchPackNum"})
+    return keyed_left_join(receive, table, DELIVERY_KEY)
 
 
 def match_transport_receive(transport: DataFrame, delivery: DataFrame) -> DataFrame:
     """Transport records with the receive time of the delivery."""
-    table = _prefixed(delivery.filter(~is_blank("receiveTime")), DELIVERY_KEY,
-                      {"receiveTime": "matchReceiveTime"})
-    return (keyed_left_join(transport, table, DELIVERY_KEY)
-            .withColumn("matchReceiveTs", parse_time("matchReceiveTime")))
+    table = _prefixed(delivery.filter(F.col("receiveTs").isNotNull()), DELIVERY_KEY,
+                      {"receiveTime": "matchReceiveTime", "receiveTs": "matchReceiveTs"})
+    return keyed_left_join(transport, table, DELIVERY_KEY)
 
 
 def match_tubes_collect(transport: DataFrame, tubes: DataFrame,
@@ -118,9 +141,8 @@ def match_tubes_collect(transport: DataFrame, tubes: DataFrame,
     exploded = transport.select(*[c for c in transport.columns if c != items],
                                 F.posexplode(items).alias("itemPos", "_item"))
     exploded = exploded.withColumn("tubeCode", F.col("_item.tubeCode")).drop("_item")
-    found = tubes.filter(~is_blank("tubeCollectTime") & ~is_blank("collectSubmitId"))
-    return (keyed_left_join(exploded, found, TUBE_KEY)
-            .withColumn("tubeCollectTs", parse_time("tubeCollectTime")))
+    found = tubes.filter("tubeCollectTs is not null and collectSubmitId is not null")
+    return keyed_left_join(exploded, found, TUBE_KEY)
 
 
 def with_collected_flag(report: DataFrame, collected: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ with {PERSON}
 select person as "personIdCard", tube as "tubeCode", collect_time as "collectTime",
        check_time as "checkTime" from person_rel""")
 def relation_store_person(spark, sf_dir):
-    return S.person_table(spark, sf_dir)
+    return S.person_table(spark, sf_dir).select(
+        "personIdCard", "tubeCode", "collectTime", "checkTime")
 
 
 @query("relation_store_tube", f"""
@@ -37,7 +38,7 @@ with {COL}
 select tube as "tubeCode", collect_time as "tubeCollectTime", tube as "collectSubmitId"
 from col""")
 def relation_store_tube(spark, sf_dir):
-    return S.tube_table(spark, sf_dir)
+    return S.tube_table(spark, sf_dir).select("tubeCode", "tubeCollectTime", "collectSubmitId")
 
 
 @query("relation_store_delivery", f"""
@@ -47,7 +48,8 @@ select tra.code as "deliveryCode", strftime(delivery_ts, {TEXT}) as "deliveryTim
        strftime(receive_ts, {TEXT}) as "receiveTime"
 from tra left join rec on tra.code = rec.code""")
 def relation_store_delivery(spark, sf_dir):
-    return S.delivery_table(spark, sf_dir)
+    return S.delivery_table(spark, sf_dir).select(
+        "deliveryCode", "deliveryTime", "tubeNum", "packNum", "receiveTime")
 
 
 # --- matches ---------------------------------------------------------------------------
@@ -294,10 +296,12 @@ transport_issues as (
 """
 
 
-def _transport_candidates(spark, sf_dir):
+def _transport_candidates(spark, sf_dir, only=None):
     matched = _checked(spark, sf_dir, "transport")
-    records = I.validate(matched, _RULES["transport"], now())
-    tubes = I.validate_tubes(R.match_tubes_collect(matched, S.tube_table(spark, sf_dir)), now())
+    records = I.validate(matched, _RULES["transport"], now(), only=only)
+    received = I.tube_records(matched)
+    tubes = I.validate_tubes(R.match_tubes_collect(received, S.tube_table(spark, sf_dir)), now(),
+                             only=only)
     return records, tubes
 
 
@@ -375,17 +379,15 @@ issues as (
   from receive_issues)"""
 
 
-def _issues(spark, sf_dir):
-    records, tubes = _transport_candidates(spark, sf_dir)
-    parts = [
-        I.issue_events(I.validate(_checked(spark, sf_dir, "collect"), _RULES["collect"], now()),
-                       1, now()),
-        I.issue_events(I.validate(_checked(spark, sf_dir, "report"), _RULES["report"], now()),
-                       4, now()),
+def _issues(spark, sf_dir, only=None):
+    def found(stage):
+        return I.validate(_checked(spark, sf_dir, stage), _RULES[stage], now(), only=only)
+
+    records, tubes = _transport_candidates(spark, sf_dir, only)
+    return I.base_issues(
+        I.issue_events(found("collect"), 1, now()), I.issue_events(found("report"), 4, now()),
         I.issue_events(records, 2, now()), I.issue_events(tubes, 2, now()),
-        I.issue_events(I.validate(_checked(spark, sf_dir, "receive"), _RULES["receive"], now()),
-                       3, now())]
-    return I.base_issues(*parts)
+        I.issue_events(found("receive"), 3, now()))
 
 
 @query("issue_events", f"""
@@ -394,7 +396,7 @@ select source, area_id, submit_id, kind as "TYPE", problem_type, rule_code as pr
        is_valid, 0 as is_delete, 'loader' as create_by, '{S.ORDERS_NOW}' as create_time
 from issues where is_valid = 0""")
 def issue_events(spark, sf_dir):
-    return _issues(spark, sf_dir).filter("is_valid = 0").select(
+    return _issues(spark, sf_dir, only=0).select(
         "source", "area_id", "submit_id", "TYPE", "problem_type", "problem_record", "is_valid",
         "is_delete", "create_by", "create_time")
 

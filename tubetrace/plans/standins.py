@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.times import format_time
 from ..operators import relations
+from ..operators.repartition import rebalance
 
 EVENT_TYPES = {"collect": "signup", "transport": "click", "receive": "purchase",
                "report": "error"}
@@ -22,8 +24,15 @@ ORDERS_NOW = "2002-01-01 00:00:00"
 TURNS_PER_MESSAGE = 16
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from the files once, not on every use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def at(text: str) -> Column:
@@ -101,8 +110,8 @@ def report_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as report records, with the collect facts of their order."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    lines = rebalance(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"))
     # one row per order at most: the join cannot multiply lines
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
     collected, checked = F.col("o_orderdate").cast("timestamp"), F.col("l_shipdate").cast("timestamp")
@@ -232,7 +241,8 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     for event_type, tag in MESSAGE_TYPES.items():
         kind = F.when(F.col("event_type") == event_type, F.lit(tag)).otherwise(kind)
     received = F.date_trunc("second", F.col("ts").cast("timestamp"))
-    rows = table(spark, sf_dir, "events").select(
+    events = rebalance(table(spark, sf_dir, "events"))
+    rows = events.select(
         "event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         received.alias("recTs"), kind.alias("kind"),
         F.timestamp_add("MINUTE", -F.floor("value").cast("int"), received).alias("stageTs"))
@@ -285,7 +295,7 @@ def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One hourly summary message per order."""
-    o = table(spark, sf_dir, "orders")
+    o = rebalance(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     key = F.col("o_orderkey")
     element = F.struct(
         (F.col("o_custkey") % 10).alias("areaId"),

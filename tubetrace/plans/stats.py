@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import union_id
-from ..functions.times import (day_of, hour_label, millis_between, truncated_mean, whole_hours,
-                               whole_minutes)
+from ..functions.times import (day_of, format_time, hour_label, millis_between, truncated_mean,
+                               whole_hours, whole_minutes)
 from ..operators.windows import WindowStat, windowed_stats
 from ..schemas import STAGES, time_column
 
@@ -23,7 +23,9 @@ STAT_WINDOW = "3 minutes"
 DELAY_WINDOW = "10 minutes"
 PERSON_WINDOW = "1 second"
 
-RECEIVED = "interfaceRecTime"
+# the latest receipt is found on the timestamp and written as text afterwards: a string
+# in the buffer would make Spark sort the rows instead of hashing them
+RECEIVED = "recTs"
 
 
 def count_rows() -> Column:
@@ -35,6 +37,10 @@ def union_stages(*stats: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, stats)
 
 
+def _texts(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: format_time(c) for c in columns})
+
+
 def _person_collected() -> Column:
     return F.concat("collectTime", "personIdCard")
 
@@ -50,6 +56,7 @@ CITY_SUMS = ("success_number", "tube_number", "problem_number", "problem_error",
 
 
 def _city_row(stat: DataFrame, source: int) -> DataFrame:
+    stat = _texts(stat, "upload_time")
     present = set(stat.columns)
     for name in ("collect_location_city", "collect_location_district"):
         if name not in present:
@@ -137,7 +144,7 @@ def org_stat(rows: DataFrame, stage: str, time="recTs", aggregate=windowed_stats
         distinct={"success_number": _person_collected(), "tube_number": F.col("tubeCode")}
         if by_person else {},
         maxima={"upload_time": F.col(RECEIVED), "create_by": F.col("userName")})
-    out = aggregate(rows, time, stat)
+    out = _texts(aggregate(rows, time, stat), "upload_time")
     for name, column in fields.items():
         if not column:
             out = out.withColumn(name, F.lit(""))
@@ -170,7 +177,7 @@ def report_delay(rows: DataFrame, stage: str, time="recTs", now: Column | None =
         sums={"delay_sum": whole_minutes(moment, until), "delay_count": count_rows()},
         maxima={"create_time": F.col(RECEIVED)})
     key = union_id("area_id", F.lit(source), "client_id", "data_delay_time")
-    return (aggregate(rows, time, stat)
+    return (_texts(aggregate(rows, time, stat), "create_time")
             .withColumns({"source": F.lit(str(source)), "union_id": key}).select(*DELAY_COLUMNS))
 
 
@@ -187,10 +194,12 @@ def stage_delay(rows: DataFrame, stage: str, time="recTs", day_chars: int = 10,
     minutes = whole_minutes(time_column(spec.section_time), "recTs")
     stat = WindowStat(
         DELAY_WINDOW,
-        keys={"area_id": F.col("areaId"), "_day": F.substring(RECEIVED, 1, day_chars)},
+        keys={"area_id": F.col("areaId"), "_day": F.substring("interfaceRecTime", 1, day_chars)},
         sums={"_minutes": minutes, "_known": minutes.isNotNull().cast("int")},
-        maxima={"_stage_time": F.col(spec.section_time), "create_time": F.col(RECEIVED)})
-    return aggregate(rows, time, stat).select(
+        maxima={"_stage_time": F.col(time_column(spec.section_time)),
+                "create_time": F.col(RECEIVED)})
+    out = _texts(aggregate(rows, time, stat), "_stage_time", "create_time")
+    return out.select(
         "area_id", F.lit(spec.source).alias("source"), day_of("_stage_time").alias("day_date"),
         F.hour("window_start").alias("unit_hour"), F.minute("window_start").alias("unit_minute"),
         truncated_mean("_minutes", "_known").alias("delay_avg"), "create_time")
@@ -216,7 +225,7 @@ def hour_persons(rows: DataFrame, stage: str, time="recTs", aggregate=windowed_s
         keys={"area_id": F.col("areaId"), "unit_hour": F.hour("collectTs")},
         sums={everyone: count_rows()}, distinct={persons: person},
         maxima={"create_time": F.col(RECEIVED)})
-    out = aggregate(rows, time, stat)
+    out = _texts(aggregate(rows, time, stat), "create_time")
     for name in HOUR_SUMS:
         if name not in (persons, everyone):
             out = out.withColumn(name, F.lit(0).cast("bigint"))
@@ -245,7 +254,7 @@ def today_stat(rows: DataFrame, stage: str, time="recTs", aggregate=windowed_sta
         if by_person else {},
         maxima={"upload_time": F.col(RECEIVED), "create_by": F.col("userName"),
                 "drop_data_num": F.col("dropDataNum")})
-    out = aggregate(rows, time, stat)
+    out = _texts(aggregate(rows, time, stat), "upload_time")
     zero = F.lit(0).cast("bigint")
     if not by_person:
         out = out.withColumn("fail_number", zero)
@@ -267,7 +276,7 @@ def _gap(rows, time, aggregate, extra):
         sums={"check_persons": F.col("personId").isNotNull().cast("int"), **extra},
         maxima={"create_time": F.col(RECEIVED)})
     key = union_id("area_id", day_of("create_time"), "unit_hour")
-    return aggregate(rows, time, stat).withColumn("union_id", key)
+    return _texts(aggregate(rows, time, stat), "create_time").withColumn("union_id", key)
 
 
 def gap_histogram(rows: DataFrame, time="recTs", aggregate=windowed_stats) -> DataFrame:
