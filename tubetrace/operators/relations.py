@@ -92,13 +92,17 @@ def delivery_relation(transport: DataFrame, receive: DataFrame, order=ORDER) ->
 
 
 def merge_relation(stored: DataFrame | None, fresh: DataFrame, keys) -> DataFrame:
-    """Stored table updated by a later batch, column by column."""
+    """Rows of a later batch completed by what is stored, column by column.
+
+    Only the keys of the batch come back: written to a keyed table, they replace the
+    stored rows of these keys and leave all others alone.
+    """
     if stored is None:
         return fresh
     values = [c for c in fresh.columns if c not in keys]
-    new = fresh.withColumnsRenamed({c: f"_n_{c}" for c in values})
-    joined = stored.join(new, list(keys), "full_outer")
-    return joined.select(*keys, *[F.coalesce(f"_n_{c}", c).alias(c) for c in values])
+    old = stored.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in values])
+    joined = fresh.join(old, list(keys), "left")
+    return joined.select(*keys, *[F.coalesce(c, f"_o_{c}").alias(c) for c in values])
 
 
 def _prefixed(table: DataFrame, keys, columns: dict[str, str]) -> DataFrame:

@@ -35,6 +35,18 @@ def accumulated(df: DataFrame, keys, order, sums=(), firsts=(), lasts=()) -> Dat
         *[F.max_by(c, place).alias(c) for c in lasts])
 
 
+def add_to_stored(stored: DataFrame | None, fresh: DataFrame, keys, sums, firsts=()) -> DataFrame:
+    """Totals of a batch added to the stored totals; only the keys of the batch come back."""
+    if stored is None:
+        return fresh
+    old = stored.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in (*sums, *firsts)])
+    joined = fresh.join(old, list(keys), "left")
+    return joined.withColumns({
+        **{c: F.col(c) + F.coalesce(f"_o_{c}", F.lit(0)) for c in sums},
+        **{c: F.coalesce(f"_o_{c}", c) for c in firsts},
+    }).select(*fresh.columns)
+
+
 def upsert_latest(changelog: DataFrame, keys, order) -> DataFrame:
     """The table a primary-key sink holds after all rows: the last row of each key."""
     keys = list(keys)

@@ -66,23 +66,22 @@ def stream_windowed_stats(df: DataFrame, time_column: str, stat: WindowStat,
     the default.
     """
     delay = delay or stat.size
-    rows = df.filter(F.col(time_column).isNotNull()).withWatermark(time_column, delay)
-    rows = rows.withColumns({f"_k_{n}": e for n, e in stat.keys.items()})
     identity = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in row_id])
     row_record = F.struct(F.lit("").alias("metric"), identity.alias("v"))
     records = [row_record] + [
         F.struct(F.lit(n).alias("metric"), e.cast("string").alias("v"))
         for n, e in stat.distinct.items()]
     is_row = F.col("metric") == ""
-    expanded = (rows
-                .withColumns({f"_s_{n}": e for n, e in stat.sums.items()})
-                .withColumns({f"_m_{n}": e for n, e in stat.maxima.items()})
-                .withColumn("_record", F.explode(F.array(*records)))
-                .withColumn("_start", F.window(time_column, stat.size)["start"])
-                .select(F.col(time_column).alias("_time"), "_start", "_record.*",
-                        *[f"_k_{n}" for n in stat.keys],
-                        *[f"_s_{n}" for n in stat.sums], *[f"_m_{n}" for n in stat.maxima])
-                .filter(F.col("v").isNotNull()))
+    # everything is computed before the watermark is set: a copy of the time column made
+    # afterwards would count as a second event time
+    expanded = df.filter(F.col(time_column).isNotNull()).select(
+        F.col(time_column).alias("_time"),
+        F.window(time_column, stat.size)["start"].alias("_start"),
+        *[e.alias(f"_k_{n}") for n, e in stat.keys.items()],
+        *[e.alias(f"_s_{n}") for n, e in stat.sums.items()],
+        *[e.alias(f"_m_{n}") for n, e in stat.maxima.items()],
+        F.inline(F.array(*records)))
+    expanded = expanded.filter(F.col("v").isNotNull()).withWatermark("_time", delay)
     unique = expanded.dropDuplicatesWithinWatermark(
         ["_start", "metric", "v", *[f"_k_{n}" for n in stat.keys]])
     grouped = (unique.groupBy(F.window("_time", stat.size),
