@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash_id, union_id
 from ..functions.predicates import is_blank
 from ..functions.times import day_of, format_time
+from ..session import ensure_checkpoint_dir
 from .rules import BAD_DATA, MISSING_STAGE, TUBE_RULES, with_plain_text
 from .running import running_accumulate
 from .scan import CHUNK, ordered_scan, range_chunks
 
-CANDIDATE_COLUMNS = ("rule_code", "problem_type", "TYPE", "is_valid")
-
-
 def validate(df: DataFrame, rules, now: Column, secret=None, only: int | None = None) -> DataFrame:
     """One row per record and rule with an outcome: ``is_valid`` 0 (error) or 1.
 
@@ -22,7 +20,7 @@ def validate(df: DataFrame, rules, now: Column, secret=None, only: int | None =
     """
     candidates = F.array(*[
         F.struct(F.lit(r.code).alias("rule_code"), F.lit(r.problem_type).alias("problem_type"),
-                 F.lit(r.kind).alias("TYPE"), r.outcome(now).alias("is_valid"))
+                 F.lit(r.kind).alias("issue_kind"), r.outcome(now).alias("is_valid"))
         for r in rules])
     known = F.filter(candidates, lambda c: c["is_valid"].isNotNull() if only is None
                      else c["is_valid"] == only)
@@ -107,7 +105,8 @@ def issue_events(candidates: DataFrame, source: int, now: Column) -> DataFrame:
         hash_id("ISSUE", union_id(key, *place)).alias("id"),
         add_time.alias("add_time"), F.col("areaId").alias("area_id"),
         F.lit(source).alias("source"), F.col("submitId").alias("submit_id"),
-        F.col("numberReport").alias("number_report"), "TYPE", "problem_type",
+        F.col("numberReport").alias("number_report"), F.col("issue_kind").alias("TYPE"),
+        "problem_type",
         F.col("rule_code").alias("problem_record"), F.lit(0).alias("is_delete"), "is_valid",
         F.col("userName").alias("create_by"), stamp.alias("create_time"),
         F.col("userName").alias("update_by"), stamp.alias("update_time"),
@@ -165,33 +164,35 @@ def issue_lifecycle(candidates: DataFrame, key, order, is_error: Column, opened_
                      CHUNK)
 
 
-def tracked_issues(issues: DataFrame, stored: DataFrame | None = None, reopen: bool = True,
-                   hot_keys: bool = True) -> tuple[DataFrame, DataFrame]:
+def tracked_issues(failed: DataFrame, passed: DataFrame, stored: DataFrame | None = None,
+                   reopen: bool = True, hot_keys: bool = True) -> tuple[DataFrame, DataFrame]:
     """Issue rows to emit and the new state of the issue store.
 
-    ``stored`` holds one row per known key (``issue_key, id, add_time, is_open``). Each
-    is replayed as an earlier candidate, so a batch continues where the last one ended.
+    ``failed`` and ``passed`` are the issue rows of errors and passes. ``stored`` holds
+    one row per known key (``issue_key, id, add_time, is_open``). Each is replayed as an
+    earlier candidate, so a batch continues where the last one ended.
+
+    Most passes concern keys that never had an error; they are dropped before anything
+    is ordered. The rest is checkpointed, so that each rule runs once per record however
+    often the result is read.
     """
-    order = [c for c in ("recTs", "message_id", "pos", "itemPos") if c in issues.columns]
-    # most passes concern keys that never had an error; they go before the ordered scan
-    failed = issues.filter("is_valid = 0")
+    ensure_checkpoint_dir(failed.sparkSession)
+    order = [c for c in ("recTs", "message_id", "pos", "itemPos") if c in failed.columns]
+    failed = failed.checkpoint()
     keys = failed.select("issue_key")
     if stored is not None:
         keys = keys.unionByName(stored.filter("is_open").select("issue_key"))
-    passed = issues.filter("is_valid = 1").join(keys.distinct(), "issue_key", "left_semi")
-    issues = failed.unionByName(passed)
-    rows = issues.withColumn("_stored", F.lit(False))
+    passed = passed.join(keys.distinct(), "issue_key", "left_semi")
+    rows = failed.unionByName(passed).withColumns({"_stored": F.lit(False), "_step": F.lit(2)})
+    rows = rows.checkpoint()
     if stored is not None:
-        past = stored.join(issues.select("issue_key").distinct(), "issue_key", "left_semi")
+        past = stored.join(rows.select("issue_key").distinct(), "issue_key", "left_semi")
         opened = past.select("issue_key", "id", "add_time", F.lit(0).alias("is_valid"),
                              F.lit(True).alias("_stored"), F.lit(0).alias("_step"))
         closed = past.filter(~F.col("is_open")).select(
             "issue_key", "id", "add_time", F.lit(1).alias("is_valid"),
             F.lit(True).alias("_stored"), F.lit(1).alias("_step"))
-        rows = rows.withColumn("_step", F.lit(2)).unionByName(
-            opened.unionByName(closed), allowMissingColumns=True)
-    else:
-        rows = rows.withColumn("_step", F.lit(2))
+        rows = rows.unionByName(opened.unionByName(closed), allowMissingColumns=True)
     followed = issue_lifecycle(rows, ["issue_key"], ["_step", *order], F.col("is_valid") == 0,
                                "add_time", new_id="id", reopen=reopen, hot_keys=hot_keys)
     state = followed.groupBy("issue_key").agg(

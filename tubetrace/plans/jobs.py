@@ -24,6 +24,7 @@ from ..operators.running import running_accumulate
 from ..operators.scan import ordered_scan
 from ..operators.windows import windowed_stats
 from ..schemas import ALL_KINDS, ENVELOPE_FIELDS, REPORT, STAGES
+from ..session import ensure_checkpoint_dir
 from . import stats
 
 CHANGELOG_ORDER = ("window_end", "source")
@@ -111,12 +112,13 @@ def matched_stages(stages: dict[str, DataFrame], relations: dict[str, DataFrame]
 
 # --- data check ------------------------------------------------------------------------
 
-def check_issues(matched: dict[str, DataFrame], now: Column, secret=None) -> DataFrame:
+def check_issues(matched: dict[str, DataFrame], now: Column, secret=None,
+                 only: int | None = None) -> DataFrame:
     """Issue rows of all stages, with the detail columns of their kind."""
     parts = []
     for name, source in (("collect", 1), ("report", 4), ("transport", 2), ("tube", 2),
                          ("receive", 3)):
-        found = I.validate(matched[name], CATALOGUE[name], now, secret)
+        found = I.validate(matched[name], CATALOGUE[name], now, secret, only)
         parts.append(I.issue_events(found, source, now))
     out = parts[0]
     for other in parts[1:]:
@@ -129,8 +131,8 @@ def data_check(matched, now: Column, secret=None, stored=None, reopen=True, hot_
 
     Also returns ``issue_state``: hand it back as ``stored`` with the next batch.
     """
-    issues = check_issues(matched, now, secret)
-    emitted, state = I.tracked_issues(issues, stored, reopen=reopen, hot_keys=hot_keys)
+    failed, passed = (check_issues(matched, now, secret, only) for only in (0, 1))
+    emitted, state = I.tracked_issues(failed, passed, stored, reopen, hot_keys)
     person, goods = F.col("source").isin(1, 4), F.col("source").isin(2, 3)
     base = list(I.BASE_ISSUE_COLUMNS)
     return {
@@ -155,7 +157,9 @@ def report_log(messages: DataFrame, matched, now: Column, secret=None) -> dict[s
         results.append(rows)
     elements = stats.union_stages(*results)
     heads = E.route_by_type(E.parse_envelope(messages, *STAGES.values()))
-    summary = B.message_summary(heads, elements)
+    # one row per message, read by all four tables
+    ensure_checkpoint_dir(messages.sparkSession)
+    summary = B.message_summary(heads, elements).checkpoint()
     log = B.upload_log(summary, now)
     return {
         "upload_log": B.batch_log(log), "upload_log_fail": B.batch_log_fail(log),
@@ -217,7 +221,8 @@ def city_windows(collect: DataFrame, transport: DataFrame, receive: DataFrame,
 
 
 def _all_stages(stat, stages: dict[str, DataFrame], names=tuple(STAGES), **options) -> DataFrame:
-    return stats.union_stages(*[stat(stages[n], n, **options) for n in names])
+    """One statistic over the stages that are given."""
+    return stats.union_stages(*[stat(stages[n], n, **options) for n in names if n in stages])
 
 
 org_windows = partial(_all_stages, stats.org_stat)

@@ -237,7 +237,7 @@ select tube, rule_code, problem_type, kind, is_valid from collect_issues""")
 def validate_collect(spark, sf_dir):
     rows = I.validate(_checked(spark, sf_dir, "collect"), _RULES["collect"], now())
     return rows.select(F.col("tubeCode").alias("tube"), "rule_code", "problem_type",
-                       F.col("TYPE").alias("kind"), "is_valid")
+                       F.col("issue_kind").alias("kind"), "is_valid")
 
 
 _HOURS = "(epoch(check_ts) - epoch(collect_ts))"
@@ -264,7 +264,7 @@ from report_issues""")
 def validate_report(spark, sf_dir):
     rows = I.validate(_checked(spark, sf_dir, "report"), _RULES["report"], now())
     return rows.select("l_orderkey", "l_partkey", "l_linenumber", "rule_code", "problem_type",
-                       F.col("TYPE").alias("kind"), "is_valid")
+                       F.col("issue_kind").alias("kind"), "is_valid")
 
 
 _TRANSPORT_SQL = f"""
@@ -312,7 +312,7 @@ def validate_transport(spark, sf_dir):
     records, tubes = _transport_candidates(spark, sf_dir)
     both = records.withColumn("itemPos", F.lit(-1)).unionByName(tubes, allowMissingColumns=True)
     return both.select(F.col("deliveryCode").alias("code"), F.col("itemPos").alias("item_pos"),
-                       "rule_code", "problem_type", F.col("TYPE").alias("kind"), "is_valid")
+                       "rule_code", "problem_type", F.col("issue_kind").alias("kind"), "is_valid")
 
 
 _RECEIVE_SQL = f"""
@@ -339,7 +339,7 @@ select code, rule_code, problem_type, kind, is_valid from receive_issues""")
 def validate_receive(spark, sf_dir):
     rows = I.validate(_checked(spark, sf_dir, "receive"), _RULES["receive"], now())
     return rows.select(F.col("deliveryCode").alias("code"), "rule_code", "problem_type",
-                       F.col("TYPE").alias("kind"), "is_valid")
+                       F.col("issue_kind").alias("kind"), "is_valid")
 
 
 @query("validation_summary", f"""

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # checkpoints of finished micro-batches go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # a stack walk per column expression costs more than small plans take to run
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",

@@ -67,10 +67,13 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
     def step(messages: DataFrame, batch: int) -> None:
         spark = messages.sparkSession
         messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [messages]
         try:
             stages = jobs.stage_frames(messages)
             relations = _update_relations(stores, stages, spark, batch)
-            matched = jobs.matched_stages(stages, relations)
+            matched = {n: rows.persist(StorageLevel.MEMORY_AND_DISK)
+                       for n, rows in jobs.matched_stages(stages, relations).items()}
+            kept.extend(matched.values())
             checked = jobs.data_check(matched, now(), secret,
                                       stores.issues.latest(spark, before=batch), reopen)
             stores.issues.write_batch(checked.pop("issue_state"), batch)
@@ -90,7 +93,8 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
             for table, rows in outputs.items():
                 stores.sink(table).write_batch(rows, batch)
         finally:
-            messages.unpersist()
+            for df in kept:
+                df.unpersist()
     return step
 
 
