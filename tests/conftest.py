@@ -10,7 +10,7 @@ from tubetrace.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", 4, {"spark.driver.memory": "4g"})
+    session = build_session("tests", "local[8]", 2, {"spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("FATAL")
     ensure_checkpoint_dir(session)
     yield session

@@ -20,10 +20,8 @@ def only_data_batches(spark):
     # state with a life time asks for another batch for ever; a finite run must not
     name = "spark.sql.streaming.noDataMicroBatches.enabled"
     spark.conf.set(name, "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
     yield
     spark.conf.unset(name)
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def _put(spark, folder, number, *values):

@@ -51,10 +51,8 @@ def extend_id_map(id_map: DataFrame | None, df: DataFrame, keys, name="id",
         return row_numbers(new, keys, name, chunks)
     new = new.join(id_map, keys, "left_anti")
     numbered = row_numbers(new, keys, "_n", chunks)
-    top = id_map.agg(F.coalesce(F.max(name), F.lit(0)).alias("_top"))
-    # one aggregate row: the smallest possible broadcast
-    added = numbered.join(F.broadcast(top)).select(
-        *keys, (F.col("_n") + F.col("_top")).alias(name))
+    top = id_map.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
+    added = numbered.select(*keys, (F.col("_n") + top).alias(name))
     return id_map.select(*keys, name).unionByName(added)
 
 
