@@ -147,3 +147,29 @@ def test_message_stream_writes_all_tables_and_repeats_without_double_counting(sp
     counts = stores.sink("upload_log_prob").latest(spark).collect()
     assert [(r.source, r.upload_number) for r in counts] == [(1, 2)]
     assert stores.sink("upload_log").latest(spark).count() == 2
+
+
+def test_all_windowed_jobs_build_on_a_stream(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    _put(spark, folder, 1, SENTINEL)
+    stages = jobs.stage_frames(M.stream_message_table(spark, folder))
+    no_relations = jobs.relation_updates(jobs.stage_frames(frame(spark, SENTINEL)))
+    matched = jobs.matched_stages(stages, no_relations)
+    collected = {"collect": stages["collect"], "report": matched["report"].withColumn(
+        "isCollected", F.col("matchCollectTime").isNotNull())}
+    orgs = spark.createDataFrame([(1, "org")], "id bigint, org_name string")
+    clients = spark.createDataFrame([(7, "c")], "client_id bigint, client_name string")
+    now = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    built = {
+        "upload_log_city": runner.stream_city(matched, jobs.CATALOGUE, now),
+        "upload_log_org": runner.stream_org(stages, orgs),
+        "data_time_delay": runner.stream_delay(stages, clients, now),
+        "delay_avg": runner.stream_stage_delay(stages),
+        "upload_log_hour": runner.stream_hour(collected),
+        "upload_log_time": runner.stream_today(stages),
+        "upload_log_checkhour": runner.stream_gap(stages["report"]),
+    }
+    for table, rows in built.items():
+        sink = runner.Stores(str(tmp_path)).sink(table)
+        assert rows.isStreaming
+        assert {*sink.keys, *sink.order} <= set(rows.columns), table

@@ -340,3 +340,11 @@ SINK_KEYS = {
     "upload_log_time": ("union_id",), "upload_log_checkhour": ("union_id",),
     "delay_avg": ("area_id", "source", "day_date", "unit_hour", "unit_minute"),
 }
+# which row of a key is the last, where one batch may hold several
+SINK_ORDER = {
+    "upload_log_city": ("window_end", "is_credit"), "upload_log_org": ("window_end",),
+    "data_time_delay": ("window_end",), "upload_log_hour": ("window_end", "source"),
+    "upload_log_time": ("window_end",), "upload_log_checkhour": ("window_end",),
+    # errors of an issue come before the pass that closes it
+    "problem_data_cr": ("is_valid",), "problem_data_tre": ("is_valid",),
+}

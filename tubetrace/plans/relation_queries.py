@@ -13,7 +13,7 @@ from ..operators.joins import lookup_join
 from ..operators.rules import (COLLECT_RULES, RECEIVE_RULES, REPORT_RULES, TRANSPORT_RULES, pick)
 from . import jobs
 from . import standins as S
-from .registry import COL, DELIVERY, PERSON, REP, SE, TEXT, flags_as_numbers, query, times_as_text
+from .registry import COL, DELIVERY, PERSON, REP, SE, TEXT, flags_as_numbers, query
 
 NOW_SQL = f"timestamp '{S.ORDERS_NOW}'"
 

@@ -36,8 +36,8 @@ class Stores:
     path: str
 
     def sink(self, table: str) -> KeyedTable:
-        order = ("window_end",) if "union_id" in jobs.SINK_KEYS[table] else ()
-        return KeyedTable(f"{self.path}/{table}", jobs.SINK_KEYS[table], order)
+        return KeyedTable(f"{self.path}/{table}", jobs.SINK_KEYS[table],
+                          jobs.SINK_ORDER.get(table, ()))
 
     def relation(self, name: str) -> KeyedTable:
         return KeyedTable(f"{self.path}/relation_{name}", jobs.RELATION_KEYS[name])
