@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from messages import collect, envelope, frame, report
 from tubetrace.operators import envelope as E
+from tubetrace.operators import relations as R
 from tubetrace.plans import jobs, stats
 from tubetrace.schemas import COLLECT, REPORT
 from tubetrace.sources import messages as M
@@ -173,3 +174,32 @@ def test_all_windowed_jobs_build_on_a_stream(spark, tmp_path):
         sink = runner.Stores(str(tmp_path)).sink(table)
         assert rows.isStreaming
         assert {*sink.keys, *sink.order} <= set(rows.columns), table
+
+
+def test_hour_stream_carries_both_stages_like_batch(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    table = KeyedTable(str(tmp_path / "out"), ["union_id"], ["window_end", "source"])
+    values = [envelope("COLLECT_DATA", [collect(), collect(personIdCard="x")]),
+              envelope("REPORT_DATA", [report(), report(tubeCode="other")]),
+              envelope("COLLECT_DATA", [collect()], interfaceRecTime="2024-01-05 12:00:05")]
+    for n, value in enumerate(values):
+        _put(spark, folder, n, value)
+    # the slowest stage sets the watermark: both need a later record
+    for n, (last, time) in enumerate(((SENTINEL, "2024-01-09 00:00:00"),
+                                      (LAST, "2024-01-10 00:00:00"))):
+        _put(spark, folder, 8 + n, last, envelope(
+            "COLLECT_DATA", [collect(areaId=n)], interfaceRecTime=time))
+    known = jobs.stage_frames(frame(spark, *values))["collect"]
+
+    def stages(messages):
+        frames = jobs.stage_frames(messages)
+        return {"collect": frames["collect"],
+                "report": R.with_collected_flag(frames["report"], known)}
+
+    out = runner.stream_hour(stages(M.stream_message_table(spark, folder, 1)))
+    _run(lambda: runner.start_changelog(out, table, str(tmp_path / "cp"), ONCE))
+    columns = ("union_id", "source", *stats.HOUR_SUMS, "create_time")
+    batch = jobs.hour_changelog(jobs.hour_windows(stages(frame(spark, *values))))
+    got = table.changelog(spark).filter("area_id = 6101")
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(
+        map(tuple, batch.select(*columns).collect()))
