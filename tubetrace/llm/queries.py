@@ -9,7 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, pu_quality, quality_rules, sharding, toxicity
+from . import (
+    bpe,
+    chat,
+    embed_dedup,
+    minhash,
+    packing,
+    pu_quality,
+    quality_rules,
+    sharding,
+    toxicity,
+)
 from .common import fold, package_for_workers, read
 from .queries_sql import ORACLES  # noqa: F401
 
@@ -32,6 +42,11 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("byte_bpe_50k.json"), digest=True)
 
 
+@query
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.rotate(read(spark, sf_dir, "conversations"))
@@ -39,6 +54,11 @@ def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"mask_start": shown("mask_start"), "mask_end": shown("mask_end")})
 
 
+@query
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")

@@ -113,3 +113,48 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
        cast(kept_chars as bigint) as kept_chars
 from verdicts
 """
+
+#: Components of ``edges`` (a, b) over ``nodes`` (node), by the smallest node in reach.
+REACH = """
+both_ways as (select a, b from edges union select b, a from edges),
+reach as (
+  select node, node as other from nodes
+  union
+  select r.node, e.b from reach r join both_ways e on r.other = e.a),
+component as (select node, min(other) as component_id from reach group by node)"""
+
+ORACLES["op5_minhash_near_dedup"] = f"""
+with recursive worded as (
+  select doc_id, {WORDS_OF.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as ws
+  from documents),
+shingled as (
+  select distinct doc_id, case when len(ws) < 5 then ws else ws[i:i + 4] end as s
+  from worded, unnest(generate_series(1, greatest(1, len(ws) - 4))) as u(i) where len(ws) > 0),
+sizes as (select doc_id, count(*) as n from shingled group by doc_id),
+common as (
+  select x.doc_id as a, y.doc_id as b, count(*) as c
+  from shingled x join shingled y on x.s = y.s and x.doc_id < y.doc_id group by all),
+edges as (
+  select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+  where 100 * c >= 85 * (p.n + q.n - c)),
+nodes as (select doc_id as node from documents),{REACH}
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d left join sizes s on s.doc_id = d.doc_id join component on node = d.doc_id
+"""
+
+ORACLES["op2_embedding_near_dedup"] = f"""
+with recursive valid as (
+  select vec_id, cast(embedding as double[]) as v from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+    and len([x for x in embedding if x <> 0]) > 0),
+links as (
+  select x.vec_id as a, y.vec_id as b from valid x join valid y
+  on x.vec_id <> y.vec_id and len(x.v) = len(y.v)
+  where list_cosine_similarity(x.v, y.v) >= 0.9),
+edges as (select a, b from links where a < b),
+nodes as (select vec_id as node from embeddings),{REACH}
+select e.vec_id, coalesce(n, 0) as n_links, component_id, e.vec_id = component_id as kept
+from embeddings e left join (select a, count(*) as n from links group by a) on a = e.vec_id
+join component on node = e.vec_id
+"""
