@@ -251,7 +251,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, per_cent: int = 85, key: str = "doc_id", text: str = "text",
                     carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Adds n_shingles, component_id (smallest key in reach) and kept (key = component_id)."""
+    """Adds n_shingles, component_id (smallest key in reach), kept (key = component_id) and
+    group_id (the same for all documents of a group; null without words)."""
     if not math.isclose(per_cent, int(per_cent)) or not 50 <= per_cent <= 100:
         raise ValueError("per_cent: 50 to 100")
     base = stored(sketches(docs, text, tuple(dict.fromkeys([*carry, key]))))
@@ -275,8 +276,18 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, key: str = "doc_id", te
     lowest = (named.where(F.col("component").isNotNull()).groupBy("component")
               .agg(F.min("least").alias("lowest")))
     named = checkpointed(named.join(lowest, "component", "left")
-                         .select("digest", F.coalesce("lowest", "least").alias("component_id")))
+                         .select("digest", F.coalesce("lowest", "least").alias("component_id"),
+                                 F.coalesce("component", "digest").alias("group_id")))
     return (base.drop("signature").join(named, "digest", "left")
             .withColumn("component_id", F.coalesce("component_id", key))
             .select(*carry, "n_shingles", "component_id",
-                    F.col(key).eqNullSafe(F.col("component_id")).alias("kept")))
+                    F.col(key).eqNullSafe(F.col("component_id")).alias("kept"), "group_id"))
+
+
+def one_of_each_group(docs: DataFrame, per_cent: int = 85, key: str = "doc_id",
+                      text: str = "text") -> DataFrame:
+    """The documents without their near duplicates: of each group one with the smallest key
+    stays. Documents without words have no group and stay."""
+    marked = near_duplicates(docs, per_cent, key, text, tuple(docs.columns)).where("kept")
+    grouped = marked.where(F.col("group_id").isNotNull()).dropDuplicates(["group_id"])
+    return grouped.unionByName(marked.where(F.col("group_id").isNull())).select(*docs.columns)

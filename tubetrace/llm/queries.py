@@ -15,6 +15,7 @@ from . import (
     embed_dedup,
     minhash,
     packing,
+    ppm,
     pu_quality,
     quality_rules,
     sharding,
@@ -47,6 +48,15 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+@query
+def op3_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 7) == 2
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    return (ppm.score_documents(docs, ~F.col("held_out"), carry=("doc_id", "held_out"))
+            .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score",
+                    "score"))
+
+
 @query
 def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.rotate(read(spark, sf_dir, "conversations"))
@@ -56,7 +66,7 @@ def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(read(spark, sf_dir, "documents")).drop("group_id")
 
 
 @query
