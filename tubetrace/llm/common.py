@@ -58,6 +58,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def hidden(docs: DataFrame) -> DataFrame:
+    """The columns under names that an operator's own cannot clash with."""
+    return docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns})
+
+
+def shown(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` as they were before ``hidden``, and no others."""
+    return rows.select(*(F.col(f"in_{c}").alias(c) for c in docs.columns))
+
+
 def fields_of(ddl: str) -> list[StructField]:
     return StructType.fromDDL(ddl).fields
 

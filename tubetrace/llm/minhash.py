@@ -39,7 +39,9 @@ from .common import (
     chunk_pairs,
     components,
     fields_of,
+    hidden,
     matrix,
+    shown,
     sorted_runs,
     stored,
     texts,
@@ -288,6 +290,8 @@ def one_of_each_group(docs: DataFrame, per_cent: int = 85, key: str = "doc_id",
                       text: str = "text") -> DataFrame:
     """The documents without their near duplicates: of each group one with the smallest key
     stays. Documents without words have no group and stay."""
-    marked = near_duplicates(docs, per_cent, key, text, tuple(docs.columns)).where("kept")
+    rows = hidden(docs)
+    marked = near_duplicates(rows, per_cent, f"in_{key}", f"in_{text}",
+                             tuple(rows.columns)).where("kept")
     grouped = marked.where(F.col("group_id").isNotNull()).dropDuplicates(["group_id"])
-    return grouped.unionByName(marked.where(F.col("group_id").isNull())).select(*docs.columns)
+    return shown(grouped.unionByName(marked.where(F.col("group_id").isNull())), docs)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, TO_LOWER, UPPER, fields_of, texts, words
+from .common import LOWER, TO_LOWER, UPPER, fields_of, hidden, shown, texts, words
 
 # fixed values
 SYMBOLS, SEPARATORS, STOPS = b"#*$%&|<>", b"|<>", b".!?:;"
@@ -154,5 +154,5 @@ def judge_documents(docs: DataFrame, text: str = "text", carry: tuple[str, ...]
 
 def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass, all columns as they were."""
-    return (judge_documents(docs, text, tuple(docs.columns)).where("kept")
-            .select(*docs.columns))
+    rows = hidden(docs)
+    return shown(judge_documents(rows, f"in_{text}", tuple(rows.columns)).where("kept"), docs)

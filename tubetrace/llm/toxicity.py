@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fields_of
+from .common import fields_of, hidden, shown
 
 WORDS, STRIDE = 32, 24
 BUCKETS, EMBED, HIDDEN = 1 << 15, 8, 8
@@ -379,3 +379,14 @@ def score_documents(docs: DataFrame, labelled: DataFrame, key: str = "doc_id",
                     [batch.column(c) for c in range(len(carry))] + [pa.array(found)], schema.names)
 
     return kept.mapInArrow(run, schema)
+
+
+def clean_documents(docs: DataFrame, labelled: DataFrame, bound: float = 0.5,
+                    key: str = "doc_id", label: str = "toxic", text: str = "text",
+                    net: Network | None = None) -> DataFrame:
+    """The documents that score below ``bound``, all columns as they were."""
+    rows = hidden(docs)
+    learn = labelled.select(F.col(key).alias(f"in_{key}"), F.col(label).alias("__label"))
+    scored = score_documents(rows, learn, f"in_{key}", "__label", f"in_{text}",
+                             tuple(rows.columns), net=net)
+    return shown(scored.where(F.col("score") < bound), docs)
