@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tubetrace.llm import minhash, packing, quality_rules, toxicity
 from tubetrace.llm.common import fold, package_for_workers, read, stored
@@ -28,12 +27,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC``; learns from those that are labelled."""
     package_for_workers(spark)
     learn = read(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0).select("doc_id", "toxic")
-    scored = toxicity.score_documents(docs.withColumnsRenamed({c: f"in_{c}" for c in docs.columns}),
-                                      learn.withColumnRenamed("doc_id", "in_doc_id"),
-                                      key="in_doc_id", text="in_text",
-                                      carry=tuple(f"in_{c}" for c in docs.columns))
-    return (scored.where(F.col("score") < TOXIC)
-            .select(*(F.col(f"in_{c}").alias(c) for c in docs.columns)))
+    return toxicity.clean_documents(docs, learn, TOXIC)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
