@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import TO_LOWER, fields_of, stored, texts
 
 ORDER = 5
-CAPACITY = 1 << 21
+CAPACITY = 1 << 20
 FREQUENT = 1 << 18
 END_WORD = b""  # no word is empty
 END_BYTE = b"\xff"
@@ -143,7 +143,7 @@ class Lookup:
     FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, (4 * len(keys)).bit_length())
+        bits = max(4, (2 * len(keys)).bit_length())  # at most half full
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.zeros(1 << bits, np.int64)
         self.place = np.full(1 << bits, -1, np.int32)
