@@ -11,10 +11,11 @@ verified on the full sets, exactly: 100 * common >= 85 * united.
 
 Large buckets are cut into chunks, and pairs of chunks are compared in tasks of bounded size;
 a pair is put out once, by the first band it shares. As groups are wanted, not pairs, the
-first round verifies for every class the most similar partners per chunk only, and joins
-what it confirms. The second round verifies every surviving pair whose classes are still in
-different groups, so no link that could join two groups is left out, while a thousand near
-copies do not become half a million pairs.
+first round puts out, for every class, the most similar partners per chunk only, and joins
+what it confirms. The second round goes through the buckets that still hold more than one
+group, with the full sets at hand, and verifies every surviving pair of different groups on
+the spot; it puts out the links that join groups and no pairs. So no link that could join two
+groups is left out, and a thousand near copies do not become half a million pairs.
 
 Null texts and texts without words have the empty set and are linked with nothing. Texts of
 fewer than five words are one shingle. Shingles and bands are compared by 64-bit hashes.
@@ -161,59 +162,116 @@ def bucket_rows(classes: DataFrame) -> DataFrame:
     return rows.join(counts, "bucket")
 
 
-def survivors(members: DataFrame, threshold: float, partners: int | None) -> DataFrame:
-    """Pairs (a, b) of digests that survive the batches and meet first in this band.
-    members: digest, band, bucket, n, signature, component; only pairs of different
-    components count. ``partners`` limits each class to its most similar ones per chunk."""
-    bounds = least_equal(threshold)
-    dealt = chunk_pairs(members, "digest", "n", CHUNK)
+def pairs_in_bucket(table: pa.Table, bounds: dict[int, int]) -> np.ndarray | None:
+    """Rows (i, j, equal) for the pairs of a bucket's chunks that are in different groups,
+    survive the batches and meet first in this band; none if there can be none."""
+    sig = matrix(table.column("signature"), np.uint32)
+    chunk = table.column("c").to_numpy()
+    group = np.unique(np.array(table.column("component").to_pylist(), object),
+                      return_inverse=True)[1].reshape(-1)
+    band, c1, c2 = (table.column(k)[0].as_py() for k in ("band", "c1", "c2"))
+    left = np.flatnonzero(chunk == c1)
+    right = left if c1 == c2 else np.flatnonzero(chunk == c2)
+    if not len(left) or not len(right) or group.min() == group.max():
+        return None
+    found = []
+    for at in range(0, len(left), 64):
+        rows = left[at:at + 64]
+        i, j, equal = similar_enough(sig[rows], sig[right], bounds)
+        i, j = rows[i], right[j]
+        ok = (group[i] != group[j]) & ((i < j) | (c1 != c2))
+        i, j, equal = i[ok], j[ok], equal[ok]
+        if band and len(i):  # bands before this one in which the pair meets as well
+            before = (sig[i, :band * ROWS] == sig[j, :band * ROWS]).reshape(-1, band, ROWS)
+            first = ~before.all(2).any(1)
+            i, j, equal = i[first], j[first], equal[first]
+        found.append(np.stack([i, j, equal], 1))
+    return np.concatenate(found)
+
+
+def by_bucket(members: DataFrame, task) -> DataFrame:
+    """(a, b) of what ``task`` yields for the rows of each pair of chunks of each bucket."""
     keys = ["bucket", "c1", "c2"]
-    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    dealt = (chunk_pairs(members, "digest", "n", CHUNK).repartition(*keys)
+             .sortWithinPartitions(*keys))
 
     def run(batches):
         for table in sorted_runs(batches, keys):
-            if len(table) < 2:
-                continue
-            names = np.array(table.column("digest").to_pylist(), object)
-            sig = matrix(table.column("signature"), np.uint32)
-            chunk = table.column("c").to_numpy()
-            group = np.unique(np.array(table.column("component").to_pylist(), object),
-                              return_inverse=True)[1].reshape(-1)
-            band, c1, c2 = (table.column(k)[0].as_py() for k in ("band", "c1", "c2"))
-            left = np.flatnonzero(chunk == c1)
-            right = left if c1 == c2 else np.flatnonzero(chunk == c2)
-            if not len(left) or not len(right) or group.min() == group.max():
-                continue
-            found = []
-            for at in range(0, len(left), 64):
-                rows = left[at:at + 64]
-                i, j, equal = similar_enough(sig[rows], sig[right], bounds)
-                i, j = rows[i], right[j]
-                ok = (group[i] != group[j]) & ((i < j) | (c1 != c2))
-                i, j, equal = i[ok], j[ok], equal[ok]
-                if band and len(i):  # bands before this one in which the pair meets as well
-                    before = (sig[i, :band * ROWS] == sig[j, :band * ROWS]).reshape(-1, band, ROWS)
-                    first = ~before.all(2).any(1)
-                    i, j, equal = i[first], j[first], equal[first]
-                found.append(np.stack([i, j, equal], 1))
-            pairs = np.concatenate(found)
-            if partners and len(pairs):
-                keep = np.zeros(len(pairs), bool)
-                for side in (0, 1):
-                    order = np.lexsort((-pairs[:, 2], pairs[:, side]))
-                    own = pairs[order, side]
-                    rank = np.arange(len(own)) - np.searchsorted(own, own)
-                    keep[order[rank < partners]] = True
-                pairs = pairs[keep]
-            for at in range(0, len(pairs), 10_000):
-                part = pairs[at:at + 10_000]
+            for at in range(0, len(found := task(table) if len(table) > 1 else []), 10_000):
+                a, b = zip(*found[at:at + 10_000], strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[part[:, 0]].tolist(), pa.binary()),
-                     pa.array(names[part[:, 1]].tolist(), pa.binary())], ["a", "b"])
+                    [pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
+def best_partners(members: DataFrame, threshold: float, partners: int) -> DataFrame:
+    """Surviving pairs (a, b) of digests, of each class the most similar ones per chunk."""
+    bounds = least_equal(threshold)
+
+    def task(table):
+        pairs = pairs_in_bucket(table, bounds)
+        if pairs is None or not len(pairs):
+            return []
+        keep = np.zeros(len(pairs), bool)
+        for side in (0, 1):
+            order = np.lexsort((-pairs[:, 2], pairs[:, side]))
+            own = pairs[order, side]
+            rank = np.arange(len(own)) - np.searchsorted(own, own)
+            keep[order[rank < partners]] = True
+        names = table.column("digest").to_pylist()
+        return [(names[i], names[j]) for i, j in pairs[keep, :2].tolist()]
+
+    return by_bucket(members, task)
+
+
+def common_of(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum())
+
+
+def linked(x: np.ndarray, y: np.ndarray, per_cent: int) -> bool:
+    if 100 * min(len(x), len(y)) < per_cent * max(len(x), len(y)):
+        return False
+    common = common_of(x, y)
+    return 100 * common >= per_cent * (len(x) + len(y) - common)
+
+
+def joining_links(members: DataFrame, per_cent: int) -> DataFrame:
+    """Links (a, b) between different groups, verified on the sets: of every pair of chunks
+    enough of them to join all groups that have a link there."""
+    bounds = least_equal(per_cent / 100)
+
+    def task(table):
+        pairs = pairs_in_bucket(table, bounds)
+        if pairs is None or not len(pairs):
+            return []
+        names = table.column("digest").to_pylist()
+        groups = table.column("component").to_pylist()
+        sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+        up = {g: g for g in groups}
+
+        def root(g):
+            while up[g] != g:
+                up[g] = up[up[g]]
+                g = up[g]
+            return g
+
+        found = []
+        for i, j in pairs[np.argsort(-pairs[:, 2], kind="stable"), :2].tolist():
+            a, b = root(groups[i]), root(groups[j])
+            if a != b and linked(sets[i], sets[j], per_cent):
+                up[max(a, b)] = min(a, b)
+                found.append((names[i], names[j]))
+        return found
+
+    return by_bucket(members, task)
+
+
 def full_sets(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """(digest, shingles) of the distinct texts whose digest is ``wanted``."""
     rows = docs.select(F.unhex(F.md5(F.col(text))).alias("digest"), F.col(text).alias("body"))
@@ -241,11 +299,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                keep = []
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * common >= per_cent * (len(x) + len(y) - common))
+                keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), per_cent)
+                        for x, y in zip(*(batch.column(c).to_pylist() for c in (2, 3)),
+                                        strict=True)]
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a binary, b binary")
@@ -264,14 +320,18 @@ def near_duplicates(docs: DataFrame, per_cent: int = 85, key: str = "doc_id", te
     members = stored(buckets.join(classes.select("digest", "signature"), "digest"))
     sets = stored(full_sets(docs, text, members.select("digest").distinct()))
 
-    first = survivors(members.withColumn("component", F.col("digest")), per_cent / 100, PARTNERS)
+    first = best_partners(members.withColumn("component", F.col("digest")), per_cent / 100,
+                          PARTNERS)
     links = checkpointed(confirmed(first.distinct(), sets, per_cent))
     groups = components(links)
-    again = (members.join(groups.withColumnRenamed("node", "digest"), "digest", "left")
+    again = (members.drop("n").join(groups.withColumnRenamed("node", "digest"), "digest", "left")
              .withColumn("component", F.coalesce("component", "digest")))
-    rest = survivors(again, per_cent / 100, None)
+    mixed = (again.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("component").alias("least"),
+        F.max("component").alias("most")).where("least < most").select("bucket", "n"))
+    rest = joining_links(again.join(mixed, "bucket").join(sets, "digest"), per_cent)
     done = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    groups = components(done.unionByName(confirmed(rest.distinct(), sets, per_cent)))
+    groups = components(done.unionByName(rest))
 
     named = classes.select("digest", "least").join(
         groups.withColumnRenamed("node", "digest"), "digest", "left")
