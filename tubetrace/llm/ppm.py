@@ -220,7 +220,7 @@ class Trie:
         out = np.zeros(len(keys), np.float32)
         todo, child = np.arange(len(keys)), np.full(len(keys), -1, np.int32)
         now = keys
-        for k in range(ORDER, -1, -1):
+        for k in range(ORDER, -1, -1) if len(self.escape) else ():
             if k < ORDER:
                 now = shorter(now, k + 1)
             found = self.grams(now)

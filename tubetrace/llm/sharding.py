@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, stored
 
 BUCKETS = 1024
+SLACK = 0.5
 
 
 def propagate(groups: DataFrame, shards: int, quota: DataFrame, rounds: int = 8) -> DataFrame:
@@ -34,8 +35,10 @@ def propagate(groups: DataFrame, shards: int, quota: DataFrame, rounds: int = 8)
     state = checkpointed(groups)
     for turn in range(rounds):
         load = state.groupBy("shard").agg(F.sum("n").alias("load"))
+        # loads may pass the quotas at first, or full shards could not exchange anything
+        allowed = F.ceil(F.col("quota") * F.lit(1 + SLACK * (rounds - 1 - turn) / rounds))
         room = (quota.join(load, "shard", "left")
-                .withColumn("room", F.col("quota") - F.coalesce("load", F.lit(0))))
+                .withColumn("room", allowed - F.coalesce("load", F.lit(0))))
         # ties go by a hash of key and shard, or all would want the first shards
         here = (state.groupBy("key", "shard").agg(F.sum("n").alias("here"))
                 .withColumn("pull", F.struct("here", F.xxhash64("key", "shard").alias("h"), "shard")))
