@@ -1,8 +1,9 @@
 import random
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tubetrace.operators import identity
+from tubetrace.operators import identity, relations
 from tubetrace.operators.issues import issue_lifecycle
 from tubetrace.operators.joins import keyed_left_join, lookup_join
 from tubetrace.operators.running import accumulated, running_accumulate, upsert_latest
@@ -115,13 +116,36 @@ def test_null_keys_and_hot_keys_in_joins(spark):
     assert all((r.v == 1) == (r.k == "hot") for r in got)
 
 
-def test_lookup_beyond_the_broadcast_limit_gives_the_same_rows(spark):
+def test_lookup_gives_the_same_rows_broadcast_or_not(spark):
     left = spark.createDataFrame([(i % 7,) for i in range(50)], "k int")
     dim = spark.createDataFrame([(i, f"n{i}") for i in (0, 1, 2, 2, 3)], "k int, name string")
-    small, large = (lookup_join(left, dim, ["k"], max_broadcast_rows=n) for n in (100, 2))
-    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
-    assert small.count() == 50
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    joined = lookup_join(left, dim, ["k"])
+    small = sorted(map(repr, joined.collect()))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    large = sorted(map(repr, lookup_join(left, dim, ["k"]).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert small == large and len(small) == 50
+
+
+def test_null_keys_are_spread_without_an_identity(spark):
+    left = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(20)], "v int, k string")
+    right = spark.createDataFrame([("a", 1)], "k string, w int")
+    got = keyed_left_join(left, right, ["k"])
+    assert got.columns == ["k", "v", "w"] or set(got.columns) == {"k", "v", "w"}
+    assert sorted((r.v, r.w) for r in got.collect()) == [(i, None if i % 2 else 1) for i in range(20)]
+
+
+def test_the_last_write_of_a_message_wins(spark):
+    """Two collect times for one person and tube in each message, in one second."""
+    rows = [(f"p{m}", "t", datetime(2024, 1, 1 + pos, 8), datetime(2024, 1, 9), m, pos)
+            for m in range(60) for pos in (0, 1)]
+    collect = spark.createDataFrame(rows, "personIdCard string, tubeCode string, "
+                                    "collectTs timestamp, recTs timestamp, message_id long, pos int")
+    report = spark.createDataFrame([], "personIdCard string, tubeCode string, "
+                                   "checkTs timestamp, recTs timestamp, message_id long, pos int")
+    table = relations.person_relation(collect, report)
+    assert {r.collectTs.day for r in table.collect()} == {2}
 
 
 def test_id_map_keeps_ids_and_adds_new_ones(spark):

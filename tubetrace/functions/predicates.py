@@ -27,16 +27,16 @@ def has_special_character(value) -> Column:
 
 
 def is_mobile(value) -> Column:
-    return _matches(value, MOBILE)
+    return _is_all(value, MOBILE)
 
 
 def is_id_card(value) -> Column:
     """An identity number of 18 or 15 places."""
-    return _matches(value, ID_CARD_18) | _matches(value, ID_CARD_15)
+    return _is_all(value, ID_CARD_18) | _is_all(value, ID_CARD_15)
 
 
 def is_ipv4(value) -> Column:
-    return _matches(value, IPV4)
+    return _is_all(value, IPV4)
 
 
 def is_known_area(value) -> Column:
@@ -45,7 +45,7 @@ def is_known_area(value) -> Column:
 
 def is_number_list(value) -> Column:
     """Digits, or several groups of digits separated by commas."""
-    return _matches(value, DIGIT_LIST)
+    return _is_all(value, DIGIT_LIST)
 
 
 def is_blank(value) -> Column:
@@ -57,5 +57,10 @@ def _matches(value, pattern: str) -> Column:
     return F.coalesce(_col(value).rlike(pattern), F.lit(False))
 
 
+def _is_all(value, pattern: str) -> Column:
+    """The whole text matches; "$" alone would let a line end pass behind it."""
+    return _matches(value, pattern.removesuffix("$") + r"\z")
+
+
 def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value

@@ -68,8 +68,11 @@ def _mentions_any(kinds) -> Column:
 
 
 def quarantine_messages(messages: DataFrame, known_types=KNOWN_TYPES) -> DataFrame:
-    """Messages that no job can use, with the reason; the complement of routing."""
-    parsed = _decoded(messages, (HOURLY,), "value")
+    """Messages that no job can use, with the reason; the complement of routing.
+
+    Read with the layout that ``parse_envelope`` has when no kinds are given, so that both
+    find the same messages malformed."""
+    parsed = _decoded(messages, (), "value")
     kind = F.col("type")
     # a broken message is kept as text in the corrupt column; one that is no object at
     # all leaves every field null

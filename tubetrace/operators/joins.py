@@ -14,14 +14,12 @@ ROW_IDENTITY = ("message_id", "pos")
 def keyed_left_join(df: DataFrame, table: DataFrame, keys) -> DataFrame:
     """Left join on a table with one row per key.
 
-    Rows whose key is null can match nothing; where the rows carry an identity, they
-    are spread over many tasks instead of meeting in one. A hot key that does match is
+    Rows whose key is null can match nothing; they are spread over many tasks by their
+    identity, or else by all they hold, instead of meeting in one. A hot key that does match is
     split by adaptive execution: the table side holds a single row for it.
     """
     keys = list(keys)
-    identity = [c for c in ROW_IDENTITY if c in df.columns]
-    if not identity:
-        return df.join(table, keys, "left")
+    identity = [c for c in ROW_IDENTITY if c in df.columns] or df.columns
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
@@ -40,17 +38,12 @@ def one_row_per_key(table: DataFrame, keys, order) -> DataFrame:
     return table.groupBy(*keys).agg(row).select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def lookup_join(df: DataFrame, dimension: DataFrame, keys, order=None,
-                max_broadcast_rows: int = 200_000) -> DataFrame:
+def lookup_join(df: DataFrame, dimension: DataFrame, keys, order=None) -> DataFrame:
     """Left join against a dimension; unmatched rows are kept with nulls.
 
-    The dimension is counted first, up to the limit. Within it, it is broadcast;
-    beyond it, the join shuffles both sides like any other.
+    Whether the dimension is broadcast is left to the engine, which knows its bytes when
+    the join runs; in a stream that is decided anew for each batch.
     """
     keys = list(keys)
     order = list(order or [c for c in dimension.columns if c not in keys])
-    unique = one_row_per_key(dimension, keys, order)
-    small = dimension.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    if small:
-        return df.join(F.broadcast(unique), keys, "left")
-    return keyed_left_join(df, unique, keys)
+    return keyed_left_join(df, one_row_per_key(dimension, keys, order), keys)

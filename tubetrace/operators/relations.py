@@ -8,8 +8,8 @@ Three tables, each with one row per key:
 aggregation (last write wins per column) and joined, so a lookup of any number of
 records costs one shuffle rather than a read per record.
 
-All aggregates work on fixed-width values: Spark then aggregates by hash and does not
-sort the rows by key first, which strings or structs in the buffer would force.
+The place of a write is compared as a struct of numbers. A hash would be narrower, but it
+would leave the order of writes in one second to chance.
 """
 
 from __future__ import annotations
@@ -29,16 +29,13 @@ ORDER = ("recTs", "message_id", "pos")
 
 
 def arrival_order(order=ORDER) -> Column:
-    """Place of a row in time as one number: seconds, then a hash of what is left.
-
-    Rows of one second come in a fixed though arbitrary order.
-    """
+    """Place of a row in time: seconds, then the message and the place in it, so that the
+    last write wins inside a second and inside a message, too. Message ids are texts that
+    end in a number: of two, the shorter is the earlier."""
     first, *rest = order
-    seconds = F.unix_seconds(first)
-    if not rest:
-        return seconds
-    tie = F.xxhash64(*rest).bitwiseAND(F.lit(0xFFFFFFFF))
-    return F.shiftleft(seconds, 32).bitwiseOR(tie)
+    by_number = [c for name in rest
+                 for c in (F.length(F.col(name).cast("string")).alias(f"{name}_length"), name)]
+    return F.struct(F.unix_seconds(first).alias("seconds"), *by_number)
 
 
 def _latest(column: str) -> Column:

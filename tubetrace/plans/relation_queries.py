@@ -187,8 +187,7 @@ def lookup_large_dimension(spark, sf_dir):
     lines = S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     dim = S.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
-    # over the limit: the dimension is shuffled, not broadcast
-    return lookup_join(lines, dim, ["l_orderkey"], max_broadcast_rows=100)
+    return lookup_join(lines, dim, ["l_orderkey"])
 
 
 # --- rules -----------------------------------------------------------------------------
