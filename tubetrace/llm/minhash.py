@@ -52,7 +52,7 @@ SHINGLE = 5
 BANDS, ROWS = 25, 5
 SIZE = BANDS * ROWS
 MISS = 1e-5
-CHUNK = 256
+CHUNK = 1024
 PARTNERS = 2  # of a class in the first round, for each chunk it meets; the second takes the rest
 
 _rng = np.random.default_rng(20)
