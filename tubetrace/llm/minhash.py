@@ -351,7 +351,14 @@ def one_of_each_group(docs: DataFrame, per_cent: int = 85, key: str = "doc_id",
     """The documents without their near duplicates: of each group one with the smallest key
     stays. Documents without words have no group and stay."""
     rows = hidden(docs)
-    marked = near_duplicates(rows, per_cent, f"in_{key}", f"in_{text}",
-                             tuple(rows.columns)).where("kept")
-    grouped = marked.where(F.col("group_id").isNotNull()).dropDuplicates(["group_id"])
-    return shown(grouped.unionByName(marked.where(F.col("group_id").isNull())), docs)
+    body, name = F.col(f"in_{text}"), F.coalesce(F.col(f"in_{key}").cast("string"), F.lit(""))
+    rows = rows.withColumns({"own_digest": F.unhex(F.md5(body)), "own_name": name})
+    # the texts stay where they are: only digests and ids go through the search
+    marked = near_duplicates(rows, per_cent, f"in_{key}", f"in_{text}", ("own_digest", "own_name"))
+    wanted = (marked.where(F.col("kept") & F.col("group_id").isNotNull())
+              .select("own_digest", "own_name").distinct())
+    # repeated rows share both columns, and rows are joined by both: no further shuffle
+    grouped = rows.join(wanted, ["own_digest", "own_name"], "left_semi").dropDuplicates(
+        ["own_digest", "own_name"])
+    wordless = rows.where(~F.coalesce(body.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return shown(grouped.unionByName(wordless), docs)
