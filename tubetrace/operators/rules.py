@@ -203,7 +203,3 @@ TUBE_RULES = (
 
 CATALOGUE = {"collect": COLLECT_RULES, "transport": TRANSPORT_RULES, "tube": TUBE_RULES,
              "receive": RECEIVE_RULES, "report": REPORT_RULES}
-
-
-def pick(rules, codes) -> tuple[Rule, ...]:
-    return tuple(r for r in rules if r.code in codes)

@@ -2,8 +2,10 @@
 
 A plain window function sends every row of a key to one task. Here the rows are first
 cut into ranges of about equal size over (keys, order); each range is scanned on its
-own, and what the scan of a range needs from the rows before it is one small carry row
-per (key, range). A key then costs at most one carry row per range, however hot it is.
+own, and what the scan of a range needs from the rows before it is one small carry row.
+Ranges are contiguous, so only the first key of a range can have rows in the ranges before
+it: there is at most one carry per range, however large the input and however hot a key.
+The carries are broadcast, and the rows themselves are exchanged once after the cut.
 
 The cut is checkpointed: range bounds come from a sample, and both the scan and the
 carries must see the same cut even if an executor is lost and a stage runs again.
@@ -11,7 +13,7 @@ carries must see the same cut even if an executor is lost and a stage runs again
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -62,7 +64,8 @@ def ordered_scan(df: DataFrame, keys, order, running=None, previous=None, latest
     scanned = df.withColumns(local)
     if chunked:
         carry = _carries(df, keys, order, running, previous, latest, first)
-        scanned = _join_carries(scanned, carry, groups)
+        scanned = scanned.join(*_null_safe(carry, groups), "left").drop(
+            *[f"_g_{g}" for g in groups])
         combined = {}
         for name in running:
             combined[name] = F.col(name) + F.coalesce(f"_c_{name}", F.lit(0))
@@ -75,8 +78,20 @@ def ordered_scan(df: DataFrame, keys, order, running=None, previous=None, latest
     return scanned.withColumns({n: F.col(n)["v"] for n in (*previous, *first)})
 
 
+def _crossing(df: DataFrame, keys) -> DataFrame:
+    """Rows of the keys that lie in several ranges: those at the bounds of more than one."""
+    if not keys:
+        return df
+    key = F.struct(*keys)
+    ends = df.groupBy(CHUNK).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    bounds = ends.select(CHUNK, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("key"))
+    crossing = bounds.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key.*")
+    return df.join(*_null_safe(crossing, keys), "left_semi")
+
+
 def _carries(df, keys, order, running, previous, latest, first) -> DataFrame:
-    """Per (key, range): what the ranges before it hand over."""
+    """What the ranges before hand over to the first key of a range."""
+    df = _crossing(df, keys)
     place = F.struct(*order)
     sums = {n: F.coalesce(F.sum(e), F.lit(0)).alias(n) for n, e in running.items()}
     ends = {n: F.max_by(F.struct(e.alias("v")), place).alias(n) for n, e in previous.items()}
@@ -87,19 +102,21 @@ def _carries(df, keys, order, running, previous, latest, first) -> DataFrame:
     before = (Window.partitionBy(*keys).orderBy(CHUNK)
               .rowsBetween(Window.unboundedPreceding, -1))
     return per_range.select(
-        *keys, CHUNK,
+        *keys, CHUNK, F.count("*").over(before).alias("_before"),
         *[F.sum(n).over(before).alias(f"_c_{n}") for n in sums],
         *[F.last(n).over(before).alias(f"_c_{n}") for n in ends],
         *[F.last(n, ignorenulls=True).over(before).alias(f"_c_{n}") for n in lasts],
-        *[F.first(n).over(before).alias(f"_c_{n}") for n in firsts])
+        *[F.first(n).over(before).alias(f"_c_{n}") for n in firsts],
+    ).filter(F.col("_before") > 0).drop("_before")
 
 
-def _join_carries(scanned: DataFrame, carry: DataFrame, groups) -> DataFrame:
-    renamed = carry.withColumnsRenamed({g: f"_g_{g}" for g in groups})
+def _null_safe(table: DataFrame, columns) -> tuple[DataFrame, Column]:
+    """A broadcast table of at most two rows per range, and the condition to join it on;
+    its ``columns`` are renamed."""
     cond = F.lit(True)
-    for g in groups:
-        cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return scanned.join(renamed, cond, "left").drop(*[f"_g_{g}" for g in groups])
+    for c in columns:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return F.broadcast(table.withColumnsRenamed({c: f"_g_{c}" for c in columns})), cond
 
 
 def row_numbers(df: DataFrame, order, name="row_number", chunks: int | None = None) -> DataFrame:

@@ -61,9 +61,22 @@ se as (
   from ev)
 """
 
+
+def person_sql(key: str) -> str:
+    return f"""case when {key} % 50 = 7 then {key} || '#'
+  when {key} % 3 = 0 and {key} < 1000000000
+  then '1' || lpad(cast({key} // 10000 as varchar), 5, '0') || '19900111'
+       || lpad(cast({key} % 10000 as varchar), 4, '0')
+  else cast({key} as varchar) end"""
+
+
+def good_id_sql(key: str) -> str:
+    return f"coalesce({key} % 50 <> 7 and {key} % 3 = 0 and {key} < 1000000000, false)"
+
+
 COL = f"""
 col as (
-  select cast(o_custkey as varchar) as person, cast(o_orderkey as varchar) as tube, o_orderkey,
+  select {person_sql("o_custkey")} as person, o_custkey as cust, cast(o_orderkey as varchar) as tube, o_orderkey,
          o_custkey % 10 as area_id, o_orderpriority as district, o_orderdate as collect_ts,
          strftime(o_orderdate, {TEXT}) as collect_time,
          o_orderdate + to_days(cast(o_orderkey % 5 - 1 as integer)) as add_ts
@@ -72,7 +85,14 @@ col as (
 
 REP = f"""
 rep as (
-  select l_orderkey, l_partkey, l_linenumber, cast(o_custkey as varchar) as person,
+  select l_orderkey, l_partkey, l_linenumber, o_custkey as cust,
+         {person_sql("o_custkey")} as person,
+         case when l_partkey % 19 = 0 then null
+              when l_partkey % 23 = 0 then l_shipdate + interval 1 hour
+              else o_orderdate + to_minutes(l_partkey % 5 - 1) end as pack_ts,
+         case when l_partkey % 17 = 0 then o_orderdate - interval 1 hour
+              else l_shipdate + to_minutes(20 - l_partkey % 7 * 10) end as receive_ts,
+         l_shipdate + to_days(cast(l_partkey % 6 - 1 as integer)) as add_ts,
          cast(l_orderkey as varchar) as tube, o_custkey % 10 as area_id,
          o_orderpriority as district,
          'Supplier#' || lpad(cast(l_suppkey as varchar), 9, '0') as org_name,

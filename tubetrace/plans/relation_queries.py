@@ -10,10 +10,11 @@ from ..operators import identity
 from ..operators import issues as I
 from ..operators import relations as R
 from ..operators.joins import lookup_join
-from ..operators.rules import (COLLECT_RULES, RECEIVE_RULES, REPORT_RULES, TRANSPORT_RULES, pick)
+from ..operators.rules import CATALOGUE
 from . import jobs
 from . import standins as S
-from .registry import COL, DELIVERY, PERSON, REP, SE, TEXT, flags_as_numbers, query
+from .registry import (COL, DELIVERY, PERSON, REP, SE, TEXT, flags_as_numbers, good_id_sql,
+                       query)
 
 NOW_SQL = f"timestamp '{S.ORDERS_NOW}'"
 
@@ -192,14 +193,6 @@ def lookup_large_dimension(spark, sf_dir):
 
 # --- rules -----------------------------------------------------------------------------
 
-_RULES = {
-    "collect": pick(COLLECT_RULES, ("C5", "C6")),
-    "report": pick(REPORT_RULES, ("R6", "R7", "R11", "R14", "R15", "R16")),
-    "receive": pick(RECEIVE_RULES, ("V5", "V6", "V7", "V8")),
-    "transport": TRANSPORT_RULES,
-}
-
-
 def _checked(spark, sf_dir, stage):
     if stage == "collect":
         return R.match_collect_report(S.collect_records(spark, sf_dir),
@@ -220,13 +213,18 @@ cm as (
   select col.*, p.check_time, p.check_ts
   from col left join person_rel p on p.person = col.person and p.tube = col.tube),
 collect_issues as (
-  select tube, person, area_id, district, 'C5' as rule_code, '6' as problem_type, 2 as kind,
-         case when add_ts < collect_ts then 0 else 1 end as is_valid from cm
-  union all
-  select tube, person, area_id, district, 'C6', '4', 1,
-         case when check_ts is null or epoch(check_ts) - epoch(collect_ts) > 86400
-              then 0 else 1 end
-  from cm where epoch({NOW_SQL}) - epoch(collect_ts) >= 86400)
+  select tube, person, area_id, district, rule_code, problem_type, kind,
+         case when case rule_code
+           when 'C1' then cust % 50 = 7
+           when 'C2' then cust % 4 = 1
+           when 'C3' then o_orderkey % 7 = 0 or o_orderkey % 11 = 0
+           when 'C4' then cust % 10 = 0
+           when 'C5' then add_ts < collect_ts
+           else check_ts is null or epoch(check_ts) - epoch(collect_ts) > 86400 end
+         then 0 else 1 end as is_valid
+  from cm, (values ('C1', '1', 2), ('C2', '3', 2), ('C3', '7', 2), ('C4', '2', 2),
+                   ('C5', '6', 2), ('C6', '4', 1)) as r(rule_code, problem_type, kind)
+  where rule_code <> 'C6' or epoch({NOW_SQL}) - epoch(collect_ts) >= 86400)
 """
 
 
@@ -234,7 +232,7 @@ collect_issues as (
 with {PERSON}, {_COLLECT_SQL}
 select tube, rule_code, problem_type, kind, is_valid from collect_issues""")
 def validate_collect(spark, sf_dir):
-    rows = I.validate(_checked(spark, sf_dir, "collect"), _RULES["collect"], now())
+    rows = I.validate(_checked(spark, sf_dir, "collect"), CATALOGUE["collect"], now())
     return rows.select(F.col("tubeCode").alias("tube"), "rule_code", "problem_type",
                        F.col("issue_kind").alias("kind"), "is_valid")
 
@@ -243,15 +241,29 @@ _HOURS = "(epoch(check_ts) - epoch(collect_ts))"
 _REPORT_SQL = f"""
 report_issues as (
   select rep.*, rule_code, problem_type, kind,
-         case rule_code
-           when 'R6' then case when check_time < collect_time then 0 else 1 end
-           when 'R7' then case when {_HOURS} < 3600 then 0 else 1 end
-           when 'R11' then 1
-           when 'R14' then case when person is null then 0 else 1 end
-           when 'R15' then case when collect_time > check_time then 0 else 1 end
-           when 'R16' then case when {_HOURS} > 86400 then 0 else 1 end end as is_valid
-  from rep, (values ('R6', '6', 2), ('R7', '6', 2), ('R11', '6', 2), ('R14', '5', 1),
-                    ('R15', '6', 2), ('R16', '6', 2)) as r(rule_code, problem_type, kind)
+         case when case rule_code
+           when 'R1' then not {good_id_sql("cust")}
+           when 'R2' then not coalesce(cust % 4 = 0, false)
+           when 'R3' then cust % 10 = 0
+           when 'R4' then pack_ts < collect_ts
+           when 'R5' then receive_ts < collect_ts
+           when 'R6' then check_ts < collect_ts
+           when 'R7' then {_HOURS} < 3600
+           when 'R8' then epoch(pack_ts) - epoch(collect_ts) < 120
+           when 'R9' then epoch(check_ts) - epoch(receive_ts) < 1200
+           when 'R10' then check_ts < pack_ts
+           when 'R11' then add_ts < check_ts
+           when 'R12' then check_ts < receive_ts
+           when 'R13' then l_partkey % 9 = 0 or l_partkey % 13 = 0
+           when 'R14' then person is null
+           when 'R15' then collect_ts > check_ts
+           when 'R16' then {_HOURS} > 86400 end
+         then 0 else 1 end as is_valid
+  from rep, (values ('R1', '1', 2), ('R2', '3', 2), ('R3', '2', 2), ('R4', '6', 2),
+                    ('R5', '6', 2), ('R6', '6', 2), ('R7', '6', 2), ('R8', '6', 2),
+                    ('R9', '6', 2), ('R10', '6', 2), ('R11', '6', 2), ('R12', '6', 2),
+                    ('R13', '7', 2), ('R14', '5', 1), ('R15', '6', 2), ('R16', '6', 2))
+            as r(rule_code, problem_type, kind)
   where person is not null or rule_code not in ('R15', 'R16'))
 """
 
@@ -261,7 +273,7 @@ with {REP}, {_REPORT_SQL}
 select l_orderkey, l_partkey, l_linenumber, rule_code, problem_type, kind, is_valid
 from report_issues""")
 def validate_report(spark, sf_dir):
-    rows = I.validate(_checked(spark, sf_dir, "report"), _RULES["report"], now())
+    rows = I.validate(_checked(spark, sf_dir, "report"), CATALOGUE["report"], now())
     return rows.select("l_orderkey", "l_partkey", "l_linenumber", "rule_code", "problem_type",
                        F.col("issue_kind").alias("kind"), "is_valid")
 
@@ -297,7 +309,7 @@ transport_issues as (
 
 def _transport_candidates(spark, sf_dir, only=None):
     matched = _checked(spark, sf_dir, "transport")
-    records = I.validate(matched, _RULES["transport"], now(), only=only)
+    records = I.validate(matched, CATALOGUE["transport"], now(), only=only)
     received = I.tube_records(matched)
     tubes = I.validate_tubes(R.match_tubes_collect(received, S.tube_table(spark, sf_dir)), now(),
                              only=only)
@@ -318,6 +330,10 @@ _RECEIVE_SQL = f"""
 receive_issues as (
   select rec.code, rec.l_orderkey, rec.l_suppkey, rule_code, problem_type, kind,
          case rule_code
+           when 'V1' then case when {good_id_sql("rec.l_suppkey")} then 1 else 0 end
+           when 'V2' then case when rec.l_suppkey % 4 = 0 then 1 else 0 end
+           when 'V3' then case when rec.l_orderkey % 4 = 0 then 1 else 0 end
+           when 'V4' then case when {good_id_sql("rec.l_orderkey")} then 1 else 0 end
            when 'V5' then case when rec.tube_num <> tra.tube_num then 0 else 1 end
            when 'V6' then case when rec.pack_num <> tra.pack_num then 0 else 1 end
            when 'V7' then case when epoch({NOW_SQL}) - epoch(delivery_ts) > 86400
@@ -325,9 +341,10 @@ receive_issues as (
                                then 0 else 1 end
            when 'V8' then case when tra.code is null then 0 else 1 end end as is_valid
   from rec left join tra on tra.code = rec.code and tra.l_orderkey % 2 = 0,
-       (values ('V5', '5', 2), ('V6', '5', 2), ('V7', '6', 2), ('V8', '8', 1))
+       (values ('V1', '1', 2), ('V2', '2', 2), ('V3', '4', 2), ('V4', '3', 2),
+               ('V5', '5', 2), ('V6', '5', 2), ('V7', '6', 2), ('V8', '8', 1))
          as r(rule_code, problem_type, kind)
-  where tra.code is not null
+  where tra.code is not null or rule_code <= 'V4'
      or (rule_code = 'V8' and epoch({NOW_SQL}) - epoch(receive_ts) >= 86400))
 """
 
@@ -336,7 +353,7 @@ receive_issues as (
 with {DELIVERY}, {_RECEIVE_SQL}
 select code, rule_code, problem_type, kind, is_valid from receive_issues""")
 def validate_receive(spark, sf_dir):
-    rows = I.validate(_checked(spark, sf_dir, "receive"), _RULES["receive"], now())
+    rows = I.validate(_checked(spark, sf_dir, "receive"), CATALOGUE["receive"], now())
     return rows.select(F.col("deliveryCode").alias("code"), "rule_code", "problem_type",
                        F.col("issue_kind").alias("kind"), "is_valid")
 
@@ -350,7 +367,7 @@ from (select tube, district, bool_or(is_valid = 0 and kind = 2) as bad,
       from collect_issues group by tube, district)
 group by district""")
 def validation_summary(spark, sf_dir):
-    flagged = I.error_flags(_checked(spark, sf_dir, "collect"), _RULES["collect"], now())
+    flagged = I.error_flags(_checked(spark, sf_dir, "collect"), CATALOGUE["collect"], now())
     return I.validation_summary(flagged, ["collectLocationDistrict"])
 
 
@@ -380,7 +397,7 @@ issues as (
 
 def _issues(spark, sf_dir, only=None):
     def found(stage):
-        return I.validate(_checked(spark, sf_dir, stage), _RULES[stage], now(), only=only)
+        return I.validate(_checked(spark, sf_dir, stage), CATALOGUE[stage], now(), only=only)
 
     records, tubes = _transport_candidates(spark, sf_dir, only)
     return I.base_issues(
@@ -401,7 +418,8 @@ def issue_events(spark, sf_dir):
 
 
 _COUNTERS_SQL = """
-count(*) as upload_number, count(*) filter (where is_valid = 1) as success_number,
+count(*) as upload_number,
+count(*) filter (where is_valid = 1) as success_number,
 count(*) filter (where bad and source = 1 and problem_type = '4') as fail_number,
 count(*) filter (where bad and source = 4 and problem_type = '5') as fail_end_number,
 count(*) filter (where bad and problem_type <= '4') as error_number,
@@ -456,20 +474,14 @@ def issue_stage_counts(spark, sf_dir):
 
 
 @query("issue_daily_changelog", f"""
-with {_EVENT_ISSUES}, flagged as (
-  select event_id, area_id, source, upload_time, is_valid,
-         cast(bad and problem_type <= '4' as integer) as e,
-         cast(bad and problem_type = '6' as integer) as t from ei)
-select event_id, area_id, source, upload_time,
-       count(*) over w as upload_number, cast(sum(is_valid) over w as bigint) as success_number,
-       cast(sum(e) over w as bigint) as error_number, cast(sum(t) over w as bigint) as time_number
-from flagged
+with {_EVENT_ISSUES}
+select event_id, area_id, source, upload_time, {_COUNTERS_SQL.replace(" as ", " over w as ")}
+from ei
 window w as (partition by area_id, source, upload_time order by event_id rows unbounded preceding)
 """)
 def issue_daily_changelog(spark, sf_dir):
     log = I.issue_daily_changelog(_event_issues(spark, sf_dir), ["event_id"])
-    return log.select("event_id", "area_id", "source", "upload_time", "upload_number",
-                      "success_number", "error_number", "time_number")
+    return log.select("event_id", "area_id", "source", "upload_time", *I.daily_counters())
 
 
 def _lifecycle_candidates(spark, sf_dir):

@@ -43,6 +43,27 @@ def text(value) -> Column:
     return F.col(value).cast("string") if isinstance(value, str) else value.cast("string")
 
 
+def person_number(key: str) -> Column:
+    """One key in three as an identity number, the rest as a bare number, some of those with
+    a special character. Different keys stay different."""
+    k = F.col(key)
+    number = F.concat(F.lit("1"), F.lpad(text((k / 10000).cast("bigint")), 5, "0"),
+                      F.lit("19900111"), F.lpad(text(k % 10000), 4, "0"))
+    return (F.when(k % 50 == 7, F.concat(text(k), F.lit("#")))
+            .when((k % 3 == 0) & (k < 1_000_000_000), number).otherwise(text(k)))
+
+
+def phone(key: str) -> Column:
+    """One key in four as a mobile number, one with a special character, two malformed."""
+    k = F.col(key)
+    return (F.when(k % 4 == 0, F.concat(F.lit("139"), F.lpad(text(k % 100_000_000), 8, "0")))
+            .when(k % 4 == 1, F.concat(text(k), F.lit("#"))).otherwise(text(k)))
+
+
+def person_name(key: str) -> Column:
+    return F.concat(F.lit("name"), F.when(F.col(key) % 10 == 0, F.lit("#")).otherwise(F.lit("")))
+
+
 def event_stage(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
     """Records of one stage from ``events``."""
     rows = table(spark, sf_dir, "events").filter(F.col("event_type") == EVENT_TYPES[stage])
@@ -59,8 +80,12 @@ def event_stage(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
         (F.col("event_id") % 3).cast("int").alias("dropDataNum"),
         F.col("event_id").alias("submitId"), (F.col("event_id") / 100).cast("bigint")
         .alias("numberReport"), format_time("recTs").alias("addTime")]
-    person = [text("user_id").alias("personIdCard"), text("user_id").alias("personId"),
-              text("k").alias("tubeCode"), text("user_id").alias("personPhone"),
+    id_card = F.concat(F.lit("1"), F.lpad(text((user / 10000).cast("bigint")), 5, "0"),
+                       F.lit("19900111"), F.lpad(text(user % 10000), 4, "0"))
+    mobile = F.concat(F.lit("139"), F.lpad(text(user % 100_000_000), 8, "0"))
+    person = [F.when(user % 10 == 3, text(user)).otherwise(id_card).alias("personIdCard"),
+              text("user_id").alias("personId"), text("k").alias("tubeCode"),
+              F.when(user % 10 == 4, text(user)).otherwise(mobile).alias("personPhone"),
               F.concat(F.lit("name"), F.when(num % 10 == 0, F.lit("#")).otherwise(F.lit("")))
               .alias("personName"),
               F.concat(F.lit("c"), text(num % 3)).alias("collectLocationCity"),
@@ -74,13 +99,15 @@ def event_stage(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
                org.alias("collectOrgName")]
     elif stage == "report":
         checked = F.timestamp_add("MINUTE", (num * 30).cast("int"), F.col("stageTs"))
-        rows = rows.withColumn("checkTs", checked)
+        rows = rows.withColumns({
+            "checkTs": checked,
+            "packTs": F.timestamp_add("MINUTE", (num % 5).cast("int"), F.col("stageTs"))})
+        rows = rows.withColumn("receiveTs", F.timestamp_add(
+            "MINUTE", (-15 - num % 4 * 10).cast("int"), F.col("checkTs")))
         own = [*person, F.col("stageTs").alias("collectTs"), stage_time.alias("collectTime"),
                "checkTs", format_time("checkTs").alias("checkTime"), org.alias("checkOrgName"),
-               F.lit(None).cast("string").alias("packTime"),
-               F.lit(None).cast("timestamp").alias("packTs"),
-               F.lit(None).cast("string").alias("receiveTime"),
-               F.lit(None).cast("timestamp").alias("receiveTs")]
+               "packTs", format_time("packTs").alias("packTime"),
+               "receiveTs", format_time("receiveTs").alias("receiveTime")]
     elif stage == "transport":
         own = [num.cast("int").alias("tubeNum"), F.col("stageTs").alias("deliveryTs"),
                stage_time.alias("deliveryTime"), org.alias("transportOrgName"),
@@ -98,7 +125,10 @@ def collect_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = F.timestamp_add("DAY", (F.col("o_orderkey") % 5 - 1).cast("int"), collected)
     return o.select(
         text("o_orderkey").alias("message_id"), F.lit(0).alias("pos"),
-        text("o_custkey").alias("personIdCard"), text("o_orderkey").alias("tubeCode"),
+        person_number("o_custkey").alias("personIdCard"), text("o_orderkey").alias("tubeCode"),
+        phone("o_custkey").alias("personPhone"), person_name("o_custkey").alias("personName"),
+        (F.col("o_orderkey") % 7).cast("int").alias("collectCount"),
+        (F.col("o_orderkey") % 11).cast("int").alias("collectLimitnum"),
         F.col("o_orderkey").alias("submitId"), (F.col("o_custkey") % 10).alias("areaId"),
         F.col("o_orderpriority").alias("collectLocationDistrict"), collected.alias("collectTs"),
         format_time(collected).alias("collectTime"), format_time(added).alias("addTime"),
@@ -115,15 +145,26 @@ def report_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one row per order at most: the join cannot multiply lines
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left")
     collected, checked = F.col("o_orderdate").cast("timestamp"), F.col("l_shipdate").cast("timestamp")
+    part = F.col("l_partkey")
+    packed = (F.when(part % 19 == 0, F.lit(None).cast("timestamp"))
+              .when(part % 23 == 0, F.timestamp_add("HOUR", F.lit(1), checked))
+              .otherwise(F.timestamp_add("MINUTE", (part % 5 - 1).cast("int"), collected)))
+    received = (F.when(part % 17 == 0, F.timestamp_add("HOUR", F.lit(-1), collected))
+                .otherwise(F.timestamp_add("MINUTE", (20 - part % 7 * 10).cast("int"), checked)))
     return joined.select(
         "l_orderkey", "l_partkey", "l_linenumber",
-        text("o_custkey").alias("personIdCard"), text("l_orderkey").alias("tubeCode"),
+        person_number("o_custkey").alias("personIdCard"), text("l_orderkey").alias("tubeCode"),
+        phone("o_custkey").alias("personPhone"), person_name("o_custkey").alias("personName"),
+        (part % 9).cast("int").alias("collectCount"),
+        F.when(part % 13 != 0, 10).alias("collectLimitnum"),
+        packed.alias("packTs"), format_time(packed).alias("packTime"),
+        received.alias("receiveTs"), format_time(received).alias("receiveTime"),
         F.col("l_orderkey").alias("submitId"), (F.col("o_custkey") % 10).alias("areaId"),
         F.col("o_orderpriority").alias("collectLocationDistrict"),
         F.concat(F.lit("Supplier#"), F.lpad(text("l_suppkey"), 9, "0")).alias("checkOrgName"),
         collected.alias("collectTs"), format_time(collected).alias("collectTime"),
         checked.alias("checkTs"), format_time(checked).alias("checkTime"),
-        format_time(F.timestamp_add("DAY", F.lit(1), checked)).alias("addTime"),
+        format_time(F.timestamp_add("DAY", (part % 6 - 1).cast("int"), checked)).alias("addTime"),
         checked.alias("recTs"), F.col("l_orderkey").alias("numberReport"),
         F.lit("loader").alias("userName"))
 
@@ -165,6 +206,10 @@ def receive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_suppkey") % 10).alias("areaId"), "receiveTs",
         format_time("receiveTs").alias("receiveTime"), _delivery_code().alias("receiveCode"),
         _delivery_code().alias("receiveName"), "tubeNum", "packNum",
+        person_number("l_suppkey").alias("deliveryPrpId"),
+        phone("l_suppkey").alias("deliveryPrpPhone"),
+        person_number("l_orderkey").alias("transportPrpId"),
+        phone("l_orderkey").alias("transportPrpPhone"),
         format_time("receiveTs").alias("addTime"), F.col("receiveTs").alias("recTs"),
         F.col("l_orderkey").alias("numberReport"), F.lit("loader").alias("userName"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import relations as R
-from ..operators.rules import COLLECT_RULES, REPORT_RULES, pick
+from ..operators.rules import COLLECT_RULES, REPORT_RULES
 from ..operators.running import upsert_latest
 from . import jobs, stats
 from . import standins as S
@@ -39,9 +39,6 @@ def tumble_3m(spark, sf_dir):
 
 # --- city and district -----------------------------------------------------------------
 
-# rules whose inputs the event rows have
-REPORT_RULES_ON_EVENTS = pick(REPORT_RULES, ("R3", "R6", "R7", "R13", "R14", "R15", "R16"))
-
 _CITY_MATCHED = f"""{SE},
 checked as (
   select user_id, k, check_ts from (
@@ -57,7 +54,8 @@ city_1 as (
   from se left join checked using (user_id, k) where source = 1),
 city_4 as (
   select se.*, collected.user_id is not null as hit,
-         (k % 10 = 0 or k < 2 or k % 20 = 0
+         (k % 10 = 0 or k < 2 or k % 20 = 0 or user_id % 10 in (3, 4) or k % 5 < 2
+          or k % 4 = 0 or se.check_ts > rec_ts
           or (collected.user_id is not null and k > 48)) as bad,
          collected.user_id is null as unsync
   from se left join collected using (user_id, k) where source = 4)"""
@@ -103,7 +101,7 @@ def _flagged_collect(spark, sf_dir):
 def _flagged_report(spark, sf_dir):
     rows = R.match_report_collect(_stage(spark, sf_dir, "report"), _event_person(spark, sf_dir))
     rows = rows.withColumn("isCollected", F.col("matchCollectTime").isNotNull())
-    return jobs.with_flags(rows, REPORT_RULES_ON_EVENTS, S.at(S.EVENTS_NOW))
+    return jobs.with_flags(rows, REPORT_RULES, S.at(S.EVENTS_NOW))
 
 
 @query("city_collect", f"with {_CITY_MATCHED} {_city_sql(1)}")
