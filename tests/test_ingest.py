@@ -90,13 +90,50 @@ def test_enriched_messages_keep_ids_across_messages(spark):
     assert rep["data"][0]["checkResult"] == "阴性"
     tube = tra["data"][0]["transportItem"][0]
     assert tube["id"] >= 0 and tube["id"] != rec["data"][0]["receivesItem"][0]["id"]
-    assert tra["data"][0]["areaId"] == 6101 and tra["numberReport"] == 111111
+    assert tra["data"][0]["areaId"] == 6101 and tra["numberReport"] == "111111"
     assert unknown == other
     again = jobs.enrich_messages(jobs.enrich_messages(messages).select("message_id", "value"))
     redone = json.loads(again.orderBy("message_id").first().value)
     assert [e["id"] for e in redone["data"]] == ids
 
 
+def test_enriched_messages_keep_what_the_producer_wrote(spark):
+    org = {"creditCode": "c", "areaId": 6101, "orgName": "o", "locationCity": "x",
+           "checkAbility": 12.5}
+    odd = collect(collectCount="n/a", note={"deep": [1, None, "é"]}, none=None)
+    tubes = transport(transportItem=[{"tubeCode": "t1", "box": 4}, {"packCode": "k"}])
+    messages = frame(spark, envelope("CHECK_ORG", [org], station="s9"),
+                     envelope("COLLECT_DATA", [odd]), envelope("TRANSPORT_DATA", [tubes]),
+                     envelope("TRANSPORT_DATA", [transport(transportItem="text")]),
+                     envelope("collect_data", [collect()]),
+                     envelope("COLLECT_DATA", [collect(personIdCard=None, id=77)]))
+    before = [json.loads(r.value) for r in messages.orderBy("message_id").collect()]
+    after = [json.loads(r.value)
+             for r in jobs.enrich_messages(messages).orderBy("message_id").collect()]
+    assert isinstance(after[0]["data"][0].pop("id"), int)
+    assert isinstance(after[1]["data"][0].pop("id"), int)
+    for n in (2, 3):
+        assert isinstance(after[n]["data"][0].pop("id"), int)
+    assert after[2]["data"][0]["transportItem"][0].pop("id") >= 0
+    # no tube code, no id; a tag in another spelling is no known type; no key, no new id
+    assert after == before
+
+
+def test_a_bad_nested_field_becomes_null_and_nothing_is_lost(spark):
+    values = [envelope("TRANSPORT_DATA", [transport(transportItem="text"), transport()]),
+              envelope("COLLECT_DATA", [collect(transportItem=5)]),
+              envelope("COLLECT_DATA", "text"), envelope("COLLECT_DATA", [collect(), 3]),
+              "{", " ", envelope("", []), envelope("OTHER", [])]
+    messages = frame(spark, *values)
+    read = E.read_messages(messages)
+    good = {r.message_id for r in E.accepted(read).collect()}
+    bad = {r.message_id: r.reason for r in E.rejected(read).collect()}
+    assert good == {"m000", "m001"} and len(bad) == 6
+    assert bad == {r.message_id: r.reason for r in E.quarantine_messages(messages).collect()}
+    rows = E.stage_from_messages(messages, TRANSPORT).orderBy("pos").collect()
+    assert [r.transportItem and r.transportItem[0].tubeCode for r in rows] == [None, "t1"]
+
+
 def test_text_source_gives_equal_lines_different_ids(spark, tmp_path):
     (tmp_path / "in.txt").write_text("a\na\nb\n")
     rows = M.read_text(spark, str(tmp_path)).collect()

@@ -1,8 +1,9 @@
 """Messages to parsed envelopes: parse, quarantine, route, explode.
 
-The parser reads each message once into one layout that holds the fields of every kind
-asked for. A cheap substring test on the raw text goes first, so that a job for one
-kind does not pay for parsing the others.
+The parser reads each message once into one layout that holds the fields of every kind,
+so that all jobs and the quarantine agree on which messages are malformed. A cheap
+substring test on the raw text goes first, so that a job for one kind does not pay for
+parsing the others; ``read_messages`` is for jobs that need all kinds from one parse.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import is_blank
 from ..functions.times import parse_time
 from ..schemas import (ALL_KINDS, CORRUPT, ENVELOPE_FIELDS, HOURLY, STAGES, Stage,
-                       envelope_schema, time_column)
+                       ITEM_TYPE, envelope_schema, time_column)
 
 KNOWN_TYPES = tuple(t for kind in ALL_KINDS for t in kind.types)
 
@@ -22,14 +23,14 @@ def drop_blank(messages: DataFrame) -> DataFrame:
     return messages.filter(~is_blank("value"))
 
 
-def _decoded(messages: DataFrame, kinds: tuple[Stage, ...], *columns: str) -> DataFrame:
+def _decoded(messages: DataFrame, *columns: str) -> DataFrame:
     """Messages with the fields of their envelope.
 
     The parsed message goes through ``inline``: filters on its fields then stay above
     the parse. Pushed below, each would parse the text again.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_json(_one_spelling(F.col("value")), envelope_schema(*kinds), options)
+    parsed = F.from_json(_one_spelling(F.col("value")), envelope_schema(), options)
     return messages.select("message_id", *columns, F.inline(F.array(parsed)))
 
 
@@ -50,8 +51,12 @@ def parse_envelope(messages: DataFrame, *kinds: Stage, keep_raw: bool = False) -
     if kinds:
         relevant = relevant.filter(_mentions_any(kinds))
     raw = ["value"] if keep_raw else []
-    parsed = _decoded(relevant, kinds, *raw)
+    parsed = _decoded(relevant, *raw)
     parsed = parsed.filter(~is_blank("type") & F.col(CORRUPT).isNull())
+    return _typed(parsed, *raw)
+
+
+def _typed(parsed: DataFrame, *raw: str) -> DataFrame:
     fields = [F.col(name).try_cast(dtype).alias(name) for name, dtype in ENVELOPE_FIELDS.items()]
     return parsed.select("message_id", *raw, *fields, "data")
 
@@ -67,12 +72,12 @@ def _mentions_any(kinds) -> Column:
     return cond
 
 
-def quarantine_messages(messages: DataFrame, known_types=KNOWN_TYPES) -> DataFrame:
-    """Messages that no job can use, with the reason; the complement of routing.
+def read_messages(messages: DataFrame, known_types=KNOWN_TYPES) -> DataFrame:
+    """All messages, parsed, with the ``reason`` why no job can use one (null: some can).
 
-    Read with the layout that ``parse_envelope`` has when no kinds are given, so that both
-    find the same messages malformed."""
-    parsed = _decoded(messages, (), "value")
+    Persist it and take ``accepted`` and ``rejected`` rows from it: one parse gives both.
+    """
+    parsed = _decoded(messages, "value")
     kind = F.col("type")
     # a broken message is kept as text in the corrupt column; one that is no object at
     # all leaves every field null
@@ -81,8 +86,28 @@ def quarantine_messages(messages: DataFrame, known_types=KNOWN_TYPES) -> DataFra
               .when(is_blank(kind), F.lit("missing_type"))
               .when(~kind.isin(*known_types) & (F.upper(kind) != HOURLY.types[0]),
                     F.lit("unknown_type")))
-    return (parsed.withColumn("reason", reason).filter("reason is not null")
-            .select("message_id", "reason", "value"))
+    return parsed.withColumn("reason", reason)
+
+
+def accepted(read: DataFrame) -> DataFrame:
+    """The usable ones of ``read_messages``, as ``parse_envelope`` gives them."""
+    return _typed(read.filter("reason is null"), "value")
+
+
+def rejected(read: DataFrame) -> DataFrame:
+    return read.filter("reason is not null").select("message_id", "reason", "value")
+
+
+def quarantine_messages(messages: DataFrame, known_types=KNOWN_TYPES) -> DataFrame:
+    """Messages that no job can use, with the reason; the complement of routing."""
+    return rejected(read_messages(messages, known_types))
+
+
+def routing_type(kind: Column) -> Column:
+    """Type tag that decides what is done with a message: tags are compared as they are,
+    that of the hourly summaries in any case."""
+    hourly = HOURLY.types[0]
+    return F.when(F.upper(kind) == hourly, F.lit(hourly)).otherwise(kind)
 
 
 def stage_of_type(kind) -> Column:
@@ -108,7 +133,7 @@ def _element_columns(kind: Stage) -> list[Column]:
     out = []
     for name, dtype in kind.fields.items():
         if dtype == "items":
-            value = F.col(f"element.{name}")
+            value = F.from_json(F.col(f"element.{name}"), ITEM_TYPE)
         else:
             value = F.col(f"element.{name}").try_cast(dtype)
         out.append(value.alias(name))
@@ -142,7 +167,10 @@ def stage_from_messages(messages: DataFrame, stage: Stage) -> DataFrame:
 
 def hourly_summary_rows(messages: DataFrame, now) -> DataFrame:
     """Elements of the hourly summary messages; the type tag is matched in any case."""
-    parsed = parse_envelope(messages, HOURLY)
+    return hourly_rows(parse_envelope(messages, HOURLY), now)
+
+
+def hourly_rows(parsed: DataFrame, now) -> DataFrame:
     rows = (parsed.filter(F.upper("type") == HOURLY.types[0])
             .select("message_id", "userName", F.posexplode("data").alias("pos", "element")))
     return rows.select(

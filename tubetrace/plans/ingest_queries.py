@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates
@@ -223,23 +224,57 @@ select cast(event_id as varchar) as message_id, type, extra as pos, submit_id,
        case when source = 4 then
          case kk % 4 when 1 then '阴性' when 2 then '阳性' else cast(kk % 4 as varchar) end
        end as check_result,
-       case when source is not null then 1 else 0 end as has_id,
-       case when source in (2, 3) then 1 else 0 end as has_tube_id
+       case when source is not null then min(event_id * 2 + extra) over (
+         partition by type, case source
+           when 1 then user_id || '_' || stage_time
+           when 2 then 'D' || user_id || '-' || kk
+           when 3 then 'R' || event_id
+           else user_id || '_' || stage_time || '_' || rec_time end) end as first_of_id,
+       case when source in (2, 3) then min(event_id * 2 + extra) over (
+         partition by source, kk) end as first_of_tube_id,
+       1 as is_else_unchanged
 from two""")
 def enriched_messages(spark, sf_dir):
-    enriched = enrich_messages(S.event_messages(spark, sf_dir))
+    """Ids by the first element that has the same one, and whether all else is unchanged, a
+    member that no layout lists included."""
+    messages = S.event_messages(spark, sf_dir).withColumn(
+        "value", F.regexp_replace("value", r"^\{", '{"trace":{"a":[1,null]},'))
+    enriched = enrich_messages(messages)
+
+    def elements(value):
+        return F.from_json(F.from_json(value, "map<string,string>")["data"],
+                           "array<map<string,string>>")
+
+    def rest(members, *changed):
+        return F.array_sort(F.map_entries(F.map_filter(
+            members, lambda name, value: ~name.isin(*changed) & value.isNotNull())))
+
+    before = messages.select("message_id", F.col("value").alias("old"))
+    enriched = enriched.join(before, "message_id")
+    heads = [rest(F.from_json(c, "map<string,string>"), "data") for c in ("old", "value")]
+    same = F.zip_with(elements("old"), elements("value"), lambda a, b: rest(
+        a, "checkResult", "transportItem", "receivesItem") == rest(
+        b, "id", "checkResult", "transportItem", "receivesItem"))
     item = "struct<id: bigint, tubeCode: string>"
     element = ("struct<id: bigint, submitId: bigint, checkResult: string, "
                f"transportItem: array<{item}>, receivesItem: array<{item}>>")
     parsed = enriched.select(
-        "message_id", F.from_json("value", f"type string, data array<{element}>").alias("m"))
-    rows = parsed.select("message_id", "m.type", F.posexplode("m.data").alias("pos", "e"))
+        "message_id", F.from_json("value", f"type string, data array<{element}>").alias("m"),
+        (heads[0] == heads[1]).alias("same_head"), same.alias("same"))
+    rows = parsed.select("message_id", "m.type", "same", "same_head",
+                         F.posexplode("m.data").alias("pos", "e"))
+    place = F.col("message_id").cast("bigint") * 2 + F.col("pos")
     tube = F.coalesce("e.transportItem", "e.receivesItem")[0]
+
+    def first_of(value):
+        return F.when(value.isNotNull(), F.min(place).over(Window.partitionBy(value)))
+
     return rows.select(
         "message_id", "type", "pos", F.col("e.submitId").alias("submit_id"),
         F.col("e.checkResult").alias("check_result"),
-        F.col("e.id").isNotNull().cast("int").alias("has_id"),
-        F.coalesce((tube["id"] >= 0), F.lit(False)).cast("int").alias("has_tube_id"))
+        first_of(F.col("e.id")).alias("first_of_id"),
+        first_of(tube["id"]).alias("first_of_tube_id"),
+        (F.col("same_head") & F.col("same")[F.col("pos")]).cast("int").alias("is_else_unchanged"))
 
 
 @query("encrypt_columns", """

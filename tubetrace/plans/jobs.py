@@ -17,13 +17,13 @@ from ..operators import batch_log as B
 from ..operators import envelope as E
 from ..operators import issues as I
 from ..operators import relations as R
-from ..operators.identity import BUSINESS_KEYS, TUBE_SPACES, with_tube_ids
+from ..operators.identity import BUSINESS_KEYS, TUBE_SPACES
 from ..operators.joins import lookup_join
 from ..operators.rules import CATALOGUE
 from ..operators.running import running_accumulate
 from ..operators.scan import ordered_scan
 from ..operators.windows import windowed_stats
-from ..schemas import ALL_KINDS, ENVELOPE_FIELDS, REPORT, STAGES
+from ..schemas import REPORT, STAGES
 from ..session import ensure_checkpoint_dir
 from . import stats
 
@@ -31,57 +31,93 @@ CHANGELOG_ORDER = ("window_end", "source")
 
 
 def stage_frames(messages: DataFrame) -> dict[str, DataFrame]:
-    """Typed rows of the four stages."""
+    """Typed rows of the four stages, each from a parse of its own."""
     return {name: E.stage_from_messages(messages, stage) for name, stage in STAGES.items()}
 
 
+def stages_of(parsed: DataFrame) -> dict[str, DataFrame]:
+    """Typed rows of the four stages, from messages that are parsed already."""
+    return {name: E.stage_rows(parsed, stage) for name, stage in STAGES.items()}
+
+
 # --- ids and relations -----------------------------------------------------------------
 
-def _typed_fields() -> dict[str, str]:
-    out: dict[str, str] = {}
-    for kind in ALL_KINDS:
-        out.update(kind.fields)
-    return out
+OBJECT = "map<string,variant>"
+
+
+def _variant(value: Column) -> Column:
+    return value.cast("variant")
+
+
+def _changed(members: Column, changes: dict[str, Column]) -> Column:
+    """A JSON object with some members replaced; a null change leaves what is there."""
+    def value(name, old):
+        out = old
+        for member, new in changes.items():
+            out = F.when((name == member) & new.isNotNull(), new).otherwise(out)
+        return out
+    return F.transform_values(members, value)
+
+
+def _with_id(members: Column, new_id: Column) -> Column:
+    added = F.map_concat(members, F.create_map(F.lit("id"), _variant(new_id)))
+    return (F.when(new_id.isNull(), members)
+            .when(F.map_contains_key(members, "id"), _changed(members, {"id": _variant(new_id)}))
+            .otherwise(added))
 
 
-def _enriched_element(kind: Column, element: Column) -> Column:
-    """Typed element with its id, the ids of its tubes and readable result codes."""
+def _text_of(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def _with_tube_ids(items: Column, space: str) -> Column:
+    """A variant array of tubes with their ids; null where it is no array of objects."""
+    tubes = F.try_variant_get(items, "$", f"array<{OBJECT}>")
+    def tube_id(tube):
+        code = _text_of(F.try_element_at(tube, F.lit("tubeCode")))
+        return F.when(code.isNotNull(), hash_id(space, code))
+    return F.to_variant_object(F.transform(tubes, lambda t: _with_id(t, tube_id(t))))
+
+
+def _enriched_element(kind: Column, members: Column) -> Column:
+    """Element with its id, the ids of its tubes and readable result codes."""
+    def member(name):
+        return F.try_element_at(members, F.lit(name))
+
     new_id = F.lit(None).cast("bigint")
     for tag, keys in BUSINESS_KEYS.items():
-        key = business_key(*[element[k] for k in keys])
-        new_id = F.when(F.upper(kind) == tag, hash_id(tag, key)).otherwise(new_id)
-    fields = []
-    for name, dtype in _typed_fields().items():
-        value = element[name]
-        if name == "id":
-            value = F.coalesce(new_id, value.try_cast("bigint"))
-        elif name in E.RESULT_FIELDS:
-            value = F.when(kind.isin(*REPORT.types), E.decode_result(value)).otherwise(value)
-        elif dtype == "items":
-            value = with_tube_ids(_numbered_items(value), TUBE_SPACES[name])
-        else:
-            value = value.try_cast(dtype)
-        fields.append(value.alias(name))
-    return F.struct(*fields)
-
-
-def _numbered_items(items: Column) -> Column:
-    return F.transform(items, lambda item: item.withField("id", F.lit(None).cast("bigint")))
+        key = business_key(*[_text_of(member(k)) for k in keys])
+        new_id = F.when((kind == tag) & key.isNotNull(), hash_id(tag, key)).otherwise(new_id)
+    changes = {}
+    for name in E.RESULT_FIELDS:
+        code = _text_of(member(name))
+        label = E.decode_result(code)
+        changes[name] = F.when(kind.isin(*REPORT.types) & (label != code), _variant(label))
+    for name, space in TUBE_SPACES.items():
+        changes[name] = _with_tube_ids(member(name), space)
+    return _with_id(_changed(members, changes), new_id)
 
 
 def enrich_messages(messages: DataFrame) -> DataFrame:
     """Messages with ids on all records and tubes, as JSON again.
 
     Ids are hashes of business keys, so each message is rewritten where it is: no
-    shuffle, no lookup, no regrouping. Messages of unknown types pass unchanged.
+    shuffle, no lookup, no regrouping. Only the ids and the result codes change; every
+    other member, known here or not, stays as the producer wrote it. Messages of unknown
+    types pass unchanged, and so does one that repeats a name inside an object.
     """
     parsed = E.parse_envelope(messages, keep_raw=True)
-    kind = F.col("type")
-    data = F.transform("data", lambda e: _enriched_element(kind, e))
-    body = F.to_json(F.struct(*ENVELOPE_FIELDS, data.alias("data")))
-    known = F.upper(kind).isin(*BUSINESS_KEYS)
-    return parsed.select("message_id", "type", F.when(known, body).otherwise(F.col("value"))
-                         .alias("value"))
+    kind = E.routing_type(F.col("type"))
+    rows = parsed.select("message_id", "type", "value", F.when(
+        kind.isin(*BUSINESS_KEYS), F.from_json("value", OBJECT)).alias("_members"))
+    data = F.try_variant_get(F.try_element_at("_members", F.lit("data")), "$", f"array<{OBJECT}>")
+    # through ``inline``, so that the text is parsed once however often it is used
+    rows = rows.select("message_id", "type", "value", F.inline(F.array(F.struct(
+        F.col("_members"), data.alias("_data")))))
+    changed = F.to_variant_object(F.transform("_data", lambda e: _enriched_element(kind, e)))
+    body = F.to_json(_changed(F.col("_members"), {"data": changed}))
+    return rows.select("message_id", "type", F.when(F.col("_data").isNotNull(), body)
+                       .otherwise(F.col("value")).alias("value"))
 
 
 def relation_updates(stages: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -146,8 +182,11 @@ def data_check(matched, now: Column, secret=None, stored=None, reopen=True, hot_
 
 # --- per-message log -------------------------------------------------------------------
 
-def report_log(messages: DataFrame, matched, now: Column, secret=None) -> dict[str, DataFrame]:
+def report_log(messages: DataFrame, matched, now: Column, secret=None,
+               parsed: DataFrame | None = None) -> dict[str, DataFrame]:
     """Upload log and reconciliation rows of every message of the four stages."""
+    if parsed is None:
+        parsed = E.parse_envelope(messages, *STAGES.values())
     results = []
     for name, stage in STAGES.items():
         flagged = I.error_flags(matched[name], CATALOGUE[name], now, secret)
@@ -156,7 +195,7 @@ def report_log(messages: DataFrame, matched, now: Column, secret=None) -> dict[s
             rows = _with_tube_errors(rows, matched["tube"], now, secret)
         results.append(rows)
     elements = stats.union_stages(*results)
-    heads = E.route_by_type(E.parse_envelope(messages, *STAGES.values()))
+    heads = E.route_by_type(parsed)
     # one row per message, read by all four tables
     ensure_checkpoint_dir(messages.sparkSession)
     summary = B.message_summary(heads, elements).checkpoint()
@@ -189,7 +228,16 @@ HOURLY_SUMS = {
 
 def hourly_rows(messages: DataFrame, now: Column) -> DataFrame:
     """Hourly summary records under their sink column names; rows without a key drop."""
-    rows = E.hourly_summary_rows(messages, now).dropna(subset=["areaId", "collectDate"])
+    return _hourly_sink(E.hourly_summary_rows(messages, now))
+
+
+def hourly_rows_of(parsed: DataFrame, now: Column) -> DataFrame:
+    """The same, from messages that are parsed already."""
+    return _hourly_sink(E.hourly_rows(parsed, now))
+
+
+def _hourly_sink(rows: DataFrame) -> DataFrame:
+    rows = rows.dropna(subset=["areaId", "collectDate"])
     return rows.select(
         "message_id", "pos", *[F.col(c).alias(n) for c, n in HOURLY_KEYS.items()],
         *[F.coalesce(c, F.lit(0)).alias(n) for c, n in HOURLY_SUMS.items()],
@@ -331,7 +379,7 @@ def latency_changelog(rows: DataFrame) -> DataFrame:
 
 # Sink tables and the columns that identify their rows.
 SINK_KEYS = {
-    "upload_log": ("id",), "upload_log_fail": ("id",), "upload_report": ("id",),
+    "quarantine": ("message_id",), "upload_log": ("id",), "upload_log_fail": ("id",), "upload_report": ("id",),
     "upload_report_fail": ("id",), "problem_data_cr": ("id",), "problem_data_tre": ("id",),
     "upload_log_prob": ("area_id", "source", "upload_time"),
     "hour_sum_report": ("area_id", "collect_date", "unit_hour"),

@@ -108,20 +108,18 @@ ITEM_TYPE = T.ArrayType(T.StructType([
 CORRUPT = "_corrupt_record"
 
 
-def element_schema(*kinds: Stage) -> T.StructType:
-    """String-first element layout holding every field of ``kinds`` (default: all)."""
-    fields: dict[str, T.DataType] = {}
-    for kind in kinds or ALL_KINDS:
-        for name, dtype in kind.fields.items():
-            fields[name] = ITEM_TYPE if dtype == "items" else T.StringType()
-    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+def element_schema() -> T.StructType:
+    """String-first element layout holding the fields of all kinds. Nested arrays are read as
+    text, too, and parsed later: a bad one becomes null like a bad number."""
+    names = dict.fromkeys(name for kind in ALL_KINDS for name in kind.fields)
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def envelope_schema(*kinds: Stage) -> T.StructType:
+def envelope_schema() -> T.StructType:
     scalars = [T.StructField(n, T.StringType()) for n in ENVELOPE_FIELDS]
     return T.StructType([
         *scalars,
-        T.StructField("data", T.ArrayType(element_schema(*kinds))),
+        T.StructField("data", T.ArrayType(element_schema())),
         T.StructField(CORRUPT, T.StringType()),
     ])
 
