@@ -47,7 +47,7 @@ def test_gap_stream_equals_batch_and_survives_a_restart(spark, tmp_path):
 
     def start():
         source = M.stream_message_table(spark, folder, 1)
-        rows = runner.stream_gap(E.stage_from_messages(source, REPORT))
+        rows = runner.stream_gap(E.stage_from_messages(source, REPORT), delay="3 minutes")
         return runner.start_changelog(rows, table, checkpoint, ONCE)
 
     def message(time, *checks):
@@ -97,7 +97,7 @@ def test_today_stream_counts_distinct_and_hours_like_batch(spark, tmp_path):
 
     source = M.stream_message_table(spark, folder, 1)
     stages = {"collect": E.stage_from_messages(source, COLLECT)}
-    changelog = runner.stream_today(stages)
+    changelog = runner.stream_today(stages, delay="3 minutes")
     _run(lambda: runner.start_changelog(changelog, table, str(tmp_path / "cp"), ONCE))
     columns = ("union_id", "success_number", "fail_number", "tube_number", "upload_hour_num",
                "fail_hour_num")
@@ -161,19 +161,100 @@ def test_all_windowed_jobs_build_on_a_stream(spark, tmp_path):
     orgs = spark.createDataFrame([(1, "org")], "id bigint, org_name string")
     clients = spark.createDataFrame([(7, "c")], "client_id bigint, client_name string")
     now = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    late = {"delay": "10 minutes"}
     built = {
-        "upload_log_city": runner.stream_city(matched, jobs.CATALOGUE, now),
-        "upload_log_org": runner.stream_org(stages, orgs),
-        "data_time_delay": runner.stream_delay(stages, clients, now),
-        "delay_avg": runner.stream_stage_delay(stages),
-        "upload_log_hour": runner.stream_hour(collected),
-        "upload_log_time": runner.stream_today(stages),
-        "upload_log_checkhour": runner.stream_gap(stages["report"]),
+        "upload_log_city": runner.stream_city(matched, jobs.CATALOGUE, now, **late),
+        "upload_log_org": runner.stream_org(stages, orgs, **late),
+        "data_time_delay": runner.stream_delay(stages, clients, now, **late),
+        "delay_avg": runner.stream_stage_delay(stages, **late),
+        "upload_log_hour": runner.stream_hour(collected, **late),
+        "upload_log_time": runner.stream_today(stages, **late),
+        "upload_log_checkhour": runner.stream_gap(stages["report"], **late),
     }
     for table, rows in built.items():
         sink = runner.Stores(str(tmp_path)).sink(table)
         assert rows.isStreaming
         assert {*sink.keys, *sink.order} <= set(rows.columns), table
+    windows = {
+        "upload_log_city": lambda s: jobs.city_changelog(jobs.city_windows(
+            *[jobs.with_flags(s[n], jobs.CATALOGUE[n], now) if n in ("collect", "report") else s[n]
+              for n in ("collect", "transport", "receive", "report")])),
+        "upload_log_org": lambda s: jobs.org_changelog(
+            jobs.with_org_code(jobs.org_windows(s), orgs)),
+        "data_time_delay": lambda s: jobs.delay_changelog(
+            jobs.with_client_name(jobs.delay_windows(s, now=now), clients)),
+        "delay_avg": jobs.stage_delays,
+        "upload_log_hour": lambda s: jobs.hour_changelog(jobs.hour_windows(
+            {"collect": s["collect"], "report": s["report"]})),
+        "upload_log_time": lambda s: jobs.today_changelog(jobs.today_windows(s)),
+        "upload_log_checkhour": lambda s: jobs.gap_changelog(stats.gap_histogram(s["report"])),
+    }
+    batch = jobs.stage_frames(frame(spark, SENTINEL))
+    known = jobs.matched_stages(batch, no_relations)
+    known["report"] = known["report"].withColumn("isCollected", F.lit(True))
+    for table, of in windows.items():
+        assert {*of(known).columns} == {*built[table].columns}, table
+
+
+def test_windows_and_late_rows_together_are_all_rows(spark, tmp_path):
+    folder, stores = str(tmp_path / "in"), runner.Stores(str(tmp_path / "stores"))
+
+    def message(minute, n):
+        return envelope("REPORT_DATA", [report()] * n,
+                        interfaceRecTime=f"2024-01-05 12:{minute:02}:00")
+
+    # the third is late by 20 minutes, the fourth by 5, which is allowed
+    for n, value in enumerate([message(0, 2), message(30, 1), message(10, 4), message(25, 3),
+                               SENTINEL, LAST]):
+        _put(spark, folder, n, value)
+    source = M.stream_message_table(spark, folder, 1)
+    _run(lambda: runner.start_intake(source, stores, "10 minutes", str(tmp_path / "c1"), ONCE))
+    table = KeyedTable(str(tmp_path / "out"), ["union_id"], ["window_end"])
+    rows = runner.stream_gap(runner.stage_stream(spark, stores, "report"), delay="10 minutes")
+    _run(lambda: runner.start_changelog(rows, table, str(tmp_path / "c2"), ONCE))
+    # a file source takes all files at once: the watermark follows with the next batch
+    _put(spark, folder, 9, LAST)
+    _run(lambda: runner.start_intake(source, stores, "10 minutes", str(tmp_path / "c1"), ONCE))
+    _run(lambda: runner.start_changelog(rows, table, str(tmp_path / "c2"), ONCE))
+    late = stores.late("report").changelog(spark)
+    assert [r.pos for r in late.orderBy("pos").collect()] == [0, 1, 2, 3]
+    counted = table.latest(spark).filter("area_id = 6101").agg(F.sum("check_persons")).first()[0]
+    assert counted + late.count() == 10
+
+
+def test_windows_on_arrival_time_lose_nothing(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    table = KeyedTable(str(tmp_path / "out"), ["union_id"], ["window_end"])
+    for n, time in enumerate(("2024-01-05 12:00:00", "2024-01-05 13:00:00",
+                              "2024-01-05 11:00:00")):
+        _put(spark, folder, n, envelope("REPORT_DATA", [report()], interfaceRecTime=time))
+    rows = stats.gap_histogram(
+        E.stage_from_messages(M.stream_message_table(spark, folder, 1), REPORT),
+        aggregate=runner._aggregate("1 second", "arrival"))
+    query = (rows.writeStream.outputMode("append").format("memory").queryName("arrived")
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start())
+    assert query.awaitTermination(150)
+    dropped = [o["numRowsDroppedByWatermark"] for p in query.recentProgress
+               for o in p["stateOperators"]]
+    assert sum(dropped) == 0
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 3
+
+
+def test_stores_are_folded_and_batches_keep_their_time(spark, tmp_path):
+    stores = runner.Stores(str(tmp_path / "stores"))
+    step = runner.message_step(stores, compact_every=2)
+    for n in range(5):
+        step(frame(spark, envelope("COLLECT_DATA", [collect(tubeCode=f"t{n}")]), "{").withColumn(
+            "message_id", F.concat(F.lit(f"{n}-"), "message_id")), n)
+    person = stores.relation("person")
+    assert person._complete(spark, "base", None) == [3]
+    assert person._complete(spark, "delta", None) == [4]
+    assert {r.tubeCode for r in person.latest(spark).collect()} == {f"t{n}" for n in range(5)}
+    assert stores.sink("quarantine").latest(spark).count() == 5
+    before = sorted(map(repr, stores.sink("upload_log").latest(spark).collect()))
+    step(frame(spark, envelope("COLLECT_DATA", [collect(tubeCode="t4")]), "{").withColumn(
+        "message_id", F.concat(F.lit("4-"), "message_id")), 4)
+    assert sorted(map(repr, stores.sink("upload_log").latest(spark).collect())) == before
 
 
 def test_hour_stream_carries_both_stages_like_batch(spark, tmp_path):
@@ -196,7 +277,7 @@ def test_hour_stream_carries_both_stages_like_batch(spark, tmp_path):
         return {"collect": frames["collect"],
                 "report": R.with_collected_flag(frames["report"], known)}
 
-    out = runner.stream_hour(stages(M.stream_message_table(spark, folder, 1)))
+    out = runner.stream_hour(stages(M.stream_message_table(spark, folder, 1)), delay="1 minute")
     _run(lambda: runner.start_changelog(out, table, str(tmp_path / "cp"), ONCE))
     columns = ("union_id", "source", *stats.HOUR_SUMS, "create_time")
     batch = jobs.hour_changelog(jobs.hour_windows(stages(frame(spark, *values))))

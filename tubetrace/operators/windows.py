@@ -57,15 +57,25 @@ def windowed_stats(df: DataFrame, time_column: str, stat: WindowStat) -> DataFra
     return _flatten(grouped, stat)
 
 
-def stream_windowed_stats(df: DataFrame, time_column: str, stat: WindowStat,
-                          row_id, delay: str | None = None) -> DataFrame:
+ARRIVAL = "arrival"
+
+
+def stream_windowed_stats(df: DataFrame, time_column: str, stat: WindowStat, row_id,
+                          delay: str, clock: str = "event") -> DataFrame:
     """Streaming form of ``windowed_stats``, in append mode.
 
     ``row_id`` lists the columns that identify a row (a repeated row counts once).
-    ``delay`` is how late a row may come; it must be at least the window size, which is
-    the default.
+    ``clock="event"`` cuts windows on ``time_column``; ``delay`` is how late a row may come,
+    at least the window size. Spark drops what comes later: let the rows pass
+    ``runner.start_intake`` first, which puts them into a table of their own.
+    ``clock="arrival"`` cuts windows on the time of the micro-batch that brings a row. No row
+    is late then, and a batch that is run again keeps its time.
     """
-    delay = delay or stat.size
+    if clock not in ("event", ARRIVAL):
+        raise ValueError(f"no such clock: {clock}")
+    if clock == ARRIVAL:
+        df = df.filter(F.col(time_column).isNotNull()).withColumn("_arrived", F.current_timestamp())
+        time_column = "_arrived"
     identity = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in row_id])
     row_record = F.struct(F.lit("").alias("metric"), identity.alias("v"))
     records = [row_record] + [

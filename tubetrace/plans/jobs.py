@@ -291,10 +291,30 @@ def with_client_name(rows: DataFrame, clients: DataFrame) -> DataFrame:
     return joined.withColumn("report_client", F.coalesce("report_client", F.lit("")))
 
 
-def _id_of(table: str) -> Column:
+def id_of(table: str) -> Column:
     return hash_id(table, "union_id")
 
 
+# Sink columns that always hold the same.
+CITY_FIXED = {"problem_repeat": 0, "fix_number": 0, "fix_number_report": 0, "upload_result": 1,
+              "is_delete": 0}
+ORG_FIXED = {"is_delete": 0}
+TODAY_FIXED = {"number_report": None, "data_file": None, "upload_all": None, "upload_result": 1,
+               "is_delete": 0}
+GAP_FIXED = {"is_delete": 0}
+
+
+def _fixed(rows: DataFrame, table: str, values: dict) -> DataFrame:
+    return rows.withColumns({"id": id_of(table), **{n: F.lit(v) for n, v in values.items()}})
+
+
+def with_hour_columns(rows: DataFrame) -> DataFrame:
+    """``check_numbers`` repeats the persons checked; two other counts are always 0."""
+    return rows.withColumns({
+        "transfer_persons": F.lit(0), "receive_persons": F.lit(0),
+        "check_numbers": F.col("check_persons"), "is_delete": F.lit(0)})
+
+
 def _running(rows: DataFrame, sums, firsts=()) -> DataFrame:
     """Window rows of a key are bounded by the windows of its day: a plain window does."""
     return running_accumulate(rows, ["union_id"], [c for c in CHANGELOG_ORDER if c in rows.columns],
@@ -333,15 +353,15 @@ def city_changelog(rows: DataFrame) -> DataFrame:
         running={f"_r_{c}": F.col(c) for c in stats.CITY_SUMS},
         latest={f"_l_{c}": F.col(c) for c in ("upload_time", "create_by")})
     out = out.filter(F.col("_l_upload_time").isNotNull())
-    return out.withColumns({
+    out = out.withColumns({
         **{c: F.col(f"_r_{c}") for c in stats.CITY_SUMS},
         **{c: F.col(f"_l_{c}") for c in ("upload_time", "create_by")},
-        "id": _id_of("upload_log_city"), "upload_result": F.lit(1), "is_delete": F.lit(0),
     }).drop(*[c for c in out.columns if c.startswith(("_r_", "_l_"))])
+    return _fixed(out, "upload_log_city", CITY_FIXED)
 
 
 def org_changelog(rows: DataFrame) -> DataFrame:
-    return _running(rows, stats.ORG_SUMS).withColumn("id", _id_of("upload_log_org"))
+    return _fixed(_running(rows, stats.ORG_SUMS), "upload_log_org", ORG_FIXED)
 
 
 def delay_changelog(rows: DataFrame) -> DataFrame:
@@ -349,12 +369,12 @@ def delay_changelog(rows: DataFrame) -> DataFrame:
     out = _running(rows, ("delay_sum", "delay_count"), ("create_time",))
     return out.withColumns({
         "delay_num": truncated_mean("delay_sum", "delay_count"),
-        "delay_type": F.lit(stats.REPORT_DELAY_LABEL), "id": _id_of("data_time_delay")})
+        "delay_type": F.lit(stats.REPORT_DELAY_LABEL), "id": id_of("data_time_delay")})
 
 
 def hour_changelog(rows: DataFrame) -> DataFrame:
-    return _running(rows, stats.HOUR_SUMS, ("create_time",)).withColumn(
-        "id", _id_of("upload_log_hour"))
+    out = _running(rows, stats.HOUR_SUMS, ("create_time",))
+    return with_hour_columns(_fixed(out, "upload_log_hour", {}))
 
 
 def today_changelog(rows: DataFrame) -> DataFrame:
@@ -364,12 +384,12 @@ def today_changelog(rows: DataFrame) -> DataFrame:
                                "fail_hour_num": F.col("fail_number")})
     by_hour = running_accumulate(hourly, ["union_id", "_hour"], ["window_end"],
                                  sums=("upload_hour_num", "fail_hour_num")).drop("_hour")
-    return _running(by_hour, stats.TODAY_SUMS).withColumn("id", _id_of("upload_log_time"))
+    return _fixed(_running(by_hour, stats.TODAY_SUMS), "upload_log_time", TODAY_FIXED)
 
 
 def gap_changelog(rows: DataFrame) -> DataFrame:
-    return _running(rows, ("check_persons",), ("create_time",)).withColumn(
-        "id", _id_of("upload_log_checkhour"))
+    return _fixed(_running(rows, ("check_persons",), ("create_time",)), "upload_log_checkhour",
+                  GAP_FIXED)
 
 
 def latency_changelog(rows: DataFrame) -> DataFrame:

@@ -51,12 +51,29 @@ class KeyedTable:
             return None
         return upsert_latest(rows, self.keys, [BATCH, *self.order]).drop(BATCH)
 
-    def compact(self, spark: SparkSession) -> None:
-        """Fold all batches into one base. Older folders stay until they are cleaned up."""
-        batches = self._complete(spark, "delta", None)
-        if batches:
-            self.latest(spark).write.mode("overwrite").parquet(
-                self._folder("base", max(batches)))
+    def compact(self, spark: SparkSession, before: int | None = None) -> None:
+        """Fold all batches (those ``before`` one) into one base and remove what is folded.
+
+        Reads inside batch n stop before n, so folding the batches before n changes none of
+        them, however often n is repeated."""
+        batches = self._complete(spark, "delta", before)
+        if not batches:
+            return
+        end = max(batches)
+        self.latest(spark, before).write.mode("overwrite").parquet(self._folder("base", end))
+        for kind, last in (("delta", end), ("base", end - 1)):
+            for batch in self._complete(spark, kind, last + 1):
+                self._remove(spark, kind, batch)
+
+    def of_batch(self, spark: SparkSession, batch: int) -> DataFrame | None:
+        """The rows a batch wrote; None if it has not finished."""
+        if batch not in self._complete(spark, "delta", batch + 1):
+            return None
+        return spark.read.parquet(self._folder("delta", batch))
+
+    def _remove(self, spark, kind: str, batch: int) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(self._folder(kind, batch))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def _folder(self, kind: str, batch: int) -> str:
         return f"{self.path}/{kind}/{batch}"

@@ -4,13 +4,17 @@ Two shapes cover them all. Jobs about single messages and records run their batc
 on each micro-batch (``message_step``). Jobs about windows aggregate in Spark's streaming
 operators and accumulate the few window rows per key in state (``stream_changelog``).
 Both end in keyed tables whose writes can be repeated without counting twice.
+
+Windows on event time close. ``start_intake`` parses the messages once for all windowed
+jobs, writes the rows of each stage that are in time to a folder that the jobs read as a
+stream (``stage_stream``), and keeps those that come too late in tables (``Stores.late``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import hour_of, truncated_mean
+from ..operators import envelope as E
 from ..operators import issues as I
 from ..operators import relations as R
 from ..operators.running import accumulated, add_to_stored
@@ -46,6 +51,26 @@ class Stores:
     def issues(self) -> KeyedTable:
         return KeyedTable(f"{self.path}/issue_state", ["issue_key"])
 
+    @property
+    def batch_times(self) -> KeyedTable:
+        return KeyedTable(f"{self.path}/batch_time", ["batch"])
+
+    @property
+    def stage_clocks(self) -> KeyedTable:
+        """Latest time seen per stage."""
+        return KeyedTable(f"{self.path}/stage_clock", ["stage"])
+
+    def in_time(self, stage: str) -> KeyedTable:
+        return KeyedTable(f"{self.path}/intake_{stage}", ROW_ID)
+
+    def late(self, stage: str) -> KeyedTable:
+        return KeyedTable(f"{self.path}/late_{stage}", ROW_ID)
+
+    def read_per_batch(self) -> list[KeyedTable]:
+        """The tables that each micro-batch reads; they are folded from time to time."""
+        return [*(self.relation(n) for n in jobs.RELATION_KEYS), self.issues,
+                self.sink("upload_log_prob"), self.sink("hour_sum_report")]
+
 
 def _update_relations(stores: Stores, stages, spark: SparkSession, batch: int):
     """Add the batch to the relation tables; returns them as of after the batch."""
@@ -57,24 +82,39 @@ def _update_relations(stores: Stores, stages, spark: SparkSession, batch: int):
     return {n: stores.relation(n).latest(spark, before=batch + 1) for n in jobs.RELATION_KEYS}
 
 
+def _time_of_batch(stores: Stores, spark: SparkSession, batch: int, now: Column) -> Column:
+    """The time of a batch: taken once, stored, and the same in every retry and table."""
+    stored = stores.batch_times.of_batch(spark, batch)
+    if stored is None:
+        stores.batch_times.write_batch(spark.range(1).select(
+            F.lit(batch).alias("batch"), F.unix_micros(now).alias("micros")), batch)
+        stored = stores.batch_times.of_batch(spark, batch)
+    return F.timestamp_micros(F.lit(stored.first()["micros"]))
+
+
 def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp, secret=None,
-                 reopen: bool = True) -> Callable[[DataFrame, int], None]:
-    """Work on one micro-batch: relations, data check, message log, hourly summaries.
+                 reopen: bool = True, compact_every: int = 50) -> Callable[[DataFrame, int], None]:
+    """Work on one micro-batch: relations, data check, message log, hourly summaries, and the
+    messages that no job can use. Messages are parsed once.
 
     Relations are written before the records are checked against them. Every read of a
-    store stops before this batch, so a repeated batch gives the same rows.
+    store stops before this batch, so a repeated batch gives the same rows. Every
+    ``compact_every`` batches the stores that are read per batch are folded, so that a read
+    never takes more than that many folders.
     """
     def step(messages: DataFrame, batch: int) -> None:
         spark = messages.sparkSession
-        messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
-        kept = [messages]
+        at = _time_of_batch(stores, spark, batch, now())
+        read = E.read_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [read]
         try:
-            stages = jobs.stage_frames(messages)
+            parsed = E.accepted(read)
+            stages = jobs.stages_of(parsed)
             relations = _update_relations(stores, stages, spark, batch)
             matched = {n: rows.persist(StorageLevel.MEMORY_AND_DISK)
                        for n, rows in jobs.matched_stages(stages, relations).items()}
             kept.extend(matched.values())
-            checked = jobs.data_check(matched, now(), secret,
+            checked = jobs.data_check(matched, at, secret,
                                       stores.issues.latest(spark, before=batch), reopen)
             stores.issues.write_batch(checked.pop("issue_state"), batch)
             counts = stores.sink("upload_log_prob")
@@ -83,15 +123,19 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
                 I.COUNTER_KEYS, tuple(I.daily_counters()))
             hourly = stores.sink("hour_sum_report")
             totals = accumulated(
-                jobs.hourly_rows(messages, F.date_format(now(), "yyyy-MM-dd HH:mm:ss")),
+                jobs.hourly_rows_of(parsed, F.date_format(at, "yyyy-MM-dd HH:mm:ss")),
                 jobs.HOURLY_KEYS.values(), ROW_ID, sums=jobs.HOURLY_SUMS.values(),
                 firsts=("id", "create_time"), lasts=("update_time", "create_by", "is_delete"))
             checked["hour_sum_report"] = add_to_stored(
                 hourly.latest(spark, before=batch), totals, tuple(jobs.HOURLY_KEYS.values()),
                 tuple(jobs.HOURLY_SUMS.values()), ("id", "create_time"))
-            outputs = {**checked, **jobs.report_log(messages, matched, now(), secret)}
+            outputs = {**checked, **jobs.report_log(read, matched, at, secret, parsed),
+                       "quarantine": E.rejected(read)}
             for table, rows in outputs.items():
                 stores.sink(table).write_batch(rows, batch)
+            if batch and batch % compact_every == 0:
+                for store in stores.read_per_batch():
+                    store.compact(spark, before=batch)
         finally:
             for df in kept:
                 df.unpersist()
@@ -115,60 +159,126 @@ def start_enriched(messages: DataFrame, checkpoint: str, trigger=None, fmt="parq
 
 # --- windowed jobs ---------------------------------------------------------------------
 
-def _aggregate(delay: str | None):
-    return partial(stream_windowed_stats, row_id=ROW_ID, delay=delay)
+def intake_step(stores: Stores, delay: str) -> Callable[[DataFrame, int], None]:
+    """Work on one micro-batch: parse once, and split the rows of each stage into those in
+    time and those more than ``delay`` behind the latest row of an earlier batch.
+
+    A windowed job with the same ``delay`` reads the rows in the same order of batches, so its
+    watermark is never ahead of the one here: it drops none of the rows in time, and windows
+    and late rows together are all rows. Rows without a time belong to no window; they are
+    kept with the late ones.
+    """
+    def step(messages: DataFrame, batch: int) -> None:
+        spark = messages.sparkSession
+        parsed = E.accepted(E.read_messages(messages)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            stages = jobs.stages_of(parsed)
+            clocks = stores.stage_clocks.latest(spark, before=batch)
+            # one row per stage
+            seen = {} if clocks is None else {r.stage: r.micros for r in clocks.collect()}
+            latest = []
+            for name, rows in stages.items():
+                late = F.col("recTs").isNull()
+                if seen.get(name) is not None:
+                    bound = F.timestamp_micros(F.lit(seen[name])) - F.expr(f"interval {delay}")
+                    late = late | (F.col("recTs") <= bound)
+                stores.late(name).write_batch(rows.filter(late), batch)
+                stores.in_time(name).write_batch(rows.filter(~late), batch)
+                latest.append(rows.agg(F.greatest(
+                    F.max(F.unix_micros("recTs")), F.lit(seen.get(name)).cast("bigint"))
+                    .alias("micros")).select(F.lit(name).alias("stage"), "micros"))
+            stores.stage_clocks.write_batch(
+                reduce(DataFrame.unionByName, latest).coalesce(1), batch)
+            if batch and batch % 50 == 0:
+                stores.stage_clocks.compact(spark, before=batch)
+        finally:
+            parsed.unpersist()
+    return step
+
+
+def start_intake(messages: DataFrame, stores: Stores, delay: str, checkpoint: str,
+                 trigger=None) -> StreamingQuery:
+    writer = messages.writeStream.foreachBatch(intake_step(stores, delay))
+    return (writer.option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "2 minutes"})).start())
+
+
+def stage_stream(spark: SparkSession, stores: Stores, stage: str) -> DataFrame:
+    """The rows of a stage that came in time, as a stream. Start the intake first. A batch of
+    the intake that is repeated replaces its files; rows read twice count once."""
+    empty = spark.createDataFrame([], "message_id string, value string")
+    folder = f"{stores.in_time(stage).path}/delta"
+    return (spark.readStream.schema(jobs.stage_frames(empty)[stage].schema)
+            .option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+            .parquet(folder))
+
+
+def _aggregate(delay: str, clock: str):
+    return partial(stream_windowed_stats, row_id=ROW_ID, delay=delay, clock=clock)
+
+
+def _sunk(rows: DataFrame, table: str, **fixed) -> DataFrame:
+    """The columns that the batch form of the sink has, too."""
+    return rows.withColumns({"id": jobs.id_of(table), **{
+        name: F.lit(value) for name, value in fixed.items()}})
 
 
-def stream_city(matched: dict[str, DataFrame], rules: dict, now: Column, secret=None,
-                delay=None) -> DataFrame:
+def stream_city(matched: dict[str, DataFrame], rules: dict, now: Column, secret=None, *,
+                delay: str, clock: str = "event") -> DataFrame:
     """City and district statistics; collect and report rows come matched."""
     collect = jobs.with_flags(matched["collect"], rules["collect"], now, secret)
     report = matched["report"].withColumn("isCollected", F.col("matchCollectTime").isNotNull())
     report = jobs.with_flags(report, rules["report"], now, secret)
     rows = jobs.city_windows(collect, matched["transport"], matched["receive"], report,
-                             aggregate=_aggregate(delay))
+                             aggregate=_aggregate(delay, clock))
     credited = jobs.with_collect_credits(rows)
     out = stream_running(credited, "union_id", ["window_end", "is_credit"], stats.CITY_SUMS,
                          lasts=("upload_time", "create_by"))
-    return out.filter(F.col("upload_time").isNotNull())
+    return _sunk(out.filter(F.col("upload_time").isNotNull()), "upload_log_city",
+                 **jobs.CITY_FIXED)
 
 
-def stream_org(stages, organisations: DataFrame, delay=None) -> DataFrame:
-    rows = jobs.org_windows(stages, aggregate=_aggregate(delay))
-    return stream_running(jobs.with_org_code(rows, organisations), "union_id", ["window_end"],
-                          stats.ORG_SUMS)
+def stream_org(stages, organisations: DataFrame, *, delay: str, clock: str = "event") -> DataFrame:
+    rows = jobs.org_windows(stages, aggregate=_aggregate(delay, clock))
+    out = stream_running(jobs.with_org_code(rows, organisations), "union_id", ["window_end"],
+                         stats.ORG_SUMS)
+    return _sunk(out, "upload_log_org", **jobs.ORG_FIXED)
 
 
-def stream_delay(stages, clients: DataFrame, now: Column | None = None, delay=None) -> DataFrame:
-    rows = jobs.delay_windows(stages, now=now, aggregate=_aggregate(delay))
+def stream_delay(stages, clients: DataFrame, now: Column | None = None, *, delay: str,
+                 clock: str = "event") -> DataFrame:
+    rows = jobs.delay_windows(stages, now=now, aggregate=_aggregate(delay, clock))
     out = stream_running(jobs.with_client_name(rows, clients), "union_id", ["window_end"],
                          ("delay_sum", "delay_count"), ("create_time",))
-    return out.withColumns({"delay_num": truncated_mean("delay_sum", "delay_count"),
-                            "delay_type": F.lit(stats.REPORT_DELAY_LABEL)})
+    out = out.withColumn("delay_num", truncated_mean("delay_sum", "delay_count"))
+    return _sunk(out, "data_time_delay", delay_type=stats.REPORT_DELAY_LABEL)
 
 
-def stream_stage_delay(stages, delay=None) -> DataFrame:
-    return jobs.stage_delays(stages, aggregate=_aggregate(delay))
+def stream_stage_delay(stages, *, delay: str, clock: str = "event") -> DataFrame:
+    return jobs.stage_delays(stages, aggregate=_aggregate(delay, clock))
 
 
-def stream_hour(stages, delay=None) -> DataFrame:
+def stream_hour(stages, *, delay: str, clock: str = "event") -> DataFrame:
     """Persons per hour; report rows carry ``isCollected``."""
-    rows = jobs.hour_windows(stages, aggregate=_aggregate(delay))
-    return stream_running(rows, "union_id", ["window_end", "source"], stats.HOUR_SUMS,
-                          ("create_time",))
+    rows = jobs.hour_windows(stages, aggregate=_aggregate(delay, clock))
+    out = stream_running(rows, "union_id", ["window_end", "source"], stats.HOUR_SUMS,
+                         ("create_time",))
+    return jobs.with_hour_columns(_sunk(out, "upload_log_hour"))
 
 
-def stream_today(stages, delay=None) -> DataFrame:
-    rows = jobs.today_windows(stages, aggregate=_aggregate(delay)).withColumns({
+def stream_today(stages, *, delay: str, clock: str = "event") -> DataFrame:
+    rows = jobs.today_windows(stages, aggregate=_aggregate(delay, clock)).withColumns({
         "upload_hour": hour_of("upload_time"), "upload_hour_num": F.col("success_number"),
         "fail_hour_num": F.col("fail_number")})
-    return stream_running(rows, "union_id", ["window_end"], stats.TODAY_SUMS,
-                          sub_key="upload_hour", sub_sums=("upload_hour_num", "fail_hour_num"))
+    out = stream_running(rows, "union_id", ["window_end"], stats.TODAY_SUMS,
+                         sub_key="upload_hour", sub_sums=("upload_hour_num", "fail_hour_num"))
+    return _sunk(out, "upload_log_time", **jobs.TODAY_FIXED).drop("upload_hour")
 
 
-def stream_gap(report: DataFrame, delay=None) -> DataFrame:
-    rows = stats.gap_histogram(report, aggregate=_aggregate(delay))
-    return stream_running(rows, "union_id", ["window_end"], ("check_persons",), ("create_time",))
+def stream_gap(report: DataFrame, *, delay: str, clock: str = "event") -> DataFrame:
+    rows = stats.gap_histogram(report, aggregate=_aggregate(delay, clock))
+    out = stream_running(rows, "union_id", ["window_end"], ("check_persons",), ("create_time",))
+    return _sunk(out, "upload_log_checkhour", **jobs.GAP_FIXED)
 
 
 def start_changelog(rows: DataFrame, table: KeyedTable, checkpoint: str,
