@@ -51,17 +51,19 @@ class KeyedTable:
             return None
         return upsert_latest(rows, self.keys, [BATCH, *self.order]).drop(BATCH)
 
-    def compact(self, spark: SparkSession, before: int | None = None) -> None:
-        """Fold all batches (those ``before`` one) into one base and remove what is folded.
+    def compact(self, spark: SparkSession, before: int | None = None,
+                remove: bool = False) -> None:
+        """Fold all batches (those ``before`` one) into one base.
 
-        Reads inside batch n stop before n, so folding the batches before n changes none of
+        Older folders stay for reads as of an earlier batch, unless ``remove`` is set. Reads
+        inside batch n stop before n, so removing what is folded before n changes none of
         them, however often n is repeated."""
         batches = self._complete(spark, "delta", before)
         if not batches:
             return
         end = max(batches)
         self.latest(spark, before).write.mode("overwrite").parquet(self._folder("base", end))
-        for kind, last in (("delta", end), ("base", end - 1)):
+        for kind, last in (("delta", end), ("base", end - 1)) if remove else ():
             for batch in self._complete(spark, kind, last + 1):
                 self._remove(spark, kind, batch)
 

@@ -135,7 +135,7 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
                 stores.sink(table).write_batch(rows, batch)
             if batch and batch % compact_every == 0:
                 for store in stores.read_per_batch():
-                    store.compact(spark, before=batch)
+                    store.compact(spark, before=batch, remove=True)
         finally:
             for df in kept:
                 df.unpersist()
@@ -190,7 +190,7 @@ def intake_step(stores: Stores, delay: str) -> Callable[[DataFrame, int], None]:
             stores.stage_clocks.write_batch(
                 reduce(DataFrame.unionByName, latest).coalesce(1), batch)
             if batch and batch % 50 == 0:
-                stores.stage_clocks.compact(spark, before=batch)
+                stores.stage_clocks.compact(spark, before=batch, remove=True)
         finally:
             parsed.unpersist()
     return step
