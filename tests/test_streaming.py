@@ -242,18 +242,18 @@ def test_windows_on_arrival_time_lose_nothing(spark, tmp_path):
 
 def test_stores_are_folded_and_batches_keep_their_time(spark, tmp_path):
     stores = runner.Stores(str(tmp_path / "stores"))
-    step = runner.message_step(stores, compact_every=2)
-    for n in range(5):
+    step = runner.message_step(stores, compact_every=1)
+    for n in range(3):
         step(frame(spark, envelope("COLLECT_DATA", [collect(tubeCode=f"t{n}")]), "{").withColumn(
             "message_id", F.concat(F.lit(f"{n}-"), "message_id")), n)
     person = stores.relation("person")
-    assert person._complete(spark, "base", None) == [3]
-    assert person._complete(spark, "delta", None) == [4]
-    assert {r.tubeCode for r in person.latest(spark).collect()} == {f"t{n}" for n in range(5)}
-    assert stores.sink("quarantine").latest(spark).count() == 5
+    assert person._complete(spark, "base", None) == [1]
+    assert person._complete(spark, "delta", None) == [2]
+    assert {r.tubeCode for r in person.latest(spark).collect()} == {f"t{n}" for n in range(3)}
+    assert stores.sink("quarantine").latest(spark).count() == 3
     before = sorted(map(repr, stores.sink("upload_log").latest(spark).collect()))
-    step(frame(spark, envelope("COLLECT_DATA", [collect(tubeCode="t4")]), "{").withColumn(
-        "message_id", F.concat(F.lit("4-"), "message_id")), 4)
+    step(frame(spark, envelope("COLLECT_DATA", [collect(tubeCode="t2")]), "{").withColumn(
+        "message_id", F.concat(F.lit("2-"), "message_id")), 2)
     assert sorted(map(repr, stores.sink("upload_log").latest(spark).collect())) == before
 
 
