@@ -95,7 +95,7 @@ def _enriched_element(kind: Column, members: Column) -> Column:
         changes[name] = F.when(kind.isin(*REPORT.types) & (label != code), _variant(label))
     for name, space in TUBE_SPACES.items():
         changes[name] = _with_tube_ids(member(name), space)
-    return _with_id(_changed(members, changes), new_id)
+    return _changed(_with_id(members, new_id), changes)
 
 
 def enrich_messages(messages: DataFrame) -> DataFrame:
