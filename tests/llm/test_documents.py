@@ -156,6 +156,21 @@ def test_ppm_against_brute_force(spark_llm, odd, none):
     assert untaught.n_known == 0 and untaught.train_tokens == 0
 
 
+@pytest.mark.parametrize("capacity", [0, 40])
+def test_ppm_uses_the_contexts_outside_the_shared_trie(spark_llm, odd, capacity):
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("ab c"), 30)) for _ in range(40)] + ["zzzzzz \u00e9 abcabcab", ""]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    small = spark_llm.createDataFrame(rows, "doc_id long, text string")
+    for docs in (small, odd.where("doc_id is not null").select("doc_id", "text")):
+        training = F.col("doc_id") % 3 != 1
+        want = {r.doc_id: r.score for r in ppm.score_documents(docs, training).distinct().collect()}
+        found = ppm.score_documents(docs, training, capacity=capacity).distinct().collect()
+        assert len(found) == len(want)
+        for r in found:
+            assert r.score == pytest.approx(want[r.doc_id], abs=1e-3, rel=1e-4)
+
+
 def test_ppm_probabilities_add_up():
     keys, _ = ppm.gram_keys([b"abracadabra", b"abrakadabra", b""])
     grams = Counter(int(k) for s in range(1, ppm.ORDER + 2) for k in ppm.shorter(keys, s))

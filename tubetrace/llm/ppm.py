@@ -13,8 +13,10 @@ Corpus counts cover every training text and are made by Spark: bytes in contexts
 counted per task and added by key. What goes to all tasks is bounded by parameters: the
 contexts of the trie with the highest counts, ``CAPACITY`` entries at most (the contexts of
 no and one byte are always there), and the counts of the ``FREQUENT`` most frequent words.
-Escapes from a context that is not in the trie go the way they always go, so every text has
-a probability. The words that are not among the frequent ones are looked up by a join.
+Everything else stays in Spark and is looked up by joins: the words that are not among the
+frequent ones, and the contexts that are not in the trie. The probability of a byte depends
+on the ``ORDER`` bytes before it only, so each distinct context and byte that the trie cannot
+answer is looked up once; the counts that find it give what the whole trie would give.
 
 The base score is an add-one model of words: A-Z lower-cased, one end per text counted as a
 token of its own.
@@ -123,9 +125,11 @@ def corpus_counts(docs: DataFrame, text: str) -> DataFrame:
     return rows.groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
-def largest(rows: DataFrame, size: str, weight: str, capacity: int) -> DataFrame:
+def split(rows: DataFrame, size: str, weight: str,
+          capacity: int) -> tuple[DataFrame, DataFrame | None]:
     """The rows with the highest ``size`` of which the ``weight`` adds up to ``capacity`` at
-    most; sizes are compared by the eighth of a power of two, so no sort is needed."""
+    most, and the others, None if there are none; sizes are compared by the eighth of a power
+    of two, so no sort is needed."""
     level = F.floor(F.log2(size) * 8)
     levels = rows.groupBy(level.alias("level")).agg(F.sum(weight).alias("w")).collect()  # <= 512
     least, total = math.inf, 0
@@ -134,7 +138,11 @@ def largest(rows: DataFrame, size: str, weight: str, capacity: int) -> DataFrame
         if total > capacity:
             break
         least = row["level"]
-    return rows.where(level >= F.lit(least)) if math.isfinite(least) else rows.limit(0)
+    else:
+        return rows, None
+    if not math.isfinite(least):
+        return rows.limit(0), rows
+    return rows.where(level >= F.lit(least)), rows.where(level < F.lit(least))
 
 
 class Lookup:
@@ -185,9 +193,11 @@ def log10(x):
 
 class Trie:
     """Probabilities of bytes in contexts. keys: contexts with the byte after them, n: counts.
-    With a context all its suffixes have to be there, with all their bytes."""
+    With a context all its suffixes have to be there, with all their bytes. Unless it is
+    ``whole``, there are contexts of two bytes and more elsewhere."""
 
-    def __init__(self, keys: np.ndarray, n: np.ndarray):
+    def __init__(self, keys: np.ndarray, n: np.ndarray, whole: bool = True):
+        self.whole = whole
         order = np.argsort(keys)
         keys, n = keys[order], n[order].astype(np.float64)
         contexts, at, d = np.unique(keys >> 8, return_inverse=True, return_counts=True)
@@ -215,31 +225,53 @@ class Trie:
         for name in ("log_n", "top", "escape", "left", "pass_on"):
             setattr(self, name, getattr(self, name).astype(np.float32))
 
-    def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each key of ``gram_keys``."""
+    def log_probabilities(self, keys: np.ndarray, size: int = ORDER,
+                          above: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """log10 probability of the last byte of each key of ``gram_keys``, from the context of
+        ``size`` bytes on; nan where the longest context may be elsewhere. above: what is left
+        and what passing on costs in that context after one that is a byte longer, nan where
+        there was none."""
         out = np.zeros(len(keys), np.float32)
         todo, child = np.arange(len(keys)), np.full(len(keys), -1, np.int32)
-        now = keys
-        for k in range(ORDER, -1, -1) if len(self.escape) else ():
-            if k < ORDER:
+        now = keys if size == ORDER else shorter(keys, size + 1)
+        for k in range(size, -1, -1) if len(self.escape) else ():
+            if k < size:
                 now = shorter(now, k + 1)
             found = self.grams(now)
             hit = found >= 0
             g, c = found[hit], child[hit]
             out[todo[hit]] += np.where(c >= 0, self.log_n[g] - self.left[c], self.top[g])
+            if above is not None and k == size:
+                out[hit] = np.where(np.isnan(above[0][hit]), out[hit], self.log_n[g] - above[0][hit])
             todo, child, now = todo[~hit], child[~hit], now[~hit]
             if not len(todo):
                 return out
             context = self.contexts(now >> 8)
-            out[todo] += np.where(child >= 0, self.pass_on[child],
-                                  np.where(context >= 0, self.escape[context], 0))
+            if k == ORDER and not self.whole:
+                there = context >= 0
+                out[todo[~there]] = np.nan
+                todo, child, now, context = todo[there], child[there], now[there], context[there]
+            cost = np.where(child >= 0, self.pass_on[child],
+                            np.where(context >= 0, self.escape[context], 0))
+            if above is not None and k == size:
+                cost = np.where(np.isnan(above[1][todo]), cost, above[1][todo])
+            out[todo] += cost
             child = np.where(context >= 0, context, child)
         out[todo] += np.float32(self.unseen)
         return out
 
+    def longest(self, keys: np.ndarray) -> np.ndarray:
+        """How many bytes the longest context of each key has that is there."""
+        out = np.zeros(len(keys), np.int64)
+        for k in range(1, ORDER + 1):
+            out[self.contexts(shorter(keys >> 8, k)) >= 0] = k
+        return out
+
 
-def build_trie(counts: DataFrame, capacity: int) -> Trie:
-    """The trie of the corpus counts; ``capacity`` bounds what comes to the driver."""
+def build_trie(counts: DataFrame, capacity: int) -> tuple[Trie, DataFrame, DataFrame | None]:
+    """The trie of the most frequent contexts, (key, n) of all, and (context, t, d, rest_t,
+    rest_d) of the contexts that are not in it, None if there are none; ``capacity`` bounds
+    what comes to the driver."""
     sizes = range(1, ORDER + 2)
     suffix = F.explode(F.array(*(
         F.col("gram").bitwiseAND(F.lit((1 << 8 * s) - 1)) + F.lit(1 << 8 * s) for s in sizes)))
@@ -249,10 +281,87 @@ def build_trie(counts: DataFrame, capacity: int) -> Trie:
     grams = stored(grams)
     contexts = grams.groupBy("context").agg(F.sum("n").alias("t"), F.count("*").alias("d"))
     short = F.col("context") < (1 << 16)  # no byte or one
-    kept = (contexts.where(short).select("context")
-            .union(largest(contexts.where(~short), "t", "d", capacity).select("context")))
+    kept, rest = split(contexts.where(~short), "t", "d", capacity)
+    kept = contexts.where(short).select("context").union(kept.select("context"))
     rows = grams.join(kept, "context").select("key", "n").toArrow()
-    return Trie(rows.column("key").to_numpy(), rows.column("n").to_numpy())
+    trie = Trie(rows.column("key").to_numpy(), rows.column("n").to_numpy(), rest is None)
+    return trie, grams.select("key", "n"), None if rest is None else stored(
+        rare_contexts(grams, contexts, rest))
+
+
+def without_first(column: str) -> Column:
+    """A key or context without its first byte."""
+    c, out = F.col(column), F.lit(None)
+    for s in range(ORDER + 1, 0, -1):
+        unit = 1 << 8 * (s - 1)
+        out = F.when(c < 1 << 8 * s + 1, c.bitwiseAND(F.lit(unit - 1)) + F.lit(unit)).otherwise(out)
+    return out
+
+
+def rare_contexts(grams: DataFrame, contexts: DataFrame, rare: DataFrame) -> DataFrame:
+    """The ``rare`` ones of the contexts with what is left in the next shorter context without
+    their bytes. No more than 256 rows meet a row in either join."""
+    below = (grams.join(rare.select("context"), "context")
+             .select("context", without_first("key").alias("key"))
+             .join(grams.select("key", "n"), "key")
+             .groupBy("context").agg(F.sum("n").alias("below")))
+    up = contexts.select(F.col("context").alias("up"), F.col("t").alias("t_up"),
+                         F.col("d").alias("d_up"))
+    return (rare.join(below, "context").withColumn("up", without_first("context"))
+            .join(up, "up").select("context", "t", "d", (F.col("t_up") - F.col("below")).alias("rest_t"),
+                                   (F.col("d_up") - F.col("d")).alias("rest_d")))
+
+
+def looked_up(keys: DataFrame, shared, grams: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(key, log) for distinct keys that the trie ``shared`` has no answer for."""
+    sizes = range(ORDER, 1, -1)
+
+    def probe(batches):
+        model = shared.value[0]
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            longest = model.longest(key)
+            rows = [(key[at], np.full(len(at), s), shorter(key[at], s + 1))
+                    for s in sizes for at in [np.flatnonzero(longest < s)]]
+            key, size, gram = map(np.concatenate, zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(size, pa.int64()), pa.array(gram), pa.array(gram >> 8)],
+                ["key", "size", "gram", "context"])
+
+    names = ("n", "t", "d", "rest_t", "rest_d")
+    found = (keys.mapInArrow(probe, "key long, size long, gram long, context long")
+             .join(contexts, "context", "left")
+             .join(grams.select(F.col("key").alias("gram"), "n"), "gram", "left")
+             .groupBy("key").agg(*(
+                 F.coalesce(F.max(F.when(F.col("size") == s, F.col(c))), F.lit(0)).alias(f"{c}{s}")
+                 for s in sizes for c in names)))
+
+    def solve(batches):
+        model = shared.value[0]
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            out, done = np.zeros(len(key)), np.zeros(len(key), bool)
+            left, passed = np.full(len(key), np.nan), np.full(len(key), np.nan)
+            for s in sizes:
+                n, t, d, rest_t, rest_d = (
+                    batch.column(f"{c}{s}").to_numpy().astype(np.float64) for c in names)
+                at = np.flatnonzero((t > 0) & ~done)
+                n, t, d, rest_t, rest_d = n[at], t[at], d[at], rest_t[at], rest_d[at]
+                first, hit = np.isnan(left[at]), n > 0
+                gone = np.log10(np.maximum(2 * n - 1, 1)) - np.where(first, np.log10(2 * t), left[at])
+                escaped = np.where(first, np.log10(d / (2 * t)), passed[at])
+                out[at] += np.where(hit, gone, escaped)
+                done[at] = hit
+                some = rest_d > 0
+                left[at] = np.log10(np.where(some, 2 * rest_t, 1))
+                passed[at] = np.log10(np.where(some, rest_d, 1)) - left[at]
+            longest = model.longest(key)
+            for s in range(ORDER):
+                at = np.flatnonzero((longest == s) & ~done)
+                out[at] += model.log_probabilities(key[at], s, (left[at], passed[at]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["key", "log"])
+
+    return found.mapInArrow(solve, "key long, log double")
 
 
 def score_documents(docs: DataFrame, training: Column, text: str = "text",
@@ -262,17 +371,17 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text",
     rows for which ``training`` holds are what is learned from."""
     spark = docs.sparkSession
     counts = stored(corpus_counts(docs.where(training), text))
-    trie = build_trie(counts, capacity)
+    trie, grams, contexts = build_trie(counts, capacity)
     vocabulary = counts.where(F.col("word").isNotNull()).select("word", F.col("n").alias("c"))
     totals = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_train, n_types = totals
-    common = largest(vocabulary.withColumn("one", F.lit(1)), "c", "one", frequent).toArrow()
+    common = split(vocabulary.withColumn("one", F.lit(1)), "c", "one", frequent)[0].toArrow()
     # both are bounded by parameters
     shared = spark.sparkContext.broadcast((
         trie, common.column("word").to_pylist(), common.column("c").to_pylist()))
     schema = docs.select(*carry).schema
     for field in fields_of("n_tokens long, known long, logs double, score double, "
-                           "rare array<binary>"):
+                           "rare array<binary>, open array<long>"):
         schema = schema.add(field)
 
     def run(batches):
@@ -297,11 +406,17 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text",
                     known.append(len(values))
                     sums.append(math.fsum(values))
                 keys, starts = gram_keys(bodies)
-                score = np.add.reduceat(model.log_probabilities(keys), starts, dtype=np.float64)
+                logs_of = model.log_probabilities(keys)
+                at_open = np.flatnonzero(np.isnan(logs_of))
+                logs_of[at_open] = 0
+                score = np.add.reduceat(logs_of, starts, dtype=np.float64)
+                cuts = np.searchsorted(at_open, [*starts, len(keys)])
+                left_open = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(keys[at_open]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in range(len(carry))]
                     + [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(sums),
-                       pa.array(score), pa.array(rare, pa.list_(pa.binary()))], schema.names)
+                       pa.array(score), pa.array(rare, pa.list_(pa.binary())), left_open],
+                    schema.names)
 
     scored = stored(docs.select(*carry, F.col(text).alias("__text")).mapInArrow(run, schema)
                     .withColumn("__row", F.monotonically_increasing_id()))
@@ -310,10 +425,19 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text",
             .join(vocabulary, "word")
             .groupBy("__row").agg(F.sum("times").alias("more"),
                                   F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more_logs")))
+    score = F.col("score")
+    if contexts is not None:
+        opened = stored(scored.select("__row", F.explode("open").alias("key"))
+                        .groupBy("__row", "key").agg(F.count("*").alias("times")))
+        answers = looked_up(opened.select("key").distinct(), shared, grams, contexts)
+        opened = (opened.join(answers, "key").groupBy("__row")
+                  .agg(F.sum(F.col("times") * F.col("log")).alias("more_score")))
+        scored = scored.join(opened, "__row", "left")
+        score = (score + F.coalesce("more_score", F.lit(0.0))).alias("score")
     zero = F.lit(0)
-    return (scored.drop("rare").join(rare, "__row", "left")
+    return (scored.drop("rare", "open").join(rare, "__row", "left")
             .select(*carry, "n_tokens", (F.col("known") + F.coalesce("more", zero)).alias("n_known"),
                     F.lit(n_train).cast("long").alias("train_tokens"),
                     (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
                      - F.col("n_tokens") * F.lit(math.log10(n_train + n_types + 1)))
-                    .alias("base_score"), "score"))
+                    .alias("base_score"), score))
