@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tubetrace.llm import bpe, packing
@@ -86,6 +87,18 @@ def test_packing(odd, none):
     assert packing.pack_documents(none, WORDS).count() == 0
 
 
+def test_pieces_are_packed_online_in_hash_order(spark_llm):
+    rng = np.random.default_rng(6)
+    items = spark_llm.createDataFrame(
+        [(i, int(n)) for i, n in enumerate(rng.integers(1, 60, 300))], "doc_id long, length long")
+    rows = packing.pack(items, 1, capacity=64, open_bins=8).withColumn(
+        "order", F.xxhash64("doc_id", "length")).collect()
+    bins = packing.BestFit(64, 8)
+    for r in sorted(rows, key=lambda r: r.order):
+        assert (r.sequence_id, r.offset) == bins.place(r.length)
+    assert packing.DOCS_PER_PARTITION > 10 * packing.OPEN_BINS
+
+
 def test_fullest_bin_closes_first():
     bins = packing.BestFit(10, 2)
     assert [bins.place(n) for n in (6, 7, 8)] == [(0, 0), (1, 0), (2, 0)]  # closes 1, then 0 stays

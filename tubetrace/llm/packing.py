@@ -33,7 +33,7 @@ from .common import Recent, fields_of
 # documents a partition gets on average: few partitions leave few unfilled last bins, and
 # packing 100,000 pieces takes less than a second
 DOCS_PER_PARTITION = 50_000
-OPEN_BINS = 65_536
+OPEN_BINS = 1024  # far fewer than the pieces of a partition
 # fixed value: controls that str.split cuts at, but the normalizer of the vocabulary keeps
 KEPT_CONTROLS = re.compile("[\x1c-\x1f]")
 # fixed value: letters whose lower case is one letter and which no normalization joins
@@ -170,7 +170,7 @@ def pack(items: DataFrame, partitions: int, capacity: int = 2048, open_bins: int
     names = items.columns
     order = F.xxhash64(*names)
     dealt = (items.withColumn("__order", order).repartition(partitions, "__order")
-             .sortWithinPartitions(F.desc(length), "__order", *names))
+             .sortWithinPartitions("__order", *names))
     schema = items.schema
     for field in fields_of("sequence_id long, offset long"):
         schema = schema.add(field)
