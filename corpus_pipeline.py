@@ -15,6 +15,7 @@ from tubetrace.llm import minhash, packing, quality_rules, toxicity
 from tubetrace.llm.common import fold, package_for_workers, read, stored
 
 TOXIC = 0.5
+SIMILAR = 80  # per cent of the shingles of two documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +34,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     package_for_workers(spark)
-    return minhash.one_of_each_group(docs)
+    return minhash.one_of_each_group(docs, SIMILAR)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,15 @@ from tubetrace.llm import toxicity
 NET = toxicity.train(*(lambda n: (["fine words here"] * n + ["vile words here"] * n, [0] * n + [1] * n))(20), steps=60)
 
 
+def test_near_copies_from_eight_tenths_on_are_linked(spark_llm, tmp_path):
+    words = [f"w{k}" for k in range(200)]
+    near = [f"n{k}" if k in (20, 60, 100, 140) else w for k, w in enumerate(words)]  # 176 of 216
+    docs = spark_llm.createDataFrame(
+        [(i, " ".join(w)) for i, w in enumerate((words, near))], "doc_id long, text string")
+    left = corpus_pipeline.distinct(spark_llm, docs, str(tmp_path)).collect()
+    assert [r.doc_id for r in left] == [0]
+
+
 def test_stages(spark_llm, odd, tmp_path, monkeypatch):
     prose = [" ".join(f"w{i}_{k}" for k in range(60)) + "." for i in range(4)]
     rows = [(i, t) for i, t in enumerate([*prose, prose[0], prose[1] + " vile", "$$$ " * 40, None, ""])]
