@@ -237,6 +237,18 @@ def test_minhash_against_all_pairs(spark_llm, odd, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_one_row_of_a_group_stays_whatever_its_ids_are(spark_llm):
+    def near(name):
+        words = [f"{name}{k}" for k in range(200)]
+        return " ".join(words), " ".join([*words[:100], "other", *words[101:]])
+
+    rows = [*((1, t) for t in near("a")), *((None, t) for t in near("b")),
+            *zip((3, 4), near("c"), strict=True), (1, " ".join(f"d{k}" for k in range(200)))]
+    df = spark_llm.createDataFrame(rows, "doc_id long, text string")
+    left = minhash.one_of_each_group(df).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in left) == [(0, "b"), (1, "a"), (1, "d"), (3, "c")]
+
+
 def test_large_buckets_are_cut(spark_llm, monkeypatch):
     """Chunks find the same groups as whole buckets."""
     monkeypatch.setattr(minhash, "CHUNK", 5)

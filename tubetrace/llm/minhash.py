@@ -355,8 +355,10 @@ def one_of_each_group(docs: DataFrame, per_cent: int = 85, key: str = "doc_id",
     rows = rows.withColumns({"own_digest": F.unhex(F.md5(body)), "own_name": name})
     # the texts stay where they are: only digests and ids go through the search
     marked = near_duplicates(rows, per_cent, f"in_{key}", f"in_{text}", ("own_digest", "own_name"))
-    wanted = (marked.where(F.col("kept") & F.col("group_id").isNotNull())
-              .select("own_digest", "own_name").distinct())
+    # the smallest key may occur twice in a group, with different texts, or be null
+    wanted = (marked.where(F.col("kept") & F.col("group_id").isNotNull()).groupBy("group_id")
+              .agg(F.min(F.struct("own_name", "own_digest")).alias("one"))
+              .select("one.own_digest", "one.own_name"))
     # repeated rows share both columns, and rows are joined by both: no further shuffle
     grouped = rows.join(wanted, ["own_digest", "own_name"], "left_semi").dropDuplicates(
         ["own_digest", "own_name"])
