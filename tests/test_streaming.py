@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from messages import collect, envelope, frame, report
 from tubetrace.operators import envelope as E
 from tubetrace.operators import relations as R
+from tubetrace.operators.windows import WindowStat, stream_windowed_stats
 from tubetrace.plans import jobs, stats
 from tubetrace.schemas import COLLECT, REPORT
 from tubetrace.sources import messages as M
@@ -240,6 +241,19 @@ def test_windows_on_arrival_time_lose_nothing(spark, tmp_path):
     assert sum(p["numInputRows"] for p in query.recentProgress) == 3
 
 
+def test_rows_without_a_time_count_on_arrival(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    _put(spark, folder, 1, *[envelope("REPORT_DATA", [report()], interfaceRecTime=t)
+                             for t in ("2024-01-05 12:00:00", "no time", None)])
+    rows = E.stage_from_messages(M.stream_message_table(spark, folder), REPORT)
+    stat = WindowStat("1 second", {"area_id": F.col("areaId")}, {"n": F.lit(1)})
+    counted = stream_windowed_stats(rows, "recTs", stat, runner.ROW_ID, "1 second", "arrival")
+    query = (counted.writeStream.outputMode("update").format("memory").queryName("untimed")
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start())
+    assert query.awaitTermination(150)
+    assert spark.sql("select sum(n) from untimed").first()[0] == 3
+
+
 def test_stores_are_folded_and_batches_keep_their_time(spark, tmp_path):
     stores = runner.Stores(str(tmp_path / "stores"))
     step = runner.message_step(stores, compact_every=1)

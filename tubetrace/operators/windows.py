@@ -69,12 +69,13 @@ def stream_windowed_stats(df: DataFrame, time_column: str, stat: WindowStat, row
     at least the window size. Spark drops what comes later: let the rows pass
     ``runner.start_intake`` first, which puts them into a table of their own.
     ``clock="arrival"`` cuts windows on the time of the micro-batch that brings a row. No row
-    is late then, and a batch that is run again keeps its time.
+    is late then, rows without ``time_column`` count as well, and a batch that is run again
+    keeps its time.
     """
     if clock not in ("event", ARRIVAL):
         raise ValueError(f"no such clock: {clock}")
     if clock == ARRIVAL:
-        df = df.filter(F.col(time_column).isNotNull()).withColumn("_arrived", F.current_timestamp())
+        df = df.withColumn("_arrived", F.current_timestamp())
         time_column = "_arrived"
     identity = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in row_id])
     row_record = F.struct(F.lit("").alias("metric"), identity.alias("v"))
