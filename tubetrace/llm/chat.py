@@ -12,8 +12,8 @@ number is a rank in a block of turns plus the sizes of the blocks before, so a c
 may be of any length. Only DataFrame functions are used.
 
 Defined cases: a null text is empty; a null or empty role is the participant ``unknown``; a
-row without a conversation id is a dialogue of one turn. Rows that repeat another
-in all four columns are rendered once. Participants that say nothing but empty texts count.
+row without a conversation id is a dialogue of one turn. Rows that are equal in conversation,
+turn (or lack of one), speaker and text after that are rendered once, as in the SQL. Participants that say nothing but empty texts count.
 Markers inside texts and names are kept as they are, but line ends in a name become spaces.
 An empty table gives an empty one; further columns are ignored.
 """
