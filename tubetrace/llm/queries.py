@@ -13,6 +13,8 @@ from . import (
     bpe,
     chat,
     embed_dedup,
+    exact_dedup,
+    lexical,
     minhash,
     packing,
     ppm,
@@ -20,6 +22,7 @@ from . import (
     quality_rules,
     sharding,
     toxicity,
+    whitening,
 )
 from .common import fold, package_for_workers, read
 from .queries_sql import ORACLES  # noqa: F401
@@ -104,3 +107,20 @@ def op10_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (pu_quality.score_documents(docs, learn, web)
             .select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (whitening.component_rows(whitening.whiten(read(spark, sf_dir, "embeddings")))
+            .select("vec_id", "component", "n", "deviation", "whitened", "explained",
+                    "identity_error"))

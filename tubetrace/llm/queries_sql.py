@@ -158,3 +158,48 @@ select e.vec_id, coalesce(n, 0) as n_links, component_id, e.vec_id = component_i
 from embeddings e left join (select a, count(*) as n from links group by a) on a = e.vec_id
 join component on node = e.vec_id
 """
+
+ORACLES["op11_exact_dedup"] = r"""
+with contents as (
+  select doc_id, length(coalesce(text, '')) as points,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as content
+  from documents),
+grouped as (
+  select doc_id, content, first_value(doc_id) over best as keep_id,
+         row_number() over best as place, count(*) over (partition by content) as group_size
+  from contents window best as (partition by content order by points desc, doc_id nulls last))
+select doc_id, keep_id, group_size, place = 1 as kept, sha256(content) as text_sha256 from grouped
+"""
+
+ORACLES["op12_lexical_search"] = r"""
+with numbered as (select row_number() over () as doc, doc_id, text from documents),
+lowered as (
+  select doc, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                        as text from numbered where text is not null),
+doc_terms as (
+  select doc, unnest(regexp_extract_all(text, '[0-9a-z\x{80}-\x{10FFFF}]+')) as term from lowered),
+postings as (select doc, term, count(*) as tf from doc_terms group by all),
+lengths as (select doc, count(*) as n from doc_terms group by doc),
+corpus as (select count(*) as documents, cast(sum(n) as bigint) as terms from lengths),
+item_terms as (
+  select item, item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+')) as term
+  from (select row_number() over () as item, * from benchmark)),
+wanted as (select item, item_id, term, count(*) as repeats from item_terms group by all),
+weights as (
+  select term, cast(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1)))
+                    as bigint) as weight
+  from postings cross join corpus where term in (select term from wanted) group by term),
+impacts as (
+  select doc, term, weight * ((1000000000 * tf)
+           // (1000 * tf + 12 * (75 + (25 * n * documents) // terms))) as impact
+  from postings join weights using (term) join lengths using (doc) cross join corpus),
+scores as (
+  select item, item_id, doc, cast(sum(repeats * impact) as bigint) as score
+  from wanted join impacts using (term) group by all having sum(repeats * impact) > 0),
+ranked as (
+  select *, row_number() over (partition by item order by score desc, doc_id nulls last) as rank
+  from scores join (select doc, doc_id from lowered) using (doc))
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 20
+"""
