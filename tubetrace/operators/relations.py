@@ -8,8 +8,8 @@ Three tables, each with one row per key:
 aggregation (last write wins per column) and joined, so a lookup of any number of
 records costs one shuffle rather than a read per record.
 
-The place of a write is compared as a struct of numbers. A hash would be narrower, but it
-would leave the order of writes in one second to chance.
+The place of a write is one number of fixed width, so that the aggregates hash and never
+sort: second, partition and offset of the message, position in the message.
 """
 
 from __future__ import annotations
@@ -28,14 +28,34 @@ DELIVERY_KEY = ("deliveryCode",)
 ORDER = ("recTs", "message_id", "pos")
 
 
+# digits of the parts of a place; together they fill a decimal(38, 0)
+SECOND_DIGITS, PARTITION_DIGITS, OFFSET_DIGITS, POSITION_DIGITS = 12, 5, 15, 6
+FIRST_SECOND = 10 ** 11  # added, so that times before 1970 are positive, too
+
+
+def _digits(value: Column, width: int) -> Column:
+    return F.lpad(F.right(value, F.lit(width)), width, "0")
+
+
 def arrival_order(order=ORDER) -> Column:
-    """Place of a row in time: seconds, then the message and the place in it, so that the
-    last write wins inside a second and inside a message, too. Message ids are texts that
-    end in a number: of two, the shorter is the earlier."""
-    first, *rest = order
-    by_number = [c for name in rest
-                 for c in (F.length(F.col(name).cast("string")).alias(f"{name}_length"), name)]
-    return F.struct(F.unix_seconds(first).alias("seconds"), *by_number)
+    """Place of a row in time as decimal(38, 0): the last write wins inside a second and inside
+    a message, too.
+
+    A message id ends in the number of the message in its partition, with the partition
+    before it where there are several; an id without numbers gets one from a hash. A row
+    without a time comes before all others.
+    """
+    first, message, *position = order
+    text = F.col(message).cast("string")
+    offset = F.regexp_extract(text, r"(\d+)$", 1)
+    offset = F.when(offset != "", offset).otherwise(F.crc32(text).cast("string"))
+    seconds = F.coalesce(F.unix_seconds(first) + F.lit(FIRST_SECOND), F.lit(0)).cast("string")
+    place = F.col(position[0]).cast("string") if position else F.lit("0")
+    return F.concat(
+        _digits(seconds, SECOND_DIGITS),
+        _digits(F.regexp_extract(text, r"(\d+)\D\d+$", 1), PARTITION_DIGITS),
+        _digits(F.coalesce(offset, F.lit("0")), OFFSET_DIGITS),
+        _digits(F.coalesce(place, F.lit("0")), POSITION_DIGITS)).cast("decimal(38,0)")
 
 
 def _latest(column: str) -> Column:
