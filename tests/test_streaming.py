@@ -1,5 +1,7 @@
 """Streams against the batch result over the same messages, with a restart in between."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from tubetrace.operators.windows import WindowStat, stream_windowed_stats
 from tubetrace.plans import jobs, stats
 from tubetrace.schemas import COLLECT, REPORT
 from tubetrace.sources import messages as M
+from tubetrace.sources import tables
 from tubetrace.sources.tables import KeyedTable
 from tubetrace.streaming import runner
 from tubetrace.streaming.state import stream_issues
@@ -298,3 +301,56 @@ def test_hour_stream_carries_both_stages_like_batch(spark, tmp_path):
     got = table.changelog(spark).filter("area_id = 6101")
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(
         map(tuple, batch.select(*columns).collect()))
+
+
+def test_a_batch_reads_as_much_of_a_large_store_as_of_a_small_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "PART_BYTES", 3000)
+    store = KeyedTable(str(tmp_path / "store"), ["k"])
+    read = {}
+    for batch in range(50):
+        spark.range(batch * 100, batch * 100 + 100).selectExpr(
+            "concat('key', id) as k", "id as v", "md5(cast(id as string)) as pad").coalesce(
+            1).write.mode("overwrite").parquet(f"{store.path}/delta/{batch}")
+        if batch and batch % 5 == 0:
+            store.compact(spark, before=batch, remove=True)
+        if batch % 5 == 4 and batch > 5:
+            keys = spark.createDataFrame([("key5",), (f"key{batch * 50}",)], "k string")
+            files = store.changelog(spark, batch, keys).select(F.input_file_name()).distinct()
+            read[batch] = sum(os.path.getsize(r[0].removeprefix("file://"))
+                              for r in files.collect())
+            found = store.latest(spark, batch, keys).join(keys, "k").collect()
+            assert {r.k for r in found} == {"key5", f"key{batch * 50}"}
+    whole = store.latest(spark)
+    assert whole.count() == 5000 and whole.agg(F.sum("v")).first()[0] == 4999 * 2500
+    # the folders since the last fold, and the parts of two keys
+    assert read[49] < 1.2 * read[9]
+
+
+def test_counters_begin_anew_and_closed_issues_are_forgotten_after_two_days(spark, tmp_path):
+    hour = envelope("HOUR_SUM_REPORT", [
+        {"areaId": 1, "collectDate": "2024-01-05", "unitHour": 3, "collectPersons": 4}])
+    bad, good = (envelope("COLLECT_DATA", [collect(personName=n)]) for n in ("#", "Ann"))
+    stores, clock = runner.Stores(str(tmp_path / "stores")), {}
+    step = runner.message_step(stores, now=lambda: F.lit(clock["now"]).cast("timestamp"),
+                               compact_every=1, reopen=False)
+
+    def run(batch, now, *values):
+        clock["now"] = now
+        step(frame(spark, *values).withColumn(
+            "message_id", F.concat(F.lit(f"{batch}-"), "message_id")), batch)
+        (total,) = stores.sink("hour_sum_report").latest(spark).collect()
+        issues = {(r.issue_key[-2:], r.is_open) for r in stores.issues.latest(spark).collect()}
+        return total.collect_persons, issues
+
+    run(0, "2024-01-05 12:00:00", hour, bad)
+    persons, issues = run(1, "2024-01-06 12:00:00", hour, good)
+    assert persons == 8 and ("C4", False) in issues
+    # 49 hours later: the sum begins anew; the closed issue is unknown and opens again
+    for _ in range(2):
+        persons, issues = run(2, "2024-01-08 13:00:00", hour, bad)
+        assert persons == 4 and ("C4", True) in issues
+    records = stores.sink("problem_data_cr").latest(spark).filter("problem_record = 'C4'")
+    assert records.count() == 2
+    # 49 hours on, the open issue is still known
+    persons, issues = run(3, "2024-01-10 14:00:00", hour, good)
+    assert persons == 4 and ("C4", False) in issues

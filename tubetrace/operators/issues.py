@@ -9,7 +9,7 @@ from ..functions.keys import hash_id, union_id
 from ..functions.predicates import is_blank
 from ..functions.times import day_of, format_time
 from ..session import ensure_checkpoint_dir
-from .rules import BAD_DATA, MISSING_STAGE, TUBE_RULES, with_plain_text
+from .rules import BAD_DATA, CATALOGUE, MISSING_STAGE, TUBE_RULES, with_plain_text
 from .running import running_accumulate
 from .scan import CHUNK, ordered_scan, range_chunks
 
@@ -29,6 +29,21 @@ def validate(df: DataFrame, rules, now: Column, secret=None, only: int | None =
     return rows.select(*df.columns, "_candidate.*")
 
 
+def judged(df: DataFrame, rules, now: Column, secret=None) -> DataFrame:
+    """Records with the codes of the rules they fail (``failed_rules``) and of those they pass
+    (``passed_rules``): every rule runs once per record, whichever outcome is asked for."""
+    outcomes = F.array(*[
+        F.struct(F.lit(r.code).alias("code"), r.outcome(now).alias("is_valid")) for r in rules])
+
+    def codes(value: int) -> Column:
+        chosen = F.filter("_outcomes", lambda c: c["is_valid"] == value)
+        return F.transform(chosen, lambda c: c["code"])
+
+    rows = with_plain_text(df, secret).withColumn("_outcomes", outcomes)
+    return rows.select(*df.columns, codes(0).alias("failed_rules"),
+                       codes(1).alias("passed_rules"))
+
+
 def error_flags(df: DataFrame, rules, now: Column, secret=None) -> DataFrame:
     """Per record: does any rule fail, by kind and by the first two problem types."""
     plain = with_plain_text(df, secret)
@@ -79,50 +94,71 @@ BASE_ISSUE_COLUMNS = (
     "update_time", "remark")
 
 
-def issue_key(source: int) -> Column:
-    """What identifies an issue over time."""
+def _record_key(source: int) -> Column:
+    """What identifies the record of an issue over time."""
     if source in (1, 4):
         moment = "collectTime" if source == 1 else "checkTime"
         parts = ["personIdCard", moment]
     else:
         parts = ["submitId", _DELIVERY_FIELDS[source]["code"]]
-    return union_id(F.lit(source), *parts, "rule_code")
+    return union_id(F.lit(source), *parts)
 
 
-def issue_events(candidates: DataFrame, source: int, now: Column) -> DataFrame:
-    """Issue rows of a stage's candidates, with their key and place in time."""
+PLACE = ("recTs", "message_id", "pos", "itemPos")
+
+
+def _issue_columns(records: DataFrame, source: int, now: Column) -> list[Column]:
+    """What the issue rows of a record have in common, whatever the rule."""
     stamp = format_time(now)
-    cols = candidates.columns
-    key = issue_key(source)
-    if "itemPos" in cols:
-        key = union_id(key, "tubeCode")
-    place = [c for c in ("recTs", "message_id", "pos", "itemPos") if c in cols]
+    cols = records.columns
     detail = _PERSON_FIELDS if source in (1, 4) else _DELIVERY_FIELDS[source]
     add_time = F.when(is_blank("addTime") | (F.lower("addTime") == "null"), stamp).otherwise(
         F.col("addTime"))
-    return candidates.select(
-        key.alias("issue_key"),
-        hash_id("ISSUE", union_id(key, *place)).alias("id"),
+    tube = F.col("tubeCode") if "itemPos" in cols else F.lit(None).cast("string")
+    return [
+        _record_key(source).alias("record_key"), tube.alias("_tube"),
         add_time.alias("add_time"), F.col("areaId").alias("area_id"),
         F.lit(source).alias("source"), F.col("submitId").alias("submit_id"),
-        F.col("numberReport").alias("number_report"), F.col("issue_kind").alias("TYPE"),
-        "problem_type",
-        F.col("rule_code").alias("problem_record"), F.lit(0).alias("is_delete"), "is_valid",
+        F.col("numberReport").alias("number_report"), F.lit(0).alias("is_delete"),
         F.col("userName").alias("create_by"), stamp.alias("create_time"),
         F.col("userName").alias("update_by"), stamp.alias("update_time"),
         F.lit(None).cast("string").alias("remark"),
         *[(F.col(f) if f in cols else F.lit(None).cast("string")).alias(n)
           for n, f in detail.items()],
-        *place)
+        *[c for c in PLACE if c in cols]]
+
+
+def _with_issue_ids(rows: DataFrame) -> DataFrame:
+    key = union_id("record_key", "problem_record", "_tube")
+    place = [c for c in PLACE if c in rows.columns]
+    return rows.withColumn("issue_key", key).withColumn(
+        "id", hash_id("ISSUE", union_id("issue_key", *place))).drop("_tube")
+
+
+def issue_events(candidates: DataFrame, source: int, now: Column) -> DataFrame:
+    """Issue rows of a stage's candidates, with their key and place in time."""
+    return _with_issue_ids(candidates.select(
+        *_issue_columns(candidates, source, now), F.col("issue_kind").alias("TYPE"),
+        "problem_type", F.col("rule_code").alias("problem_record"), "is_valid"))
+
+
+def issue_records(records: DataFrame, source: int, now: Column) -> DataFrame:
+    """Judged records of a stage, reduced to what their issue rows need."""
+    return records.select(*_issue_columns(records, source, now), "failed_rules", "passed_rules")
 
 
-def base_issues(*stages: DataFrame) -> DataFrame:
-    """Issue rows of several stages, cut to their common columns and put together."""
-    keep = ["issue_key", *BASE_ISSUE_COLUMNS]
-    out = stages[0].select(*keep)
-    for other in stages[1:]:
-        out = out.unionByName(other.select(*keep))
-    return out
+def issue_rows(records: DataFrame, is_valid: int) -> DataFrame:
+    """Issue rows of one outcome out of the records of all stages."""
+    rules = [r for of_stage in CATALOGUE.values() for r in of_stage]
+    by_code = F.create_map(*[F.lit(v) for r in rules for v in (r.code, r.problem_type)])
+    missing = [r.code for r in rules if r.kind == MISSING_STAGE]
+    outcome = "passed_rules" if is_valid else "failed_rules"
+    rows = records.select(*[c for c in records.columns if not c.endswith("_rules")],
+                          F.explode(outcome).alias("problem_record"))
+    code = F.col("problem_record")
+    return _with_issue_ids(rows.withColumns({
+        "TYPE": F.when(code.isin(missing), F.lit(MISSING_STAGE)).otherwise(F.lit(BAD_DATA)),
+        "problem_type": by_code[code], "is_valid": F.lit(is_valid)}))
 
 
 def issue_lifecycle(candidates: DataFrame, key, order, is_error: Column, opened_at,
@@ -169,16 +205,14 @@ def tracked_issues(failed: DataFrame, passed: DataFrame, stored: DataFrame | Non
     """Issue rows to emit and the new state of the issue store.
 
     ``failed`` and ``passed`` are the issue rows of errors and passes. ``stored`` holds
-    one row per known key (``issue_key, id, add_time, is_open``). Each is replayed as an
-    earlier candidate, so a batch continues where the last one ended.
+    one row per known key (``issue_key, record_key, id, add_time, is_open``). Each is replayed
+    as an earlier candidate, so a batch continues where the last one ended.
 
     Most passes concern keys that never had an error; they are dropped before anything
-    is ordered. The rest is checkpointed, so that each rule runs once per record however
-    often the result is read.
+    is ordered. The rest is checkpointed, for it is read several times.
     """
     ensure_checkpoint_dir(failed.sparkSession)
-    order = [c for c in ("recTs", "message_id", "pos", "itemPos") if c in failed.columns]
-    failed = failed.checkpoint()
+    order = [c for c in PLACE if c in failed.columns]
     keys = failed.select("issue_key")
     if stored is not None:
         keys = keys.unionByName(stored.filter("is_open").select("issue_key"))
@@ -187,18 +221,18 @@ def tracked_issues(failed: DataFrame, passed: DataFrame, stored: DataFrame | Non
     rows = rows.checkpoint()
     if stored is not None:
         past = stored.join(rows.select("issue_key").distinct(), "issue_key", "left_semi")
-        opened = past.select("issue_key", "id", "add_time", F.lit(0).alias("is_valid"),
+        opened = past.select("issue_key", "record_key", "id", "add_time", F.lit(0).alias("is_valid"),
                              F.lit(True).alias("_stored"), F.lit(0).alias("_step"))
         closed = past.filter(~F.col("is_open")).select(
-            "issue_key", "id", "add_time", F.lit(1).alias("is_valid"),
+            "issue_key", "record_key", "id", "add_time", F.lit(1).alias("is_valid"),
             F.lit(True).alias("_stored"), F.lit(1).alias("_step"))
         rows = rows.unionByName(opened.unionByName(closed), allowMissingColumns=True)
     followed = issue_lifecycle(rows, ["issue_key"], ["_step", *order], F.col("is_valid") == 0,
                                "add_time", new_id="id", reopen=reopen, hot_keys=hot_keys)
-    state = followed.groupBy("issue_key").agg(
+    state = followed.groupBy("issue_key", "record_key").agg(
         F.max_by(F.struct(F.col("issue_id").alias("id"), F.col("issue_add_time").alias("add_time"),
                           F.col("issue_open").alias("is_open")),
-                 F.struct("_step", *order)).alias("_s")).select("issue_key", "_s.*")
+                 F.struct("_step", *order)).alias("_s")).select("issue_key", "record_key", "_s.*")
     emitted = (followed.filter(~F.col("_stored"))
                .withColumns({"id": F.col("issue_id"), "add_time": F.col("issue_add_time")})
                .drop("_stored", "_step", "issue_id", "issue_add_time", "issue_open"))

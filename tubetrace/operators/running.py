@@ -26,6 +26,20 @@ def running_accumulate(df: DataFrame, keys, order, sums=(), firsts=(),
             .drop(CHUNK, *[f"_r_{c}" for c in sums], *[f"_f_{c}" for c in firsts]))
 
 
+FRESH = "_fresh"
+
+
+def after_stored(rows: DataFrame, stored: DataFrame | None, keys, columns) -> DataFrame:
+    """Rows to be scanned behind the stored totals of their keys, which come as rows with 0 in
+    ``FRESH``. Order by it first, and keep the rows with 1 afterwards."""
+    fresh = rows.withColumn(FRESH, F.lit(1))
+    if stored is None:
+        return fresh
+    known = stored.select(*keys, *columns, F.lit(0).alias(FRESH))
+    known = known.join(rows.select(*keys).distinct(), list(keys), "left_semi")
+    return fresh.unionByName(known, allowMissingColumns=True)
+
+
 def accumulated(df: DataFrame, keys, order, sums=(), firsts=(), lasts=()) -> DataFrame:
     """Final table: one row per key. Partially aggregated, so hot keys are no burden."""
     place = F.struct(*order)

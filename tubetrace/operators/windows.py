@@ -1,4 +1,4 @@
-"""Tumbling-window statistics, batch and streaming.
+"""Tumbling-window statistics, batch and streaming; rows of closed windows.
 
 A statistic is a set of additive aggregates plus exact distinct counts. In batch, Spark
 expands the distinct counts and aggregates them partially before the shuffle. On a
@@ -10,6 +10,7 @@ counted, so no set of values is ever held by one group.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,3 +102,45 @@ def stream_windowed_stats(df: DataFrame, time_column: str, stat: WindowStat, row
                     *[_additive(F.when(F.col("metric") == n, 1), n) for n in stat.distinct],
                     *[F.max(F.when(is_row, F.col(f"_m_{n}"))).alias(n) for n in stat.maxima]))
     return _flatten(grouped, stat)
+
+
+HELD = "_row"
+
+
+def _as_row(name: str, streams: dict[str, DataFrame], *extra) -> DataFrame:
+    rows = streams[name]
+    return rows.select(
+        F.lit(name).alias("_stream"), *extra,
+        *[(F.struct(*rows.columns) if other == name else F.lit(None).cast(streams[other].schema))
+          .alias(f"{HELD}_{other}") for other in streams])
+
+
+def tagged(streams: dict[str, DataFrame]) -> DataFrame:
+    """The rows of several streams (name -> rows) as one; ``closed_of`` takes them apart."""
+    return reduce(DataFrame.unionByName, [_as_row(n, streams) for n in streams])
+
+
+def closed_rows(streams: dict[str, DataFrame], time_column: str, size: str, row_id,
+                delay: str) -> DataFrame:
+    """Rows of several streams (name -> rows) once their windows have closed.
+
+    Each row is held until the watermark passes the end of its window, so all rows of a
+    window come out in one batch, where they can be joined with tables as of that batch
+    and counted by ``windowed_stats``. The state is keyed by window and row, so a hot key is
+    spread evenly; a row that is repeated within its window comes out once. The slowest
+    stream sets the watermark. Take the rows of a stream with ``closed_of``.
+    """
+    ids = [f"_id_{c}" for c in row_id]
+    timed = {n: rows.filter(F.col(time_column).isNotNull()) for n, rows in streams.items()}
+    parts = [_as_row(n, timed, F.col(time_column).alias("_time"),
+                     *[F.col(c).cast("string").alias(i) for c, i in zip(row_id, ids)])
+             .withWatermark("_time", delay) for n in timed]
+    grouped = reduce(DataFrame.unionByName, parts).groupBy(
+        F.window("_time", size), "_stream", *ids)
+    held = [f"{HELD}_{n}" for n in streams]
+    return grouped.agg(*[F.first(h).alias(h) for h in held]).select("_stream", *held)
+
+
+def closed_of(closed: DataFrame, name: str) -> DataFrame:
+    """The rows of one stream out of ``closed_rows``, as they came in."""
+    return closed.filter(F.col("_stream") == name).select(f"{HELD}_{name}.*")

@@ -20,7 +20,7 @@ from ..operators import relations as R
 from ..operators.identity import BUSINESS_KEYS, TUBE_SPACES
 from ..operators.joins import lookup_join
 from ..operators.rules import CATALOGUE
-from ..operators.running import running_accumulate
+from ..operators.running import FRESH, after_stored, running_accumulate
 from ..operators.scan import ordered_scan
 from ..operators.windows import windowed_stats
 from ..schemas import REPORT, STAGES
@@ -121,14 +121,14 @@ def enrich_messages(messages: DataFrame) -> DataFrame:
 
 
 def relation_updates(stages: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """What a set of stage rows adds to the three relation tables."""
-    return {
-        "person": R.person_relation(stages["collect"], stages["report"]),
-        "tube": R.tube_relation(stages["collect"]),
-        "delivery": R.delivery_relation(stages["transport"], stages["receive"]),
-    }
+    """What stage rows add to the relation tables: those whose stages are given."""
+    return {name: make(*[stages[s] for s in needed])
+            for name, (make, needed) in RELATION_STAGES.items() if {*needed} <= {*stages}}
 
 
+RELATION_STAGES = {"person": (R.person_relation, ("collect", "report")),
+                   "tube": (R.tube_relation, ("collect",)),
+                   "delivery": (R.delivery_relation, ("transport", "receive"))}
 RELATION_KEYS = {"person": R.PERSON_KEY, "tube": R.TUBE_KEY, "delivery": R.DELIVERY_KEY}
 
 
@@ -148,14 +148,14 @@ def matched_stages(stages: dict[str, DataFrame], relations: dict[str, DataFrame]
 
 # --- data check ------------------------------------------------------------------------
 
-def check_issues(matched: dict[str, DataFrame], now: Column, secret=None,
-                 only: int | None = None) -> DataFrame:
-    """Issue rows of all stages, with the detail columns of their kind."""
+def check_records(matched: dict[str, DataFrame], now: Column, secret=None) -> DataFrame:
+    """Records of all stages with the rules they fail and pass, and what their issue rows
+    need beside that."""
     parts = []
     for name, source in (("collect", 1), ("report", 4), ("transport", 2), ("tube", 2),
                          ("receive", 3)):
-        found = I.validate(matched[name], CATALOGUE[name], now, secret, only)
-        parts.append(I.issue_events(found, source, now))
+        found = I.judged(matched[name], CATALOGUE[name], now, secret)
+        parts.append(I.issue_records(found, source, now))
     out = parts[0]
     for other in parts[1:]:
         out = out.unionByName(other, allowMissingColumns=True)
@@ -165,10 +165,16 @@ def check_issues(matched: dict[str, DataFrame], now: Column, secret=None,
 def data_check(matched, now: Column, secret=None, stored=None, reopen=True, hot_keys=True):
     """Validate, follow each issue, count issues per day.
 
-    Also returns ``issue_state``: hand it back as ``stored`` with the next batch.
+    Also returns ``issue_state``: hand it back as ``stored`` with the next batch, or a function
+    that reads it for the records (``record_key``) of the batch. Records are matched and judged
+    once; errors and passes are both taken from what is checkpointed then.
     """
-    failed, passed = (check_issues(matched, now, secret, only) for only in (0, 1))
-    emitted, state = I.tracked_issues(failed, passed, stored, reopen, hot_keys)
+    ensure_checkpoint_dir(matched["collect"].sparkSession)
+    records = check_records(matched, now, secret).checkpoint()
+    if callable(stored):
+        stored = stored(records.select("record_key"))
+    emitted, state = I.tracked_issues(I.issue_rows(records, 0), I.issue_rows(records, 1), stored,
+                                      reopen, hot_keys)
     person, goods = F.col("source").isin(1, 4), F.col("source").isin(2, 3)
     base = list(I.BASE_ISSUE_COLUMNS)
     return {
@@ -315,10 +321,13 @@ def with_hour_columns(rows: DataFrame) -> DataFrame:
         "check_numbers": F.col("check_persons"), "is_delete": F.lit(0)})
 
 
-def _running(rows: DataFrame, sums, firsts=()) -> DataFrame:
-    """Window rows of a key are bounded by the windows of its day: a plain window does."""
-    return running_accumulate(rows, ["union_id"], [c for c in CHANGELOG_ORDER if c in rows.columns],
-                              sums=sums, firsts=firsts)
+def _running(rows: DataFrame, sums, firsts=(), stored: DataFrame | None = None) -> DataFrame:
+    """Window rows of a key are bounded by the windows of its day: a plain window does.
+    ``stored`` are the rows of an earlier changelog that the sums go on from."""
+    order = [c for c in CHANGELOG_ORDER if c in rows.columns]
+    rows = after_stored(rows, stored, ["union_id"], [*sums, *firsts])
+    out = running_accumulate(rows, ["union_id"], [FRESH, *order], sums=sums, firsts=firsts)
+    return out.filter(F.col(FRESH) == 1).drop(FRESH)
 
 
 def with_collect_credits(rows: DataFrame) -> DataFrame:
@@ -342,38 +351,49 @@ def with_collect_credits(rows: DataFrame) -> DataFrame:
         "is_credit": is_credit, "source": F.col("_copy.source")}).drop("_copy")
 
 
+def city_totals(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Running sums per area, city, district, stage and day, on from the ``stored`` ones. Rows
+    without an upload time are credits whose collect row is still to come."""
+    lasts = ("upload_time", "create_by")
+    rows = after_stored(with_collect_credits(rows), stored, ["union_id"],
+                        [*stats.CITY_SUMS, *lasts])
+    out = ordered_scan(
+        rows, ["union_id"], [FRESH, "window_end", "is_credit"],
+        running={f"_r_{c}": F.col(c) for c in stats.CITY_SUMS},
+        latest={f"_l_{c}": F.col(c) for c in lasts}).filter(F.col(FRESH) == 1)
+    return out.withColumns({
+        **{c: F.col(f"_r_{c}") for c in stats.CITY_SUMS},
+        **{c: F.col(f"_l_{c}") for c in lasts},
+    }).drop(FRESH, *[c for c in out.columns if c.startswith(("_r_", "_l_"))])
+
+
 def city_changelog(rows: DataFrame) -> DataFrame:
     """Running sums per area, city, district, stage and day.
 
     A credit row updates the collect row it belongs to: it keeps that row's time and
     user, and shows up only once there is such a row.
     """
-    out = ordered_scan(
-        with_collect_credits(rows), ["union_id"], ["window_end", "is_credit"],
-        running={f"_r_{c}": F.col(c) for c in stats.CITY_SUMS},
-        latest={f"_l_{c}": F.col(c) for c in ("upload_time", "create_by")})
-    out = out.filter(F.col("_l_upload_time").isNotNull())
-    out = out.withColumns({
-        **{c: F.col(f"_r_{c}") for c in stats.CITY_SUMS},
-        **{c: F.col(f"_l_{c}") for c in ("upload_time", "create_by")},
-    }).drop(*[c for c in out.columns if c.startswith(("_r_", "_l_"))])
-    return _fixed(out, "upload_log_city", CITY_FIXED)
+    return city_sink(city_totals(rows))
+
+
+def city_sink(totals: DataFrame) -> DataFrame:
+    return _fixed(totals.filter(F.col("upload_time").isNotNull()), "upload_log_city", CITY_FIXED)
 
 
-def org_changelog(rows: DataFrame) -> DataFrame:
-    return _fixed(_running(rows, stats.ORG_SUMS), "upload_log_org", ORG_FIXED)
+def org_changelog(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    return _fixed(_running(rows, stats.ORG_SUMS, stored=stored), "upload_log_org", ORG_FIXED)
 
 
-def delay_changelog(rows: DataFrame) -> DataFrame:
+def delay_changelog(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Running delay sums and their truncated mean."""
-    out = _running(rows, ("delay_sum", "delay_count"), ("create_time",))
+    out = _running(rows, ("delay_sum", "delay_count"), ("create_time",), stored)
     return out.withColumns({
         "delay_num": truncated_mean("delay_sum", "delay_count"),
         "delay_type": F.lit(stats.REPORT_DELAY_LABEL), "id": id_of("data_time_delay")})
 
 
-def hour_changelog(rows: DataFrame) -> DataFrame:
-    out = _running(rows, stats.HOUR_SUMS, ("create_time",))
+def hour_changelog(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    out = _running(rows, stats.HOUR_SUMS, ("create_time",), stored)
     return with_hour_columns(_fixed(out, "upload_log_hour", {}))
 
 

@@ -11,6 +11,7 @@ from ..operators import issues as I
 from ..operators import relations as R
 from ..operators.joins import lookup_join
 from ..operators.rules import CATALOGUE
+from ..session import ensure_checkpoint_dir
 from . import jobs
 from . import standins as S
 from .registry import (COL, DELIVERY, PERSON, REP, SE, TEXT, flags_as_numbers, good_id_sql,
@@ -193,6 +194,11 @@ def lookup_large_dimension(spark, sf_dir):
 
 # --- rules -----------------------------------------------------------------------------
 
+def _known_deliveries(delivery):
+    """Receive records only know the transport records of even orders."""
+    return delivery.filter(F.split("deliveryCode", "-")[0].cast("bigint") % 2 == 0)
+
+
 def _checked(spark, sf_dir, stage):
     if stage == "collect":
         return R.match_collect_report(S.collect_records(spark, sf_dir),
@@ -202,9 +208,8 @@ def _checked(spark, sf_dir, stage):
                                       S.person_table(spark, sf_dir))
     delivery = S.delivery_table(spark, sf_dir)
     if stage == "receive":
-        # finished deliveries only know the transport records of even orders
-        known = delivery.filter(F.split("deliveryCode", "-")[0].cast("bigint") % 2 == 0)
-        return R.match_receive_transport(S.receive_records(spark, sf_dir), known)
+        return R.match_receive_transport(S.receive_records(spark, sf_dir),
+                                         _known_deliveries(delivery))
     return R.match_transport_receive(S.transport_records(spark, sf_dir), delivery)
 
 
@@ -307,12 +312,11 @@ transport_issues as (
 """
 
 
-def _transport_candidates(spark, sf_dir, only=None):
+def _transport_candidates(spark, sf_dir):
     matched = _checked(spark, sf_dir, "transport")
-    records = I.validate(matched, CATALOGUE["transport"], now(), only=only)
+    records = I.validate(matched, CATALOGUE["transport"], now())
     received = I.tube_records(matched)
-    tubes = I.validate_tubes(R.match_tubes_collect(received, S.tube_table(spark, sf_dir)), now(),
-                             only=only)
+    tubes = I.validate_tubes(R.match_tubes_collect(received, S.tube_table(spark, sf_dir)), now())
     return records, tubes
 
 
@@ -395,15 +399,22 @@ issues as (
   from receive_issues)"""
 
 
-def _issues(spark, sf_dir, only=None):
-    def found(stage):
-        return I.validate(_checked(spark, sf_dir, stage), CATALOGUE[stage], now(), only=only)
-
-    records, tubes = _transport_candidates(spark, sf_dir, only)
-    return I.base_issues(
-        I.issue_events(found("collect"), 1, now()), I.issue_events(found("report"), 4, now()),
-        I.issue_events(records, 2, now()), I.issue_events(tubes, 2, now()),
-        I.issue_events(found("receive"), 3, now()))
+def _issue_records(spark, sf_dir):
+    """Judged records of all stages. Loads, receipts and relations are written once; each
+    stage is matched once."""
+    ensure_checkpoint_dir(spark)
+    collect, report = S.collect_records(spark, sf_dir), S.report_records(spark, sf_dir)
+    sent = S.transport_records(spark, sf_dir).checkpoint()
+    got = S.receive_records(spark, sf_dir).checkpoint()
+    person = S.person_table(spark, sf_dir).checkpoint()
+    delivery = S.delivery_table(spark, sf_dir, sent, got).checkpoint()
+    transport = R.match_transport_receive(sent, delivery)
+    return jobs.check_records({
+        "collect": R.match_collect_report(collect, person),
+        "report": R.match_report_collect(report, person),
+        "transport": transport,
+        "tube": R.match_tubes_collect(I.tube_records(transport), S.tube_table(spark, sf_dir)),
+        "receive": R.match_receive_transport(got, _known_deliveries(delivery))}, now())
 
 
 @query("issue_events", f"""
@@ -412,7 +423,7 @@ select source, area_id, submit_id, kind as "TYPE", problem_type, rule_code as pr
        is_valid, 0 as is_delete, 'loader' as create_by, '{S.ORDERS_NOW}' as create_time
 from issues where is_valid = 0""")
 def issue_events(spark, sf_dir):
-    return _issues(spark, sf_dir, only=0).select(
+    return I.issue_rows(_issue_records(spark, sf_dir), 0).select(
         "source", "area_id", "submit_id", "TYPE", "problem_type", "problem_record", "is_valid",
         "is_delete", "create_by", "create_time")
 
@@ -470,7 +481,8 @@ from (select *, is_valid = 0 as bad, '{S.ORDERS_NOW}' as upload_time from issues
       where area_id is not null)
 group by area_id, source, upload_time""")
 def issue_stage_counts(spark, sf_dir):
-    return I.issue_daily_counts(_issues(spark, sf_dir))
+    records = _issue_records(spark, sf_dir).checkpoint()
+    return I.issue_daily_counts(I.issue_rows(records, 0).unionByName(I.issue_rows(records, 1)))
 
 
 @query("issue_daily_changelog", f"""

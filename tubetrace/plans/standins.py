@@ -64,9 +64,11 @@ def person_name(key: str) -> Column:
     return F.concat(F.lit("name"), F.when(F.col(key) % 10 == 0, F.lit("#")).otherwise(F.lit("")))
 
 
-def event_stage(spark: SparkSession, sf_dir: str, stage: str) -> DataFrame:
-    """Records of one stage from ``events``."""
-    rows = table(spark, sf_dir, "events").filter(F.col("event_type") == EVENT_TYPES[stage])
+def event_stage(spark: SparkSession, sf_dir: str, stage: str,
+                events: DataFrame | None = None) -> DataFrame:
+    """Records of one stage from ``events`` (or from a stream of them)."""
+    events = table(spark, sf_dir, "events") if events is None else events
+    rows = events.filter(F.col("event_type") == EVENT_TYPES[stage])
     k = F.get_json_object("props", "$.k").cast("bigint")
     received = F.date_trunc("second", F.col("ts").cast("timestamp"))
     minutes = F.floor("value").cast("int")
@@ -225,10 +227,12 @@ def tube_table(spark, sf_dir) -> DataFrame:
     return relations.tube_relation(collect_records(spark, sf_dir), order=("recTs", "message_id"))
 
 
-def delivery_table(spark, sf_dir) -> DataFrame:
-    return relations.delivery_relation(transport_records(spark, sf_dir),
-                                       receive_records(spark, sf_dir),
-                                       order=("recTs", "message_id"))
+def delivery_table(spark, sf_dir, sent=None, got=None) -> DataFrame:
+    """Relation of deliveries, from transport and receive records that are there already or
+    are made here."""
+    sent = transport_records(spark, sf_dir) if sent is None else sent
+    got = receive_records(spark, sf_dir) if got is None else got
+    return relations.delivery_relation(sent, got, order=("recTs", "message_id"))
 
 
 # --- messages ------------------------------------------------------------------------

@@ -5,6 +5,10 @@ on each micro-batch (``message_step``). Jobs about windows aggregate in Spark's
 operators and accumulate the few window rows per key in state (``stream_changelog``).
 Both end in keyed tables whose writes can be repeated without counting twice.
 
+Jobs whose windows look something up (``start_city``, ``start_hour``, ``start_org``,
+``start_delay``) hold the rows of a window until it closes, and then run the batch plan on
+them, joined with the relation tables and dimensions as they are in that batch.
+
 Windows on event time close. ``start_intake`` parses the messages once for all windowed
 jobs, writes the rows of each stage that are in time to a folder that the jobs read as a
 stream (``stage_stream``), and keeps those that come too late in tables (``Stores.late``).
@@ -25,13 +29,16 @@ from ..functions.times import hour_of, truncated_mean
 from ..operators import envelope as E
 from ..operators import issues as I
 from ..operators import relations as R
-from ..operators.running import accumulated, add_to_stored
-from ..operators.windows import stream_windowed_stats
+from ..operators.running import accumulated, add_to_stored, upsert_latest
+from ..operators.windows import closed_of, closed_rows, stream_windowed_stats, tagged
 from ..plans import jobs, stats
-from ..sources.tables import KeyedTable
+from ..sources.tables import KeyedTable, older_than
 from .state import stream_running
 
 ROW_ID = ("message_id", "pos")
+# counters go on from what is stored, unless that is older; closed issues are forgotten, too
+KEPT = "2 days"
+COUNTERS = ("upload_log_prob", "hour_sum_report")
 
 
 @dataclass(frozen=True)
@@ -49,11 +56,18 @@ class Stores:
 
     @property
     def issues(self) -> KeyedTable:
-        return KeyedTable(f"{self.path}/issue_state", ["issue_key"])
+        return KeyedTable(f"{self.path}/issue_state", ["issue_key"], by=["record_key"])
 
-    @property
-    def batch_times(self) -> KeyedTable:
-        return KeyedTable(f"{self.path}/batch_time", ["batch"])
+    def batch_times(self, job: str) -> KeyedTable:
+        return KeyedTable(f"{self.path}/batch_time/{job}", ["batch"])
+
+    def totals(self, job: str) -> KeyedTable:
+        """Running totals of a windowed job, with those that its sink does not show yet."""
+        return KeyedTable(f"{self.path}/totals_{job}", ["union_id"])
+
+    def relations(self, spark: SparkSession) -> dict[str, DataFrame | None]:
+        """The relation tables as they are now; None where nothing is written yet."""
+        return {n: self.relation(n).latest(spark) for n in jobs.RELATION_KEYS}
 
     @property
     def stage_clocks(self) -> KeyedTable:
@@ -67,28 +81,37 @@ class Stores:
         return KeyedTable(f"{self.path}/late_{stage}", ROW_ID)
 
     def read_per_batch(self) -> list[KeyedTable]:
-        """The tables that each micro-batch reads; they are folded from time to time."""
-        return [*(self.relation(n) for n in jobs.RELATION_KEYS), self.issues,
-                self.sink("upload_log_prob"), self.sink("hour_sum_report")]
+        """The tables, beside the issues, that each micro-batch reads; they are folded from
+        time to time."""
+        return [*(self.relation(n) for n in jobs.RELATION_KEYS), *map(self.sink, COUNTERS)]
 
 
 def _update_relations(stores: Stores, stages, spark: SparkSession, batch: int):
-    """Add the batch to the relation tables; returns them as of after the batch."""
-    for name, fresh in jobs.relation_updates(stages).items():
+    """Add the batch to the relation tables; returns them as of after the batch, as far as
+    its rows ask for them."""
+    updates = jobs.relation_updates(stages)
+    for name, fresh in updates.items():
         table = stores.relation(name)
-        merged = R.merge_relation(table.latest(spark, before=batch), fresh,
+        merged = R.merge_relation(table.latest(spark, before=batch, among=fresh), fresh,
                                   jobs.RELATION_KEYS[name])
         table.write_batch(merged, batch)
-    return {n: stores.relation(n).latest(spark, before=batch + 1) for n in jobs.RELATION_KEYS}
+    asked = dict(updates)
+    if "tube" in asked and "transport" in stages:
+        items = stages["transport"].select(F.explode("transportItem").alias("item"))
+        asked["tube"] = asked["tube"].select("tubeCode").union(items.select("item.tubeCode"))
+    return {n: stores.relation(n).latest(spark, before=batch + 1, among=asked[n])
+            for n in updates}
 
 
-def _time_of_batch(stores: Stores, spark: SparkSession, batch: int, now: Column) -> Column:
+def _time_of_batch(stores: Stores, spark: SparkSession, batch: int, now: Column,
+                   job: str = "messages") -> Column:
     """The time of a batch: taken once, stored, and the same in every retry and table."""
-    stored = stores.batch_times.of_batch(spark, batch)
+    times = stores.batch_times(job)
+    stored = times.of_batch(spark, batch)
     if stored is None:
-        stores.batch_times.write_batch(spark.range(1).select(
+        times.write_batch(spark.range(1).select(
             F.lit(batch).alias("batch"), F.unix_micros(now).alias("micros")), batch)
-        stored = stores.batch_times.of_batch(spark, batch)
+        stored = times.of_batch(spark, batch)
     return F.timestamp_micros(F.lit(stored.first()["micros"]))
 
 
@@ -98,9 +121,12 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
     messages that no job can use. Messages are parsed once.
 
     Relations are written before the records are checked against them. Every read of a
-    store stops before this batch, so a repeated batch gives the same rows. Every
-    ``compact_every`` batches the stores that are read per batch are folded, so that a read
-    never takes more than that many folders.
+    store stops before this batch and takes only the parts that the batch's keys lie in, so a
+    repeated batch gives the same rows. Every ``compact_every`` batches the stores that are
+    read per batch are folded, so that a read never takes more than that many folders.
+
+    Counters that were last written more than ``KEPT`` before the batch begin anew, and closed
+    issues of that age are forgotten; sink rows stay until they are written again.
     """
     def step(messages: DataFrame, batch: int) -> None:
         spark = messages.sparkSession
@@ -114,28 +140,33 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
             matched = {n: rows.persist(StorageLevel.MEMORY_AND_DISK)
                        for n, rows in jobs.matched_stages(stages, relations).items()}
             kept.extend(matched.values())
-            checked = jobs.data_check(matched, at, secret,
-                                      stores.issues.latest(spark, before=batch), reopen)
-            stores.issues.write_batch(checked.pop("issue_state"), batch)
-            counts = stores.sink("upload_log_prob")
+            old = older_than(KEPT, at)
+            forgotten = old & ~F.col("is_open")
+            checked = jobs.data_check(
+                matched, at, secret,
+                lambda records: stores.issues.latest(spark, batch, records, forgotten), reopen)
+            stores.issues.write_batch(checked.pop("issue_state"), batch, at)
+            counts, daily = stores.sink("upload_log_prob"), checked["upload_log_prob"]
             checked["upload_log_prob"] = add_to_stored(
-                counts.latest(spark, before=batch), checked["upload_log_prob"],
-                I.COUNTER_KEYS, tuple(I.daily_counters()))
+                counts.latest(spark, batch, daily, old), daily, I.COUNTER_KEYS,
+                tuple(I.daily_counters()))
             hourly = stores.sink("hour_sum_report")
             totals = accumulated(
                 jobs.hourly_rows_of(parsed, F.date_format(at, "yyyy-MM-dd HH:mm:ss")),
                 jobs.HOURLY_KEYS.values(), ROW_ID, sums=jobs.HOURLY_SUMS.values(),
                 firsts=("id", "create_time"), lasts=("update_time", "create_by", "is_delete"))
             checked["hour_sum_report"] = add_to_stored(
-                hourly.latest(spark, before=batch), totals, tuple(jobs.HOURLY_KEYS.values()),
+                hourly.latest(spark, batch, totals, old), totals,
+                tuple(jobs.HOURLY_KEYS.values()),
                 tuple(jobs.HOURLY_SUMS.values()), ("id", "create_time"))
             outputs = {**checked, **jobs.report_log(read, matched, at, secret, parsed),
                        "quarantine": E.rejected(read)}
             for table, rows in outputs.items():
-                stores.sink(table).write_batch(rows, batch)
+                stores.sink(table).write_batch(rows, batch, at if table in COUNTERS else None)
             if batch and batch % compact_every == 0:
                 for store in stores.read_per_batch():
                     store.compact(spark, before=batch, remove=True)
+                stores.issues.compact(spark, batch, remove=True, expired=forgotten)
         finally:
             for df in kept:
                 df.unpersist()
@@ -281,6 +312,125 @@ def stream_gap(report: DataFrame, *, delay: str, clock: str = "event") -> DataFr
     return _sunk(out, "upload_log_checkhour", **jobs.GAP_FIXED)
 
 
+# --- windowed jobs with lookups ---------------------------------------------------------
+
+def start_relations(stages: dict[str, DataFrame], stores: Stores, checkpoint: str,
+                    trigger=None) -> StreamingQuery:
+    """Keeps only the relation tables up to date, for jobs that run without
+    ``start_messages`` beside them. Do not run both on the same stores."""
+    return (tagged(stages).writeStream.foreachBatch(lambda rows, batch: _update_relations(
+        stores, {n: closed_of(rows, n) for n in stages}, rows.sparkSession, batch))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "2 minutes"})).start())
+
+
+def closing_step(stores: Stores, job: str, stages, increments, totals, sink,
+                 now: Callable[[], Column] = F.current_timestamp) -> Callable[[DataFrame, int], None]:
+    """Work on the rows of the windows that close in one micro-batch.
+
+    ``increments`` makes window rows of stage rows and the time of the batch, ``totals`` adds
+    them to the stored totals, ``sink`` gives the rows that the sink ``job`` shows. Totals are
+    read as of before the batch, and its time is stored, so a batch that is run again counts
+    nothing twice; what it looks up may have become more complete.
+    """
+    store = stores.totals(job)
+
+    def step(closed: DataFrame, batch: int) -> None:
+        spark = closed.sparkSession
+        at = _time_of_batch(stores, spark, batch, now(), job)
+        rows = closed.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [rows]
+        try:
+            made = increments({n: closed_of(rows, n) for n in stages}, at)
+            found = totals(made, store.latest(spark, before=batch))
+            kept.append(found.persist(StorageLevel.MEMORY_AND_DISK))
+            order = [c for c in ("window_end", "is_credit", "source") if c in found.columns]
+            store.write_batch(upsert_latest(found, ["union_id"], order), batch)
+            stores.sink(job).write_batch(sink(found), batch)
+            if batch and batch % 50 == 0:
+                store.compact(spark, before=batch, remove=True)
+        finally:
+            for df in kept:
+                df.unpersist()
+    return step
+
+
+def _start_closing(stages, stores, job, increments, totals, checkpoint, delay, trigger,
+                   size=stats.STAT_WINDOW, sink=lambda rows: rows, **options) -> StreamingQuery:
+    closed = closed_rows(stages, "recTs", size, ROW_ID, delay)
+    step = closing_step(stores, job, list(stages), increments, totals, sink, **options)
+    return (closed.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "2 minutes"})).start())
+
+
+Relations = Callable[[SparkSession], dict[str, DataFrame | None]]
+
+
+def _matched(rows: DataFrame, match, table: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """``rows`` matched with a relation table; an empty one (that of ``fresh``) where none is
+    written yet."""
+    return match(rows, fresh.limit(0) if table is None else table)
+
+
+def start_city(stages, stores: Stores, checkpoint: str, *, delay: str, rules=jobs.CATALOGUE,
+               secret=None, relations: Relations | None = None, trigger=None,
+               **options) -> StreamingQuery:
+    """City and district statistics. Collect and report records are looked up in the relation
+    tables when their window closes."""
+    lookup = relations or stores.relations
+
+    def increments(rows, at):
+        person = lookup(rows["report"].sparkSession)["person"]
+        empty = R.person_relation(rows["collect"], rows["report"])
+        collect = _matched(rows["collect"], R.match_collect_report, person, empty)
+        report = _matched(rows["report"], R.match_report_collect, person, empty)
+        report = report.withColumn("isCollected", F.col("matchCollectTime").isNotNull())
+        return jobs.city_windows(
+            jobs.with_flags(collect, rules["collect"], at, secret), rows["transport"],
+            rows["receive"], jobs.with_flags(report, rules["report"], at, secret))
+
+    return _start_closing(stages, stores, "upload_log_city", increments, jobs.city_totals,
+                          checkpoint, delay, trigger, sink=jobs.city_sink, **options)
+
+
+def start_hour(stages, stores: Stores, checkpoint: str, *, delay: str,
+               relations: Relations | None = None, trigger=None, **options) -> StreamingQuery:
+    """Persons per hour; a report counts if the person and tube have a collect record when its
+    window closes."""
+    lookup = relations or stores.relations
+
+    def increments(rows, at):
+        person = lookup(rows["report"].sparkSession)["person"]
+        empty = R.person_relation(rows["collect"], rows["report"])
+        report = _matched(rows["report"], R.match_report_collect, person, empty)
+        return jobs.hour_windows({"collect": rows["collect"], "report": report.withColumn(
+            "isCollected", F.col("matchCollectTime").isNotNull())})
+
+    stages = {n: stages[n] for n in ("collect", "report")}
+    return _start_closing(stages, stores, "upload_log_hour", increments, jobs.hour_changelog,
+                          checkpoint, delay, trigger, stats.PERSON_WINDOW, **options)
+
+
+def start_org(stages, stores: Stores, organisations: Callable[[], DataFrame], checkpoint: str, *,
+              delay: str, trigger=None, **options) -> StreamingQuery:
+    """Uploads per organisation. ``organisations`` reads the dimension; it is called in every
+    batch, so a window sees the names that are there when it closes."""
+    return _start_closing(
+        stages, stores, "upload_log_org",
+        lambda rows, at: jobs.with_org_code(jobs.org_windows(rows), organisations()),
+        jobs.org_changelog, checkpoint, delay, trigger, **options)
+
+
+def start_delay(stages, stores: Stores, clients: Callable[[], DataFrame], checkpoint: str, *,
+                delay: str, trigger=None, **options) -> StreamingQuery:
+    """Reporting delay up to the time of the batch in which a window closes; ``clients`` reads
+    the dimension in every batch."""
+    return _start_closing(
+        stages, stores, "data_time_delay",
+        lambda rows, at: jobs.with_client_name(jobs.delay_windows(rows, now=at), clients()),
+        jobs.delay_changelog, checkpoint, delay, trigger, **options)
+
+
 def start_changelog(rows: DataFrame, table: KeyedTable, checkpoint: str,
                     trigger=None) -> StreamingQuery:
     """Write a changelog to a keyed table, one folder per micro-batch."""
