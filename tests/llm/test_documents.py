@@ -37,6 +37,29 @@ def test_quality_rules(odd, none):
     assert kept.columns == odd.columns and quality_rules.kept_documents(none).count() == 0
 
 
+def test_sentences_may_end_in_marks_of_any_script():
+    for word, mark, kept in (("शब्द", "।", True), ("كلمة", "؟", True), ("词", "。", True), ("शब्द", "", False)):
+        line = " ".join(f"{word}{i}" for i in range(60)) + mark
+        assert quality_rules.line_fails(line.encode(), line.encode().split()) is not kept
+
+
+def test_training_samples_hold_the_documents_that_are_there(spark_llm):
+    # far more labels than documents
+    docs = spark_llm.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    labels = spark_llm.range(-100_000, 100_000).selectExpr("id as doc_id", "int(id % 2 = 0) as toxic")
+    sample = toxicity.training_sample(docs, labels, "doc_id", "toxic", "text", 30, 1000).collect()
+    assert sorted(r.toxic for r in sample) == [0] * 20 + [1] * 20
+
+
+def test_an_empty_class_is_told(spark_llm):
+    docs = spark_llm.createDataFrame([(1, "a text")], "doc_id long, text string")
+    labels = spark_llm.createDataFrame([(1, 0), (9, 1)], "doc_id long, label int")
+    with pytest.warns(UserWarning, match="every score is 0"):
+        toxicity.score_documents(docs, labels, label="label")
+    with pytest.warns(UserWarning, match="every score is 0.5"):
+        pu_quality.score_documents(docs, labels, label="label")
+
+
 def toxic_sample(n=60):
     rng = np.random.default_rng(1)
     base = ["river", "stone", "cloud", "walks", "green", "over", "paper", "light", "seven", "house"]

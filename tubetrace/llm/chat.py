@@ -13,7 +13,9 @@ may be of any length. Only DataFrame functions are used.
 
 Defined cases: a null text is empty; a null or empty role is the participant ``unknown``; a
 row without a conversation id is a dialogue of one turn. Rows that are equal in conversation,
-turn (or lack of one), speaker and text after that are rendered once, as in the SQL. Participants that say nothing but empty texts count.
+turn (or lack of one), speaker and text are turns like others, one after the other; they are
+counted first, so that any number of them is no burden, and unfolded when they have their
+places. Participants that say nothing but empty texts count.
 Markers inside texts and names are kept as they are, but line ends in a name become spaces.
 An empty table gives an empty one; further columns are ignored.
 """
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 PART_TURNS = 32
 BLOCK_TURNS = 32
+PIECE = 4096
 # fixed values: the chat template
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 
@@ -35,7 +38,8 @@ def numbered_turns(conversations: DataFrame) -> DataFrame:
     name = F.regexp_replace(F.coalesce("role", F.lit("")), "[\r\n]+", " ")
     turns = (conversations.select(
         "conv_id", "turn", F.when(name == "", "unknown").otherwise(name).alias("speaker"),
-        F.coalesce("text", F.lit("")).alias("body")).distinct())
+        F.coalesce("text", F.lit("")).alias("body"))
+        .groupBy("conv_id", "turn", "speaker", "body").agg(F.count("*").alias("times")))
     content = F.md5(F.concat_ws("\n", "speaker", "body"))
     turns = turns.withColumns({
         "dialogue": F.coalesce(F.concat(F.lit("c"), "conv_id"), F.concat(
@@ -44,13 +48,24 @@ def numbered_turns(conversations: DataFrame) -> DataFrame:
         # rows without a turn have blocks by their content: there may be any number of them
         "sub": F.when(F.col("turn").isNull(), F.substring(content, 1, 3)).otherwise("")})
     block = ["dialogue", "block", "sub"]
-    inside = Window.partitionBy(*block).orderBy(F.asc_nulls_last("turn"), "speaker", "body")
+    inside = (Window.partitionBy(*block).orderBy(F.asc_nulls_last("turn"), "speaker", "body")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     before = Window.partitionBy("dialogue").orderBy("block", "sub")
-    sizes = turns.groupBy(*block).agg(F.count("*").alias("size"))
+    sizes = turns.groupBy(*block).agg(F.sum("times").alias("size"))
     sizes = sizes.withColumn("before", F.sum("size").over(before) - F.col("size")).drop("size")
-    return (turns.withColumn("inside", F.row_number().over(inside) - 1).join(sizes, block)
-            .select("dialogue", "conv_id", "turn", "speaker", "body",
-                    (F.col("inside") + F.col("before")).alias("position")))
+    placed = (turns.withColumn("inside", F.sum("times").over(inside) - F.col("times"))
+              .join(sizes, block))
+    # in two steps, so that no array grows with the number of equal turns
+    pieces = placed.withColumn("piece", F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("times") - 1) / PIECE))))
+    last = F.least(F.col("times") - 1, F.col("piece") * PIECE + (PIECE - 1))
+    copies = pieces.withColumn("copy", F.explode(F.sequence(F.col("piece") * PIECE, last)))
+    alone = F.col("conv_id").isNull()
+    return copies.select(
+        F.when(alone, F.concat("dialogue", F.lit("#"), F.col("copy").cast("string")))
+        .otherwise(F.col("dialogue")).alias("dialogue"), "conv_id", "turn", "speaker", "body",
+        F.when(alone, F.lit(0)).otherwise(F.col("inside") + F.col("before") + F.col("copy"))
+        .alias("position"))
 
 
 def rotate(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:

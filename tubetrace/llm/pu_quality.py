@@ -22,6 +22,7 @@ one. Of further columns only ``carry`` is kept.
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -161,7 +162,7 @@ def score_documents(docs: DataFrame, labelled: DataFrame, unlabelled: DataFrame
     the web text."""
     order = F.xxhash64(key)
     trusted = (labelled.where((F.col(label) == 1) & F.col(key).isNotNull()).select(key).distinct()
-               .orderBy(order, key).limit(max_positive))
+               .join(docs.select(key), key, "left_semi").orderBy(order, key).limit(max_positive))
     web = ((docs if unlabelled is None else unlabelled).select(key).where(F.col(key).isNotNull())
            .distinct().orderBy(F.xxhash64(F.lit(1), key), key).limit(max_unlabelled))
     # both lists are bounded by parameters
@@ -175,6 +176,9 @@ def score_documents(docs: DataFrame, labelled: DataFrame, unlabelled: DataFrame
                   key=lambda r: (r[0], r[3]))
     pick = lambda ok: np.array([r[3] for r in rows if ok(r)], np.float32).reshape(-1, N_FEATURES)
     net = train(pick(lambda r: r[1] == 1), pick(lambda r: r[2] == 0))
+    if net is None:
+        warnings.warn("quality: no trusted or no unlabelled document; every score is 0.5",
+                      stacklevel=2)
     kept = docs.select(*carry, F.col(text).alias("__text"))
     if net is None:
         return kept.drop("__text").withColumn("score", F.lit(0.5))

@@ -9,7 +9,7 @@ goes if too little of its text is left. A line fails one of these rules:
 * repetition: at least 10 words, fewer than 3 in 10 of them distinct,
 * boilerplate: a line of at most 30 words that holds one of ``BOILERPLATE``, in any case,
 * punctuation: at least 40 words and neither a full stop, question mark, exclamation mark,
-  colon nor semicolon among its characters.
+  colon nor semicolon of any script in ``STOPS`` and ``OTHER_STOPS`` among its characters.
 
 The document is kept if its base rules hold (at least 20 words, at most 30 % of them in
 repeated windows of 8) and the remaining lines hold at least half of the characters of its
@@ -32,6 +32,9 @@ from .common import LOWER, TO_LOWER, UPPER, fields_of, hidden, shown, texts, wor
 
 # fixed values
 SYMBOLS, SEPARATORS, STOPS = b"#*$%&|<>", b"|<>", b".!?:;"
+# fixed values: marks of other scripts that end a sentence or a part of one
+OTHER_STOPS = "।॥؟۔؛።፧፤。！？：；．｡…։՜՞჻။៕༎"
+FOUND_OTHER_STOP = re.compile("|".join(OTHER_STOPS).encode()).search
 BOILERPLATE = [
     "all rights reserved", "accept cookies", "cookie policy", "privacy policy",
     "terms of service", "terms of use", "click here", "sign up for our newsletter",
@@ -92,7 +95,7 @@ def line_fails(line: bytes, found: list[bytes]) -> bool:
         return True
     if n <= 30 and FOUND_BOILERPLATE(line.translate(TO_LOWER)):
         return True
-    return n >= 40 and not count_of(line, STOPS)
+    return n >= 40 and not count_of(line, STOPS) and not FOUND_OTHER_STOP(line)
 
 
 def judge(text: bytes) -> tuple:

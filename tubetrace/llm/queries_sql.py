@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .chat import BEGIN, BLOCK_TURNS, END, PART_TURNS
-from .quality_rules import BOILERPLATE
+from .quality_rules import BOILERPLATE, OTHER_STOPS, STOPS
 
 ORACLES: dict[str, str] = {}
 
@@ -12,13 +12,14 @@ with named as (
   select conv_id, turn, regexp_replace(coalesce(role, ''), '[\\r\\n]+', ' ', 'g') as name,
          coalesce(text, '') as body from conversations),
 turns as (
-  select distinct conv_id, turn, case when name = '' then 'unknown' else name end as speaker, body
+  select conv_id, turn, case when name = '' then 'unknown' else name end as speaker, body
   from named),
 keyed as (
-  select *, md5(speaker || chr(10) || body) as content from turns),
+  select *, md5(speaker || chr(10) || body) as content,
+         row_number() over (partition by conv_id, turn, speaker, body) as copy from turns),
 dialogues as (
-  select *, coalesce('c' || conv_id, 'r' || coalesce(cast(turn as varchar), '') || ' ' || content)
-              as dialogue,
+  select *, coalesce('c' || conv_id, 'r' || coalesce(cast(turn as varchar), '') || ' ' || content
+                                     || '#' || copy) as dialogue,
          case when turn is null then substr(content, 1, 3) else '' end as sub from keyed),
 placed as (
   select *, row_number() over (partition by dialogue
@@ -78,7 +79,7 @@ measured as (
   select rid, line, len(ws) as n, len(list_distinct(ws)) as different,
          {chars("line", "[#*$%&|<>]")} as symbols, {chars("line", "[|<>]")} as separators,
          {chars("line", "[A-Z]")} as upper_case, {chars("line", "[a-z]")} as lower_case,
-         {chars("line", "[.!?:;]")} as stops,
+         {chars("line", "[" + STOPS.decode() + OTHER_STOPS + "]")} as stops,
          length(regexp_replace(line, '{BLANK}', '', 'g')) as held,
          regexp_matches(line, '(?i)({"|".join(BOILERPLATE)})') as boilerplate
   from lines where len(ws) > 0),

@@ -21,6 +21,7 @@ other columns; an empty table gives an empty one. Of further columns only ``carr
 from __future__ import annotations
 
 import re
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -337,16 +338,16 @@ class Scorer:
 def training_sample(docs: DataFrame, labelled: DataFrame, key: str, label: str, text: str,
                     per_class: int, max_chars: int) -> DataFrame:
     """At most ``per_class`` texts of each label, the first in the order of a hash of the
-    key. ``labelled``: (key, label); of repeated keys the highest label counts."""
+    key, among the labelled documents that are there. ``labelled``: (key, label); of repeated
+    keys the highest label counts."""
+    usable = (docs.select(key, F.col(text).alias("text"))
+              .where(F.col("text").isNotNull() & (F.length("text") <= max_chars)))
     rows = (labelled.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
-            .groupBy(key).agg(F.max(label).alias(label)))
+            .groupBy(key).agg(F.max(label).alias(label)).join(usable.select(key), key, "left_semi"))
     order = F.xxhash64(key)
-    # some are lost to the join or their length
-    ids = [rows.where(F.col(label) == v).orderBy(order, key).limit(2 * per_class) for v in (0, 1)]
-    # at most 4 * per_class rows of two numbers
-    found = (docs.select(key, F.col(text).alias("text"))
-             .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-             .join(F.broadcast(ids[0].unionByName(ids[1])), key))
+    ids = [rows.where(F.col(label) == v).orderBy(order, key).limit(per_class) for v in (0, 1)]
+    # at most 2 * per_class rows of two numbers
+    found = usable.join(F.broadcast(ids[0].unionByName(ids[1])), key)
     tops = [found.where(F.col(label) == v).orderBy(order, key, "text").limit(per_class) for v in (0, 1)]
     return tops[0].unionByName(tops[1]).select("text", label)
 
@@ -361,6 +362,9 @@ def score_documents(docs: DataFrame, labelled: DataFrame, key: str = "doc_id",
         sample = sorted(map(tuple, training_sample(
             docs, labelled, key, label, text, per_class, max_chars).collect()))
         net = train([t for t, _ in sample], [v for _, v in sample])
+        if net is None:
+            warnings.warn("toxicity: no document of one of the labels; every score is 0",
+                          stacklevel=2)
     kept = docs.select(*carry, F.col(text).alias("__text"))
     if net is None:
         return kept.drop("__text").withColumn("score", F.lit(0.0))
