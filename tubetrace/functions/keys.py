@@ -19,14 +19,15 @@ def union_id(*parts) -> Column:
     return F.concat_ws(SEPARATOR, *[_col(p).cast("string") for p in parts])
 
 
-def hash_id(space: str, key) -> Column:
+def hash_id(space: str | Column, key) -> Column:
     """Stateless non-negative 63-bit id of ``key`` within an id space.
 
     The same key always gives the same id, so replays and retries are idempotent and
     no lookup is needed. Two of n keys share an id with probability about n*n/2**64;
     use ``identity.assign_mapped_ids`` where that is too much.
     """
-    return F.xxhash64(F.lit(space), _col(key)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+    space = F.lit(space) if isinstance(space, str) else space
+    return F.xxhash64(space, _col(key)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
 
 
 def store_key(key) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import business_key, hash_id
 from .scan import row_numbers
 
 # The fields that make up the business key of each message type. Every
@@ -23,21 +22,6 @@ BUSINESS_KEYS = {
 TUBE_SPACES = {"transportItem": "TRANSPORT_TUBE", "receivesItem": "RECEIVE_TUBE"}
 
 
-def assign_ids(df: DataFrame, space: str, keys=None, name="id") -> DataFrame:
-    """Stateless ids: a hash of the business key within its id space."""
-    keys = keys or BUSINESS_KEYS[space]
-    return df.withColumn(name, hash_id(space, business_key(*keys)))
-
-
-def assign_tube_ids(df: DataFrame, items: str) -> DataFrame:
-    """Ids of the tubes in a nested array, set in place."""
-    return df.withColumn(items, with_tube_ids(F.col(items), TUBE_SPACES[items]))
-
-
-def with_tube_ids(items: Column, space: str) -> Column:
-    return F.transform(items, lambda item: item.withField("id", hash_id(space, item["tubeCode"])))
-
-
 def extend_id_map(id_map: DataFrame | None, df: DataFrame, keys, name="id",
                   chunks: int | None = None) -> DataFrame:
     """Id map with the new keys of ``df`` added; known keys keep their ids.
@@ -46,20 +30,36 @@ def extend_id_map(id_map: DataFrame | None, df: DataFrame, keys, name="id",
     size. The numbering is distributed: no single task sees all keys.
     """
     keys = list(keys)
-    new = df.select(*keys).dropna().distinct()
     if id_map is None:
-        return row_numbers(new, keys, name, chunks)
-    new = new.join(id_map, keys, "left_anti")
-    numbered = row_numbers(new, keys, "_n", chunks)
+        return new_ids(df, None, keys, F.lit(0), name, chunks)
     top = id_map.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
-    added = numbered.select(*keys, (F.col("_n") + top).alias(name))
+    added = new_ids(df, id_map, keys, top, name, chunks)
     return id_map.select(*keys, name).unionByName(added)
 
 
+def new_ids(df: DataFrame, id_map: DataFrame | None, keys, top: Column, name="id",
+            chunks: int | None = None) -> DataFrame:
+    """Ids after ``top``, in key order, for the keys of ``df`` that are not in the map."""
+    keys = list(keys)
+    new = df.select(*keys).dropna().distinct()
+    if id_map is not None:
+        new = new.join(id_map, keys, "left_anti")
+    return row_numbers(new, keys, "_n", chunks).select(*keys, (F.col("_n") + top).alias(name))
+
+
 def assign_mapped_ids(df: DataFrame, id_map: DataFrame, keys, name="id") -> DataFrame:
     return df.join(id_map.select(*keys, name), list(keys), "left")
 
 
+def dedup_stream(df: DataFrame, keys, time_column: str, delay: str) -> DataFrame:
+    """Streaming form: the first row of each key that arrives, within ``delay`` of event time.
+    Rows without a complete key cannot be told to be repeats and are left out, as rows without
+    a time are."""
+    complete = df.dropna(subset=[*keys, time_column])
+    return (complete.withWatermark(time_column, delay)
+            .dropDuplicatesWithinWatermark(list(keys)))
+
+
 def dedup_by_key(df: DataFrame, keys, order, latest: bool = False) -> DataFrame:
     """One row per key: the first in ``order``, or the last. Partially aggregated."""
     keys = list(keys)

@@ -29,19 +29,28 @@ def validate(df: DataFrame, rules, now: Column, secret=None, only: int | None =
     return rows.select(*df.columns, "_candidate.*")
 
 
+# every rule has a bit, so the outcomes of a record are two numbers
+ALL_RULES = [r for rules in CATALOGUE.values() for r in rules]
+BIT = {r.code: k for k, r in enumerate(ALL_RULES)}
+
+
 def judged(df: DataFrame, rules, now: Column, secret=None) -> DataFrame:
-    """Records with the codes of the rules they fail (``failed_rules``) and of those they pass
+    """Records with the bits of the rules they fail (``failed_rules``) and of those they pass
     (``passed_rules``): every rule runs once per record, whichever outcome is asked for."""
-    outcomes = F.array(*[
-        F.struct(F.lit(r.code).alias("code"), r.outcome(now).alias("is_valid")) for r in rules])
+    outcomes = with_plain_text(df, secret).select(
+        *df.columns, *[r.outcome(now).alias(f"_o_{r.code}") for r in rules])
 
-    def codes(value: int) -> Column:
-        chosen = F.filter("_outcomes", lambda c: c["is_valid"] == value)
-        return F.transform(chosen, lambda c: c["code"])
+    def bits(value: int) -> Column:
+        out = F.lit(0).cast("bigint")
+        for r in rules:
+            out = out.bitwiseOR(F.when(F.col(f"_o_{r.code}") == value, F.lit(1 << BIT[r.code]))
+                                .otherwise(F.lit(0)).cast("bigint"))
+        return out
 
-    rows = with_plain_text(df, secret).withColumn("_outcomes", outcomes)
-    return rows.select(*df.columns, codes(0).alias("failed_rules"),
-                       codes(1).alias("passed_rules"))
+    places = [BIT[r.code] for r in rules]
+    return outcomes.select(
+        *df.columns, bits(0).alias("failed_rules"), bits(1).alias("passed_rules"),
+        F.lit(min(places)).alias("first_rule"), F.lit(max(places)).alias("last_rule"))
 
 
 def error_flags(df: DataFrame, rules, now: Column, secret=None) -> DataFrame:
@@ -104,6 +113,7 @@ def _record_key(source: int) -> Column:
     return union_id(F.lit(source), *parts)
 
 
+OUTCOMES = ("failed_rules", "passed_rules", "first_rule", "last_rule")
 PLACE = ("recTs", "message_id", "pos", "itemPos")
 
 
@@ -144,21 +154,25 @@ def issue_events(candidates: DataFrame, source: int, now: Column) -> DataFrame:
 
 def issue_records(records: DataFrame, source: int, now: Column) -> DataFrame:
     """Judged records of a stage, reduced to what their issue rows need."""
-    return records.select(*_issue_columns(records, source, now), "failed_rules", "passed_rules")
+    return records.select(*_issue_columns(records, source, now), *OUTCOMES)
 
 
 def issue_rows(records: DataFrame, is_valid: int) -> DataFrame:
     """Issue rows of one outcome out of the records of all stages."""
-    rules = [r for of_stage in CATALOGUE.values() for r in of_stage]
-    by_code = F.create_map(*[F.lit(v) for r in rules for v in (r.code, r.problem_type)])
-    missing = [r.code for r in rules if r.kind == MISSING_STAGE]
-    outcome = "passed_rules" if is_valid else "failed_rules"
-    rows = records.select(*[c for c in records.columns if not c.endswith("_rules")],
-                          F.explode(outcome).alias("problem_record"))
-    code = F.col("problem_record")
-    return _with_issue_ids(rows.withColumns({
-        "TYPE": F.when(code.isin(missing), F.lit(MISSING_STAGE)).otherwise(F.lit(BAD_DATA)),
-        "problem_type": by_code[code], "is_valid": F.lit(is_valid)}))
+    outcome = F.col("passed_rules" if is_valid else "failed_rules")
+    rule = F.col("_rule")
+    rows = records.filter(outcome != 0).select("*", F.explode(
+        F.sequence("first_rule", "last_rule")).alias("_rule"))
+    rows = rows.filter(F.call_function("shiftright", outcome, rule).bitwiseAND(F.lit(1)) == 1)
+
+    def of_rule(*values) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), rule + 1)
+
+    rows = rows.withColumns({
+        "problem_record": of_rule(*[r.code for r in ALL_RULES]),
+        "problem_type": of_rule(*[r.problem_type for r in ALL_RULES]),
+        "TYPE": of_rule(*[r.kind for r in ALL_RULES]), "is_valid": F.lit(is_valid)})
+    return _with_issue_ids(rows.drop("_rule", *OUTCOMES))
 
 
 def issue_lifecycle(candidates: DataFrame, key, order, is_error: Column, opened_at,

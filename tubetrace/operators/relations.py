@@ -46,7 +46,7 @@ def arrival_order(order=ORDER) -> Column:
     without a time comes before all others.
     """
     first, message, *position = order
-    text = F.col(message).cast("string")
+    text = F.coalesce(F.col(message).cast("string"), F.lit(""))
     offset = F.regexp_extract(text, r"(\d+)$", 1)
     offset = F.when(offset != "", offset).otherwise(F.crc32(text).cast("string"))
     seconds = F.coalesce(F.unix_seconds(first) + F.lit(FIRST_SECOND), F.lit(0)).cast("string")
@@ -54,7 +54,7 @@ def arrival_order(order=ORDER) -> Column:
     return F.concat(
         _digits(seconds, SECOND_DIGITS),
         _digits(F.regexp_extract(text, r"(\d+)\D\d+$", 1), PARTITION_DIGITS),
-        _digits(F.coalesce(offset, F.lit("0")), OFFSET_DIGITS),
+        _digits(offset, OFFSET_DIGITS),
         _digits(F.coalesce(place, F.lit("0")), POSITION_DIGITS)).cast("decimal(38,0)")
 
 

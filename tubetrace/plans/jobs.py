@@ -49,72 +49,122 @@ def _variant(value: Column) -> Column:
     return value.cast("variant")
 
 
-def _changed(members: Column, changes: dict[str, Column]) -> Column:
-    """A JSON object with some members replaced; a null change leaves what is there."""
-    def value(name, old):
-        out = old
-        for member, new in changes.items():
-            out = F.when((name == member) & new.isNotNull(), new).otherwise(out)
-        return out
-    return F.transform_values(members, value)
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _with_id(members: Column, new_id: Column) -> Column:
-    added = F.map_concat(members, F.create_map(F.lit("id"), _variant(new_id)))
-    return (F.when(new_id.isNull(), members)
-            .when(F.map_contains_key(members, "id"), _changed(members, {"id": _variant(new_id)}))
-            .otherwise(added))
+def _changed(members: Column, changes: dict[str, Column]) -> Column:
+    """A JSON object with some members set; a null change leaves what is there."""
+    given = F.create_map(*[c for name, value in changes.items() for c in (F.lit(name), value)])
+    return _let(F.map_filter(given, lambda name, value: value.isNotNull()), lambda new: F.when(
+        F.size(new) == 0, members).otherwise(F.map_concat(
+            F.map_filter(members, lambda name, _: ~F.map_contains_key(new, name)), new)))
 
 
 def _text_of(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
-def _with_tube_ids(items: Column, space: str) -> Column:
-    """A variant array of tubes with their ids; null where it is no array of objects."""
-    tubes = F.try_variant_get(items, "$", f"array<{OBJECT}>")
-    def tube_id(tube):
-        code = _text_of(F.try_element_at(tube, F.lit("tubeCode")))
-        return F.when(code.isNotNull(), hash_id(space, code))
-    return F.to_variant_object(F.transform(tubes, lambda t: _with_id(t, tube_id(t))))
+def _member(members: Column, name: str) -> Column:
+    return F.try_element_at(members, F.lit(name))
+
+
+def _tubes(members: Column, name: str) -> Column:
+    """A nested array of tubes; null where it is no array of objects."""
+    return F.try_variant_get(_member(members, name), "$", f"array<{OBJECT}>")
+
+
+def _record_key(kind: Column, members: Column) -> Column:
+    """Business key of an element; null if it is not complete."""
+    key = F.lit(None).cast("string")
+    for tag, fields in BUSINESS_KEYS.items():
+        key = F.when(kind == tag, business_key(
+            *[_text_of(_member(members, f)) for f in fields])).otherwise(key)
+    return key
+
+
+def _hashed(space: Column, key: Column) -> Column:
+    return F.when(key.isNotNull(), hash_id(space, key))
 
 
-def _enriched_element(kind: Column, members: Column) -> Column:
+SPACE_END = "\u0001"
+
+
+def _place(space, key: Column) -> Column:
+    """Key of the id map: the id space and the key in it."""
+    return F.concat(space, F.lit(SPACE_END), key)
+
+
+def _enriched_element(kind: Column, members: Column, id_of) -> Column:
     """Element with its id, the ids of its tubes and readable result codes."""
-    def member(name):
-        return F.try_element_at(members, F.lit(name))
-
-    new_id = F.lit(None).cast("bigint")
-    for tag, keys in BUSINESS_KEYS.items():
-        key = business_key(*[_text_of(member(k)) for k in keys])
-        new_id = F.when((kind == tag) & key.isNotNull(), hash_id(tag, key)).otherwise(new_id)
-    changes = {}
+    changes = {"id": _variant(id_of(kind, _record_key(kind, members)))}
     for name in E.RESULT_FIELDS:
-        code = _text_of(member(name))
+        code = _text_of(_member(members, name))
         label = E.decode_result(code)
         changes[name] = F.when(kind.isin(*REPORT.types) & (label != code), _variant(label))
     for name, space in TUBE_SPACES.items():
-        changes[name] = _with_tube_ids(member(name), space)
-    return _changed(_with_id(members, new_id), changes)
+        changes[name] = F.to_variant_object(_each_tube(members, name, lambda tube, code: _changed(
+            tube, {"id": _variant(id_of(F.lit(space), code))})))
+    return _changed(members, changes)
 
 
-def enrich_messages(messages: DataFrame) -> DataFrame:
-    """Messages with ids on all records and tubes, as JSON again.
+def _each_tube(members: Column, name: str, made) -> Column:
+    """What ``made`` gives for each tube of a nested array and its code."""
+    return F.transform(_tubes(members, name),
+                       lambda tube: made(tube, _text_of(_member(tube, "tubeCode"))))
 
-    Ids are hashes of business keys, so each message is rewritten where it is: no
-    shuffle, no lookup, no regrouping. Only the ids and the result codes change; every
-    other member, known here or not, stays as the producer wrote it. Messages of unknown
-    types pass unchanged, and so does one that repeats a name inside an object.
-    """
+
+def _with_elements(messages: DataFrame) -> DataFrame:
+    """Messages with their members and elements, as maps of variants; ``_data`` is null where
+    nothing is to be enriched."""
     parsed = E.parse_envelope(messages, keep_raw=True)
     kind = E.routing_type(F.col("type"))
-    rows = parsed.select("message_id", "type", "value", F.when(
+    rows = parsed.select("message_id", "type", "value", kind.alias("_kind"), F.when(
         kind.isin(*BUSINESS_KEYS), F.from_json("value", OBJECT)).alias("_members"))
     data = F.try_variant_get(F.try_element_at("_members", F.lit("data")), "$", f"array<{OBJECT}>")
     # through ``inline``, so that the text is parsed once however often it is used
-    rows = rows.select("message_id", "type", "value", F.inline(F.array(F.struct(
+    return rows.select("message_id", "type", "value", "_kind", F.inline(F.array(F.struct(
         F.col("_members"), data.alias("_data")))))
-    changed = F.to_variant_object(F.transform("_data", lambda e: _enriched_element(kind, e)))
+
+
+def message_keys(messages: DataFrame) -> DataFrame:
+    """(message_id, place) of every record and tube of the messages that gets an id."""
+    kind = F.col("_kind")
+
+    def places(members):
+        own = F.array(_place(kind, _record_key(kind, members)))
+        tubes = [_each_tube(members, name, lambda _, code: _place(F.lit(space), code))
+                 for name, space in TUBE_SPACES.items()]
+        return F.concat(own, *[F.coalesce(t, F.array().cast("array<string>")) for t in tubes])
+
+    found = F.explode(F.flatten(F.transform("_data", places)))
+    rows = _with_elements(messages).select("message_id", found.alias("place"))
+    return rows.filter(F.col("place").isNotNull()).distinct()
+
+
+def enrich_messages(messages: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Messages with ids on all records and tubes, as JSON again.
+
+    Ids are hashes of business keys, so each message is rewritten where it is: no
+    shuffle, no lookup, no regrouping. Or they come from ``ids``, rows (message_id, place, id)
+    out of an id map, where not even one pair of keys may share an id.
+
+    Only the ids and the result codes change; every other member, known here or not, stays
+    as the producer wrote it, but for numbers, which are written in their shortest form.
+    Messages of unknown types pass unchanged, and so does one that repeats a name inside a
+    record; of a name that the envelope repeats, the last value stays.
+    """
+    rows = _with_elements(messages)
+    id_of = _hashed
+    if ids is not None:
+        # as many entries as the message has records and tubes
+        own = ids.groupBy("message_id").agg(F.map_from_entries(F.collect_list(
+            F.struct("place", "id"))).alias("_ids"))
+        rows = rows.join(own, "message_id", "left")
+        id_of = lambda space, key: F.try_element_at("_ids", _place(space, key))
+    kind = F.col("_kind")
+    changed = F.to_variant_object(F.transform("_data", lambda e: _enriched_element(kind, e, id_of)))
     body = F.to_json(_changed(F.col("_members"), {"data": changed}))
     return rows.select("message_id", "type", F.when(F.col("_data").isNotNull(), body)
                        .otherwise(F.col("value")).alias("value"))
@@ -148,13 +198,22 @@ def matched_stages(stages: dict[str, DataFrame], relations: dict[str, DataFrame]
 
 # --- data check ------------------------------------------------------------------------
 
-def check_records(matched: dict[str, DataFrame], now: Column, secret=None) -> DataFrame:
-    """Records of all stages with the rules they fail and pass, and what their issue rows
-    need beside that."""
+SOURCES = {"collect": 1, "report": 4, "transport": 2, "tube": 2, "receive": 3}
+# rules that can hold a day after a record came, though no message has come since; the time
+# from which the day counts
+ABSENCE = {"collect": "C6", "transport": "TR2", "tube": "TR6", "receive": "V8"}
+ABSENCE_SINCE = {"collect": "collectTs", "transport": "deliveryTs", "receive": "receiveTs"}
+ABSENCE_RULES = {n: tuple(r for r in CATALOGUE[n] if r.code == c) for n, c in ABSENCE.items()}
+
+
+def check_records(matched: dict[str, DataFrame], now: Column, secret=None,
+                  rules=CATALOGUE) -> DataFrame:
+    """Records of all stages that have ``rules``, with those that they fail and pass, and what
+    their issue rows need beside that."""
     parts = []
-    for name, source in (("collect", 1), ("report", 4), ("transport", 2), ("tube", 2),
-                         ("receive", 3)):
-        found = I.judged(matched[name], CATALOGUE[name], now, secret)
+    for name, of_stage in rules.items():
+        source = SOURCES[name]
+        found = I.judged(matched[name], of_stage, now, secret)
         parts.append(I.issue_records(found, source, now))
     out = parts[0]
     for other in parts[1:]:
@@ -162,15 +221,21 @@ def check_records(matched: dict[str, DataFrame], now: Column, secret=None) -> Da
     return out
 
 
-def data_check(matched, now: Column, secret=None, stored=None, reopen=True, hot_keys=True):
+def data_check(matched, now: Column, secret=None, stored=None, reopen=True, hot_keys=True,
+               due=None):
     """Validate, follow each issue, count issues per day.
 
     Also returns ``issue_state``: hand it back as ``stored`` with the next batch, or a function
     that reads it for the records (``record_key``) of the batch. Records are matched and judged
-    once; errors and passes are both taken from what is checkpointed then.
+    once; errors and passes are both taken from what is checkpointed then. ``due`` are matched
+    records of earlier batches that only the rules on absence judge now.
     """
     ensure_checkpoint_dir(matched["collect"].sparkSession)
-    records = check_records(matched, now, secret).checkpoint()
+    records = check_records(matched, now, secret)
+    if due is not None:
+        records = records.unionByName(check_records(due, now, secret, ABSENCE_RULES),
+                                      allowMissingColumns=True)
+    records = records.checkpoint()
     if callable(stored):
         stored = stored(records.select("record_key"))
     emitted, state = I.tracked_issues(I.issue_rows(records, 0), I.issue_rows(records, 1), stored,

@@ -32,27 +32,38 @@ def stream_topic(spark: SparkSession, **options) -> DataFrame:
         spark.readStream.format("kafka").options(**kafka_options(**options)).load())
 
 
-def _text_records(df: DataFrame) -> DataFrame:
-    return df.select(_line_id().alias("message_id"), "value")
-
-
-def _line_id() -> Column:
-    # equal lines are different messages: tell them apart by their place in the input
-    return F.concat_ws("-", F.hex(F.xxhash64(F.col("_metadata.file_path"))),
-                       F.col("_metadata.file_block_start").cast("string"),
-                       F.monotonically_increasing_id().cast("string"))
+def _file_number() -> Column:
+    return F.hex(F.xxhash64(F.col("_metadata.file_path")))
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """One message per line."""
-    return _text_records(spark.read.text(path))
+    """One message per line. Its id is the file, a digest of the line and its number among equal
+    lines of the file, so it does not depend on how the file is cut into tasks. Equal lines are
+    counted partially first; lines that occur often are no burden."""
+    lines = spark.read.text(path).select(_file_number().alias("file"), "value")
+    counted = lines.groupBy("file", "value").agg(F.count("*").alias("times"))
+    # in two steps, so that no array grows with the number of equal lines
+    step = 4096
+    pieces = counted.withColumn("piece", F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("times") - 1) / step))))
+    last = F.least(F.col("times") - 1, F.col("piece") * step + (step - 1))
+    numbered = pieces.withColumn("number", F.explode(F.sequence(F.col("piece") * step, last)))
+    return numbered.select(F.concat_ws("-", "file", F.md5("value"), F.col("number").cast("string"))
+                           .alias("message_id"), "value")
 
 
 def stream_text(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
+    """One message per line; its id is the file and the number of the line. A file is taken as a
+    whole, so files should be of the size of some messages' worth, up to a gigabyte."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _text_records(reader.text(path))
+    whole = reader.text(path, wholetext=True).select(_file_number().alias("file"), F.regexp_replace(
+        "value", r"(\r\n|\r|\n)\z", "").alias("value"))
+    lines = whole.select("file", F.posexplode(F.split("value", r"\r\n|\r|\n"))
+                         .alias("number", "value"))
+    return lines.select(F.concat_ws("-", "file", F.col("number").cast("string"))
+                        .alias("message_id"), "value")
 
 
 def read_message_table(spark: SparkSession, path: str) -> DataFrame:
@@ -75,8 +86,3 @@ def topic_sink_options(servers: str, topic: str) -> dict[str, str]:
 def write_topic(df: DataFrame, servers: str, topic: str) -> None:
     (df.select(F.col("message_id").alias("key"), "value").write.format("kafka")
      .options(**topic_sink_options(servers, topic)).save())
-
-
-def to_json_rows(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows as JSON text, nulls left out."""
-    return df.select(F.to_json(F.struct(*(columns or df.columns))).alias("value"))

@@ -29,16 +29,19 @@ from ..functions.times import hour_of, truncated_mean
 from ..operators import envelope as E
 from ..operators import issues as I
 from ..operators import relations as R
+from ..operators.identity import new_ids
 from ..operators.running import accumulated, add_to_stored, upsert_latest
 from ..operators.windows import closed_of, closed_rows, stream_windowed_stats, tagged
 from ..plans import jobs, stats
 from ..sources.tables import KeyedTable, older_than
+from .pending import Pending
 from .state import stream_running
 
 ROW_ID = ("message_id", "pos")
 # counters go on from what is stored, unless that is older; closed issues are forgotten, too
 KEPT = "2 days"
 COUNTERS = ("upload_log_prob", "hour_sum_report")
+MESSAGES = "messages"
 
 
 @dataclass(frozen=True)
@@ -58,6 +61,19 @@ class Stores:
     def issues(self) -> KeyedTable:
         return KeyedTable(f"{self.path}/issue_state", ["issue_key"], by=["record_key"])
 
+    @property
+    def ids(self) -> KeyedTable:
+        """The id map: (place, id)."""
+        return KeyedTable(f"{self.path}/id_map", ["place"])
+
+    @property
+    def last_ids(self) -> KeyedTable:
+        """The highest id given so far, in one row."""
+        return KeyedTable(f"{self.path}/last_id", ["one"])
+
+    def pending(self, stage: str) -> Pending:
+        return Pending(f"{self.path}/pending_{stage}")
+
     def batch_times(self, job: str) -> KeyedTable:
         return KeyedTable(f"{self.path}/batch_time/{job}", ["batch"])
 
@@ -86,25 +102,49 @@ class Stores:
         return [*(self.relation(n) for n in jobs.RELATION_KEYS), *map(self.sink, COUNTERS)]
 
 
-def _update_relations(stores: Stores, stages, spark: SparkSession, batch: int):
+def _update_relations(stores: Stores, stages, spark: SparkSession, batch: int, due=None):
     """Add the batch to the relation tables; returns them as of after the batch, as far as
-    its rows ask for them."""
+    its rows, or the ``due`` ones, ask for them."""
     updates = jobs.relation_updates(stages)
     for name, fresh in updates.items():
         table = stores.relation(name)
         merged = R.merge_relation(table.latest(spark, before=batch, among=fresh), fresh,
                                   jobs.RELATION_KEYS[name])
         table.write_batch(merged, batch)
-    asked = dict(updates)
-    if "tube" in asked and "transport" in stages:
-        items = stages["transport"].select(F.explode("transportItem").alias("item"))
-        asked["tube"] = asked["tube"].select("tubeCode").union(items.select("item.tubeCode"))
+    asked = {n: rows.select(*jobs.RELATION_KEYS[n]) for n, rows in updates.items()}
+    for rows in (stages, due or {}):
+        if "transport" in rows:
+            items = rows["transport"].select(F.explode("transportItem").alias("item"))
+            asked["tube"] = asked["tube"].union(items.select("item.tubeCode"))
+    for name, stage in (("person", "collect"), ("delivery", "transport"), ("delivery", "receive")):
+        if due:
+            asked[name] = asked[name].union(due[stage].select(*jobs.RELATION_KEYS[name]))
     return {n: stores.relation(n).latest(spark, before=batch + 1, among=asked[n])
             for n in updates}
 
 
+def _due_records(stores: Stores, stages, spark: SparkSession, batch: int, at: Column):
+    """Keep the records of a batch that the rules on absence cannot judge yet, and return the
+    ones of earlier batches that they can judge now (stage -> rows); None if there are none."""
+    for name, since in jobs.ABSENCE_SINCE.items():
+        due = F.col(since) + F.expr("interval 1 day")
+        stores.pending(name).write_batch(stages[name].filter(due > at), due, batch)
+    before = stores.batch_times(MESSAGES).of_batch(spark, batch - 1) if batch else None
+    if before is None:
+        return None
+    after = before.select(F.timestamp_micros("micros")).first()[0]
+    until = spark.range(1).select(at).first()[0]
+    found = {n: stores.pending(n).due(spark, stages[n].schema, after, until, batch)
+             for n in jobs.ABSENCE_SINCE}
+    for name in found:
+        stores.pending(name).forget(spark, after)
+    if not any(rows is not None for rows in found.values()):
+        return None
+    return {**{n: stages[n].limit(0) if found.get(n) is None else found[n] for n in stages}}
+
+
 def _time_of_batch(stores: Stores, spark: SparkSession, batch: int, now: Column,
-                   job: str = "messages") -> Column:
+                   job: str = MESSAGES) -> Column:
     """The time of a batch: taken once, stored, and the same in every retry and table."""
     times = stores.batch_times(job)
     stored = times.of_batch(spark, batch)
@@ -125,18 +165,23 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
     repeated batch gives the same rows. Every ``compact_every`` batches the stores that are
     read per batch are folded, so that a read never takes more than that many folders.
 
+    Records without their counterpart are kept until a day has passed and judged again in the
+    first batch after that, so such an issue needs no further message; see ``heartbeats``.
+
     Counters that were last written more than ``KEPT`` before the batch begin anew, and closed
     issues of that age are forgotten; sink rows stay until they are written again.
     """
     def step(messages: DataFrame, batch: int) -> None:
         spark = messages.sparkSession
         at = _time_of_batch(stores, spark, batch, now())
+        messages = messages.filter(F.col("message_id").isNotNull())  # no heartbeats
         read = E.read_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
         kept = [read]
         try:
             parsed = E.accepted(read)
             stages = jobs.stages_of(parsed)
-            relations = _update_relations(stores, stages, spark, batch)
+            due = _due_records(stores, stages, spark, batch, at)
+            relations = _update_relations(stores, stages, spark, batch, due)
             matched = {n: rows.persist(StorageLevel.MEMORY_AND_DISK)
                        for n, rows in jobs.matched_stages(stages, relations).items()}
             kept.extend(matched.values())
@@ -144,7 +189,8 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
             forgotten = old & ~F.col("is_open")
             checked = jobs.data_check(
                 matched, at, secret,
-                lambda records: stores.issues.latest(spark, batch, records, forgotten), reopen)
+                lambda records: stores.issues.latest(spark, batch, records, forgotten), reopen,
+                due=due and jobs.matched_stages(due, relations))
             stores.issues.write_batch(checked.pop("issue_state"), batch, at)
             counts, daily = stores.sink("upload_log_prob"), checked["upload_log_prob"]
             checked["upload_log_prob"] = add_to_stored(
@@ -173,6 +219,15 @@ def message_step(stores: Stores, now: Callable[[], Column] = F.current_timestamp
     return step
 
 
+def heartbeats(messages: DataFrame, per_second: int = 1) -> DataFrame:
+    """A stream of messages that never falls silent: rows without an id come in between, so that
+    batches go on and records become due while no message comes."""
+    beats = (messages.sparkSession.readStream.format("rate")
+             .option("rowsPerSecond", per_second).load())
+    nothing = F.lit(None).cast("string")
+    return messages.unionByName(beats.select(*[nothing.alias(c) for c in messages.columns]))
+
+
 def start_messages(messages: DataFrame, stores: Stores, checkpoint: str, trigger=None,
                    **options) -> StreamingQuery:
     writer = messages.writeStream.foreachBatch(message_step(stores, **options))
@@ -180,10 +235,48 @@ def start_messages(messages: DataFrame, stores: Stores, checkpoint: str, trigger
             .trigger(**(trigger or {"processingTime": "2 minutes"})).start())
 
 
+def enrich_step(stores: Stores, fmt: str = "parquet", compact_every: int = 50,
+                **options) -> Callable[[DataFrame, int], None]:
+    """Work on one micro-batch: messages with ids out of the id map, where two keys never share
+    one. New keys are numbered in key order after the highest id of the batches before, so a
+    batch that is run again gives the same ids. Files go to a folder per batch below ``path``."""
+    def step(messages: DataFrame, batch: int) -> None:
+        spark = messages.sparkSession
+        rows = messages.persist(StorageLevel.MEMORY_AND_DISK)
+        keys = jobs.message_keys(rows).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            known = stores.ids.latest(spark, batch, keys)
+            last = stores.last_ids.latest(spark, batch)
+            top = 0 if last is None else last.first()["id"]
+            stores.ids.write_batch(new_ids(keys, known, ["place"], F.lit(top)), batch)
+            fresh = stores.ids.of_batch(spark, batch)
+            stores.last_ids.write_batch(fresh.agg(
+                F.lit(0).alias("one"), F.coalesce(F.max("id"), F.lit(top)).alias("id")), batch)
+            ids = fresh if known is None else known.unionByName(fresh)
+            out = jobs.enrich_messages(rows, keys.join(ids, "place"))
+            if "path" in options:
+                path = f"{options['path']}/batch={batch}"
+                out.write.format(fmt).mode("overwrite").options(
+                    **{n: v for n, v in options.items() if n != "path"}).save(path)
+            else:
+                out.write.format(fmt).options(**options).save()
+            if batch and batch % compact_every == 0:
+                for store in (stores.ids, stores.last_ids):
+                    store.compact(spark, before=batch, remove=True)
+        finally:
+            for df in (rows, keys):
+                df.unpersist()
+    return step
+
+
 def start_enriched(messages: DataFrame, checkpoint: str, trigger=None, fmt="parquet",
-                   **options) -> StreamingQuery:
-    """Messages with ids, to a topic (``fmt="kafka"`` with its options) or to files."""
-    writer = jobs.enrich_messages(messages).writeStream.format(fmt).options(**options)
+                   stores: Stores | None = None, **options) -> StreamingQuery:
+    """Messages with ids, to a topic (``fmt="kafka"`` with its options) or to files. Ids are
+    hashes, or with ``stores`` come out of an id map that grows with the stream."""
+    if stores is not None:
+        writer = messages.writeStream.foreachBatch(enrich_step(stores, fmt, **options))
+    else:
+        writer = (jobs.enrich_messages(messages).writeStream.format(fmt).options(**options))
     return (writer.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "2 minutes"})).start())
 
