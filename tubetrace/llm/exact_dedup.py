@@ -12,7 +12,11 @@ Three stages, and each compares whole contents; a digest only says what to compa
   neighbouring tasks, so a group of any size meets in pieces of that many tables;
 * the winners of the salts are combined by digest.
 
-Rows are merged one after the other in the order of their digests, so a task holds the
+A digest that a single table holds has nothing to be compared with: counts of digests, made
+by salts as well, find those first, and their contents are not moved. Which contents are is
+decided in place by 2^``SLOT_BITS`` bits, one for each hash of a shared digest: a bit that is set
+by chance, or all of them if there are that many, costs a shuffle of a content and nothing
+else. Rows are merged one after the other in the order of their digests, so a task holds the
 contents of one digest at a time. Documents follow their winner by row numbers: their texts
 are shuffled only as contents of tables, never once per row. Numbers are written to the
 shared folder together with what they number, so a lost executor cannot mix two tries.
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -36,6 +41,7 @@ from .common import WORD_SPACE, fields_of, stored, texts
 
 LOCAL_BYTES = 64 << 20  # contents that a task holds while it combines what it reads
 FAN = 16  # tasks whose tables share a salt
+SLOT_BITS = 24
 ROW_BITS = 40  # a row number is the number of its task and its place there
 
 # one row of each content that a table holds; the best row of those it stands for
@@ -182,23 +188,50 @@ def _merge(entries: DataFrame, by: list[str], keep_content: bool) -> DataFrame:
     return stored(dealt.mapInArrow(merge, schema))
 
 
+def _perhaps_shared(entries: DataFrame, shared: DataFrame) -> DataFrame:
+    """The entries whose digest has its bit among those of the ``shared`` digests."""
+    slot = F.xxhash64("digest").bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
+    words = (shared.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word"))
+             .agg(F.bit_or(bit).alias("bits")).toArrow())
+    bits = np.zeros(1 << SLOT_BITS - 6, np.uint64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    common = entries.sparkSession.sparkContext.broadcast(bits)  # 2 MB, whatever the input
+    columns = entries.columns
+
+    def passing(batches):
+        for batch in batches:
+            slots = batch.column(len(columns)).to_numpy().astype(np.uint64)
+            there = common.value[slots >> np.uint64(6)] >> (slots & np.uint64(63)) & np.uint64(1)
+            yield batch.select(columns).filter(pa.array(there.astype(bool)))
+
+    return entries.withColumn("slot", slot).mapInArrow(passing, entries.schema)
+
+
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 carry: tuple[str, ...] = ("doc_id",), digest_bytes: int = 32) -> DataFrame:
     """``carry`` of every row with keep_id (key of the row that stays), group_size, kept and
     text_sha256 (of the content, hex). The result does not depend on ``digest_bytes``."""
     names = list(dict.fromkeys([*carry, key]))
     read = _combine_read(docs, names, key, text, digest_bytes)
-    salt = F.shiftright("id", ROW_BITS + FAN.bit_length() - 1)
-    local = read.where(F.col("digest").isNotNull()).withColumn("salt", salt)
-    salted = _merge(local, ["digest", "salt"], keep_content=True)
     entry, link = F.col("digest").isNotNull(), F.col("to").isNotNull()
+    own = [f.name for f in fields_of(ENTRY)]
+    entries = read.where(entry).select(*own, "best_key").withColumn(
+        "salt", F.shiftright("id", ROW_BITS + FAN.bit_length() - 1))
+    shared = stored(entries.groupBy("digest", "salt").agg(F.count("*").alias("tables"))
+                    .groupBy("digest").agg(F.sum("tables").alias("tables"))
+                    .where("tables > 1").select("digest"))
+    stays = [F.col("best_key").alias("keep_id"), F.col("n").alias("group_size"), "best"]
+    alone = (entries.drop("content").join(shared, "digest", "left_anti")
+             .select(F.col("id").alias("local"), *stays))
+    salted = _merge(_perhaps_shared(entries, shared).join(shared, "digest", "left_semi"),
+                    ["digest", "salt"], keep_content=True)
     combined = _merge(salted.where(entry), ["digest"], keep_content=False)
-    classes = combined.where(entry).select(
-        F.col("id").alias("class"), F.col("best_key").alias("keep_id"),
-        F.col("n").alias("group_size"), "best")
+    classes = combined.where(entry).select(F.col("id").alias("class"), *stays)
     named = (salted.where(link).select(F.col("id").alias("local"), F.col("to").alias("id"))
              .join(combined.where(link).select("id", F.col("to").alias("class")), "id")
-             .join(classes, "class").select("local", "keep_id", "group_size", "best"))
+             .join(classes, "class").select("local", "keep_id", "group_size", "best")
+             .unionByName(alone))
     rows = read.where(F.col("row").isNotNull()).select(
         *(f"in_{c}" for c in names), "row", "local", "sha")
     return (rows.join(named, "local")
