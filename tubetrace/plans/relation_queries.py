@@ -59,8 +59,9 @@ select cast(l_partkey % 500 as varchar) as "tubeCode",
        cast(arg_max(l_suppkey, place) as varchar) as "collectSubmitId",
        strftime(arg_max(l_shipdate + to_days(l_linenumber::integer), place), '%Y-%m-%d %H:%M:%S')
          as "tubeCollectTime"
-from (select *, (((epoch(l_shipdate) // 2592000)::hugeint * 10 + l_orderkey % 7) * 1000000000000
-                 + l_orderkey) * 100 + l_linenumber as place from lineitem)
+from (select *, ((floor(epoch(l_shipdate) / 2592000)::hugeint * 10 + l_orderkey % 7) * 1000000000000
+                 + l_orderkey) * 1000000 + l_linenumber * 10000 + l_suppkey % 10000 as place
+      from lineitem)
 group by l_partkey % 500""")
 def relation_store_ties(spark, sf_dir):
     """Many writes to a key in one second (here: a month), partition and message."""
@@ -72,7 +73,8 @@ def relation_store_ties(spark, sf_dir):
             "timestamp")).alias("collectTs"),
         F.col("l_suppkey").alias("submitId"), F.timestamp_seconds(month).alias("recTs"),
         F.concat_ws("-", F.lit("lines"), S.text(F.col("l_orderkey") % 7),
-                    S.text("l_orderkey")).alias("message_id"), F.col("l_linenumber").alias("pos"))
+                    S.text("l_orderkey")).alias("message_id"),
+        (F.col("l_linenumber") * 10000 + F.col("l_suppkey") % 10000).alias("pos"))
     return R.tube_relation(rows).select("tubeCode", "collectSubmitId", "tubeCollectTime")
 
 
