@@ -307,6 +307,33 @@ def test_embeddings_against_all_pairs(spark_llm):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_hot_buckets_are_cut_and_ids_may_repeat(spark_llm, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "HOT_ROWS", 20)
+    monkeypatch.setattr(embed_dedup, "CHUNK", 16)
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((3, 16))
+    vectors = [*(base[0] + rng.standard_normal((90, 16)) * .12), *(base[1] + rng.standard_normal((20, 16)) * .3),
+               *rng.standard_normal((30, 16))]
+    ids = [None if i == 4 else 50 if i == 51 else i for i in range(len(vectors))]
+    df = spark_llm.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)],
+                                   "vec_id long, embedding array<double>")
+    units = np.array([v / np.linalg.norm(v) for v in vectors])
+    near = units @ units.T >= .9
+    np.fill_diagonal(near, False)
+    group, todo = {}, set(range(len(ids)))
+    while todo:
+        found, edge = set(), {min(todo)}
+        while edge:
+            found |= edge
+            edge = {j for i in edge for j in np.flatnonzero(near[i]).tolist()} - found
+        todo -= found
+        known = [ids[i] for i in found if ids[i] is not None]
+        group |= {i: min(known, default=None) for i in found}
+    want = sorted(((ids[i], int(near[i].sum()), group[i]) for i in range(len(ids))), key=repr)
+    rows = embed_dedup.near_duplicates(df).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in rows), key=repr) == want
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(0)
     units = rng.standard_normal((300, 64))

@@ -2,7 +2,7 @@
 
 Each distinct vector is turned by ``rotations`` random rotations; the signs of the turned
 components are its code, and one correction factor per rotation, the inner product of the
-unit vector with its own code, is stored beside it. For a code and a second vector
+unit vector with its own code, is kept beside it while it is compared. For a code and a second vector
 
     <code, turned second vector> / factor
 
@@ -15,7 +15,7 @@ only by that value.
 Pairs are looked for among vectors that agree on a band of code bits. The bits of a band grow
 with the logarithm of the number of vectors, so a bucket stays small, and there are as many
 bands as keep the chance to miss a pair right at the threshold below ``MISS`` (pairs above
-it are missed far less often). Buckets that hold a large share of all rows are cut into
+it are missed far less often). Buckets of more than ``HOT_ROWS`` rows are cut into
 chunks, and pairs of chunks are compared in tasks of bounded size. A pair counts in the first
 band it shares. Tasks put out link counts per vector and a spanning forest of the links they
 found, never the pairs, so a large group of copies does not make a quadratic output.
@@ -41,7 +41,7 @@ from .common import checkpointed, chunk_pairs, components, fields_of, sorted_run
 
 SURE, MISS = 4.0, 5e-4
 CHUNK = 512
-HOT_SHARE = 4096  # a bucket with more than 1/4096 of all band rows is cut
+HOT_ROWS = 4096  # a bucket with more rows is cut
 
 
 def plan_bands(n: int, threshold: float) -> tuple[int, int]:
@@ -193,12 +193,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_
             .mapInArrow(cut, "digest binary, copies long, vector binary, keys array<long>"))
     rows = stored(rows)
     band_rows = rows.select("digest", F.posexplode("keys").alias("band", "bucket"))
-    total = rows.count() * bands
-    # at most HOT_SHARE buckets can hold more than 1 / HOT_SHARE of the rows each
-    hot = (band_rows.groupBy("band", "bucket").agg(F.count("*").alias("n"))
-           .where(F.col("n") > max(CHUNK, total // HOT_SHARE)))
+    # written, so that the engine knows its size when it chooses the join
+    hot = stored(band_rows.groupBy("band", "bucket").agg(F.count("*").alias("n"))
+                 .where(F.col("n") > HOT_ROWS))
     dealt = (rows.select("digest", "copies", "vector", F.posexplode("keys").alias("band", "bucket"))
-             .join(F.broadcast(hot), ["band", "bucket"], "left")
+             .join(hot, ["band", "bucket"], "left")
              .withColumn("n", F.coalesce("n", F.lit(1))))
     keys = ["band", "bucket", "c1", "c2"]
     dealt = (chunk_pairs(dealt, "digest", "n", CHUNK).repartition(*keys)
