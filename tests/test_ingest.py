@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from messages import SECRET, collect, envelope, frame, receive, report, transport
 from tubetrace.functions.crypto import decrypt, encrypt
 from tubetrace.operators import envelope as E
-from tubetrace.plans import jobs
+from tubetrace.plans import ingest_queries, jobs
 from tubetrace.schemas import COLLECT, RECEIVE, REPORT, TRANSPORT
 from tubetrace.sources import messages as M
 
@@ -145,3 +145,20 @@ def test_topic_options():
     options = M.kafka_options("h:1", "t", "latest")
     assert options["startingOffsets"] == "latest" and options["subscribe"] == "t"
     assert M.topic_sink_options("h:1", "t")["kafka.max.request.size"] == "10485760"
+
+
+def test_enriched_messages_are_neither_broadcast_nor_met_in_one_task(spark, tmp_path):
+    spark.range(40).selectExpr(
+        "id as event_id", "timestamp'2024-01-05 12:00:00' as ts", "id % 4 as user_id",
+        "array('view', 'signup', 'click', 'error')[cast(id % 4 as int)] as event_type",
+        "1.5 as value", "concat('{\"k\": ', id % 3, '}') as props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    rows = ingest_queries.enriched_messages(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "hashpartitioning" in plan
+    # each window splits the rows without an id
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("xxhash64(message_id") >= 2
+    found = rows.collect()
+    assert len(found) == 80 and {r.is_else_unchanged for r in found} == {1}
+    assert {r.first_of_id for r in found if r.type == "PAGE_VIEW"} == {None}
+    assert all(r.first_of_id is not None for r in found if r.type != "PAGE_VIEW")

@@ -250,7 +250,8 @@ def enriched_messages(spark, sf_dir):
             members, lambda name, value: ~name.isin(*changed) & value.isNotNull())))
 
     before = messages.select("message_id", F.col("value").alias("old"))
-    enriched = enriched.join(before, "message_id")
+    # by size on disk the messages look small enough to be broadcast, but their text is not
+    enriched = enriched.join(before.hint("merge"), "message_id")
     heads = [rest(F.from_json(c, "map<string,string>"), "data") for c in ("old", "value")]
     same = F.zip_with(elements("old"), elements("value"), lambda a, b: rest(
         a, "checkResult", "transportItem", "receivesItem") == rest(
@@ -267,7 +268,9 @@ def enriched_messages(spark, sf_dir):
     tube = F.coalesce("e.transportItem", "e.receivesItem")[0]
 
     def first_of(value):
-        return F.when(value.isNotNull(), F.min(place).over(Window.partitionBy(value)))
+        # rows without an id have no first; they are spread instead of meeting in one task
+        spread = F.when(value.isNull(), F.xxhash64("message_id", "pos"))
+        return F.when(value.isNotNull(), F.min(place).over(Window.partitionBy(value, spread)))
 
     return rows.select(
         "message_id", "type", "pos", F.col("e.submitId").alias("submit_id"),
