@@ -208,3 +208,18 @@ def test_relation_tables_keep_the_latest_value(spark):
     delivery = R.delivery_relation(stages["transport"], stages["receive"]).first()
     assert (delivery.tubeNum, delivery.packNum, delivery.deliveryTime, delivery.receiveTime) == (
         2, 1, "2024-01-05 08:40:00", "2024-01-05 09:00:00")
+
+
+def test_only_numbers_are_exploded_and_named_afterwards(spark):
+    rows = E.stage_from_messages(
+        frame(spark, envelope("REPORT_DATA", [report(personName="#")])), STAGES["report"])
+    matched = rows.withColumn("matchCollectTime", F.lit(None).cast("string"))
+    now = F.lit(NOW).cast("timestamp")
+    found = I.validate(matched, CATALOGUE["report"], now)
+    want = {(r.code, r.problem_type, r.kind) for r in CATALOGUE["report"]
+            if r.code not in ("R15", "R16")}  # these say nothing without a collect record
+    assert {(r.rule_code, r.problem_type, r.issue_kind) for r in found.collect()} == want
+    failed = I.validate(matched, CATALOGUE["report"], now, only=0).collect()
+    assert sorted(r.rule_code for r in failed) == ["R14", "R3"]
+    # a function called per record and rule would not be compiled
+    assert "lambdafunction" not in found._jdf.queryExecution().optimizedPlan().toString()
