@@ -1,10 +1,11 @@
 import json
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from messages import collect, envelope, frame, receive, report, transport
 from tubetrace.operators import issues as I
-from tubetrace.plans import jobs, stats
+from tubetrace.plans import jobs, relation_queries, stats
 from tubetrace.sources.tables import KeyedTable
 
 
@@ -173,3 +174,35 @@ def test_keyed_table_replaces_repeated_batches(spark, tmp_path):
     assert held(before=1) == {"a": 2, "b": 5}
     (tmp_path / "delta" / "3").mkdir()  # a write that never finished
     assert held() == {"a": 8, "b": 5, "c": 9}
+
+
+def test_both_outcomes_of_the_issue_rows_in_one_pass(spark):
+    rows = frame(spark, envelope("COLLECT_DATA", [collect(personName="#")]),
+                 envelope("REPORT_DATA", [report()]))
+    records = jobs.check_records(_matched(rows), at(NOW))
+    apart = I.issue_rows(records, 0).unionByName(I.issue_rows(records, 1))
+    both = I.issue_rows(records)
+    assert both.columns == apart.columns
+    assert sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_stage_counts_leave_little_behind(spark, tmp_path):
+    """Neither the judged records nor the texts of loads are written."""
+    day, home = "timestamp'2000-01-05'", str(tmp_path)
+    spark.range(2000).selectExpr(
+        "id as o_orderkey", "id % 300 as o_custkey", "'F' as o_orderstatus", "1.0 as o_totalprice",
+        f"{day} as o_orderdate", "'LOW' as o_orderpriority").write.parquet(f"{home}/orders.parquet")
+    spark.range(8000).selectExpr(
+        "id div 4 as l_orderkey", "id % 70 as l_partkey", "id % 9 as l_suppkey",
+        "cast(id % 4 as int) as l_linenumber", "'F' as l_linestatus",
+        f"{day} as l_shipdate").write.parquet(f"{home}/lineitem.parquet")
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+
+    def held():
+        return {f: f.stat().st_size for f in folder.rglob("*") if f.is_file()}
+
+    before = held()
+    counts = relation_queries.issue_stage_counts(spark, home)
+    new = {f: n for f, n in held().items() if f not in before}
+    assert counts.count() and 0 < sum(new.values()) < 500_000
+    assert all("tables" in f.parts for f in new)
