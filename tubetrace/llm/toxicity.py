@@ -208,18 +208,21 @@ def train(texts: list[str], labels: list[int], steps: int = 900, batch: int = 64
     if not 0 < labels.sum() < len(labels):
         return None
     rng, net = np.random.default_rng(seed), Network(seed)
-    words = [bare_words(t) for t in texts]
-    number = {w: i for i, w in enumerate(dict.fromkeys(w for ws in words for w in ws))}
+    # words as numbers from the start: as objects they would take ten times the texts
+    number: dict[str, int] = {}
+    words = [np.array([number.setdefault(w, len(number)) for w in bare_words(t)], np.int64)
+             for t in texts]
     counts = np.array([len(ws) for ws in words])
-    position = np.array([number[w] for ws in words for w in ws], np.int64)
+    position = np.concatenate(words)
     ids, starts, whole = spell(list(number))
+    del number
     n_grams = np.diff(np.append(starts, len(ids)))
     rows, owner = windows(counts)
 
     grams_of = np.split(ids, starts[1:]) if len(starts) else []
-    per_text = [(np.unique(np.concatenate([grams_of[number[w]] for w in set(ws)])),
-                 np.unique(whole[[number[w] for w in set(ws)]])) if ws
-                else (np.zeros(0, np.int64),) * 2 for ws in words]
+    per_text = [(np.unique(np.concatenate([grams_of[w] for w in ws])).astype(np.int32),
+                 np.unique(whole[ws]).astype(np.int32)) if len(ws)
+                else (np.zeros(0, np.int32),) * 2 for ws in map(np.unique, words)]
     half = rng.permutation(len(texts)) % 2
 
     def odds_of(chosen):
@@ -229,6 +232,7 @@ def train(texts: list[str], labels: list[int], steps: int = 900, batch: int = 64
 
     split = [odds_of(half == 1), odds_of(half == 0)]  # by the half of the text itself
     net.odds = odds_of(half >= 0)
+    del per_text, grams_of, words
     # words as each half sees them: first those with the odds for half 0, then for half 1
     n_words = len(starts)
     row_words = np.where(rows == PAD, PAD, position[rows] if len(position) else PAD)
@@ -362,6 +366,7 @@ def score_documents(docs: DataFrame, labelled: DataFrame, key: str = "doc_id",
         sample = sorted(map(tuple, training_sample(
             docs, labelled, key, label, text, per_class, max_chars).collect()))
         net = train([t for t, _ in sample], [v for _, v in sample])
+        del sample
         if net is None:
             warnings.warn("toxicity: no document of one of the labels; every score is 0",
                           stacklevel=2)
