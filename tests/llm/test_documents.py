@@ -1,6 +1,7 @@
 """Rules, classifiers, scores, near duplicates and shards on small tables."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -364,3 +365,13 @@ def test_shards(spark_llm, odd, none):
     assert len(copies) < 16  # a third of the rows: more than a shard, not all shards
     assert len(sharding.shard_rows(odd).collect()) == odd.count()
     assert sharding.shard_rows(none).count() == 0
+
+
+def test_toxicity_training_holds_numbers_for_words():
+    texts = [" ".join(f"word{(7 * i + k) % 50}" for k in range(4000)) for i in range(100)]
+    tracemalloc.start()
+    assert toxicity.train(texts, [i % 2 for i in range(100)], steps=0) is not None
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 400,000 words: as objects they alone take 60 bytes each
+    assert peak < 32_000_000
