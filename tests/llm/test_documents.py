@@ -195,6 +195,22 @@ def test_ppm_uses_the_contexts_outside_the_shared_trie(spark_llm, odd, capacity)
             assert r.score == pytest.approx(want[r.doc_id], abs=1e-3, rel=1e-4)
 
 
+def test_ppm_shares_the_same_contexts_of_a_corpus_of_any_size(spark_llm):
+    keys, _ = ppm.gram_keys([b"common words", b"rare ones"])
+    weight = np.where(np.arange(len(keys)) < 13, 1 << 22, 1)
+    outside = []
+    for times in (1, 5):
+        counts = spark_llm.createDataFrame(
+            [(None, int(k), int(n) * times) for k, n in zip(keys, weight, strict=True)],
+            "word binary, gram long, n long")
+        trie, _, contexts = ppm.build_trie(counts, ppm.CAPACITY)
+        assert not trie.whole
+        outside.append({r.context for r in contexts.collect()})
+    assert outside[0] == outside[1]
+    text = lambda c: int(c).to_bytes(6, "big").lstrip(b"\0")[1:]
+    assert b"rare " in set(map(text, outside[0])) and b"commo" not in set(map(text, outside[0]))
+
+
 def test_ppm_probabilities_add_up():
     keys, _ = ppm.gram_keys([b"abracadabra", b"abrakadabra", b""])
     grams = Counter(int(k) for s in range(1, ppm.ORDER + 2) for k in ppm.shorter(keys, s))

@@ -11,9 +11,11 @@ of its bytes and the end, so it rates the same tokens as the base score does.
 
 Corpus counts cover every training text and are made by Spark: bytes in contexts and words,
 counted per task and added by key. What goes to all tasks is bounded by parameters: the
-contexts of the trie with the highest counts, ``CAPACITY`` entries at most (the contexts of
-no and one byte are always there), and the counts of the ``FREQUENT`` most frequent words.
-Everything else stays in Spark and is looked up by joins: the words that are not among the
+contexts of the trie that hold ``SHARE`` of all bytes or more, ``CAPACITY`` entries at most (the
+contexts of no and one byte are always there), and the counts of the ``FREQUENT`` most frequent
+words. As a share of the bytes and not a number of contexts is the measure, the part of a text that
+the trie leaves open, and with it the rows of the joins per text, is the same for a small and
+a large corpus. Everything else stays in Spark and is looked up by joins: the words that are not among the
 frequent ones, and the contexts that are not in the trie. The probability of a byte depends
 on the ``ORDER`` bytes before it only, so each distinct context and byte that the trie cannot
 answer is looked up once; the counts that find it give what the whole trie would give.
@@ -41,6 +43,7 @@ from .common import TO_LOWER, fields_of, stored, texts
 
 ORDER = 5
 CAPACITY = 1 << 20
+SHARE = 2.0 ** -21
 FREQUENT = 1 << 18
 END_WORD = b""  # no word is empty
 END_BYTE = b"\xff"
@@ -126,16 +129,16 @@ def corpus_counts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def split(rows: DataFrame, size: str, weight: str,
-          capacity: int) -> tuple[DataFrame, DataFrame | None]:
-    """The rows with the highest ``size`` of which the ``weight`` adds up to ``capacity`` at
-    most, and the others, None if there are none; sizes are compared by the eighth of a power
-    of two, so no sort is needed."""
+          capacity: int, least_size: float = 0) -> tuple[DataFrame, DataFrame | None]:
+    """The rows with the highest ``size``, ``least_size`` or more, of which the ``weight`` adds
+    up to ``capacity`` at most, and the others, None if there are none; sizes are compared by the
+    eighth of a power of two, so no sort is needed."""
     level = F.floor(F.log2(size) * 8)
     levels = rows.groupBy(level.alias("level")).agg(F.sum(weight).alias("w")).collect()  # <= 512
     least, total = math.inf, 0
     for row in sorted(levels, key=lambda r: -r["level"]):
         total += row["w"]
-        if total > capacity:
+        if total > capacity or 2 ** ((row["level"] + 1) / 8) <= least_size:
             break
         least = row["level"]
     else:
@@ -268,10 +271,11 @@ class Trie:
         return out
 
 
-def build_trie(counts: DataFrame, capacity: int) -> tuple[Trie, DataFrame, DataFrame | None]:
-    """The trie of the most frequent contexts, (key, n) of all, and (context, t, d, rest_t,
-    rest_d) of the contexts that are not in it, None if there are none; ``capacity`` bounds
-    what comes to the driver."""
+def build_trie(counts: DataFrame, capacity: int,
+               share: float = SHARE) -> tuple[Trie, DataFrame, DataFrame | None]:
+    """The trie of the contexts with ``share`` of the bytes or more, (key, n) of all, and
+    (context, t, d, rest_t, rest_d) of the contexts that are not in it, None if there are none;
+    ``capacity`` bounds what comes to the driver."""
     sizes = range(1, ORDER + 2)
     suffix = F.explode(F.array(*(
         F.col("gram").bitwiseAND(F.lit((1 << 8 * s) - 1)) + F.lit(1 << 8 * s) for s in sizes)))
@@ -281,7 +285,8 @@ def build_trie(counts: DataFrame, capacity: int) -> tuple[Trie, DataFrame, DataF
     grams = stored(grams)
     contexts = grams.groupBy("context").agg(F.sum("n").alias("t"), F.count("*").alias("d"))
     short = F.col("context") < (1 << 16)  # no byte or one
-    kept, rest = split(contexts.where(~short), "t", "d", capacity)
+    n_bytes = grams.where(F.col("context") == 1).agg(F.sum("n")).first()[0] or 0
+    kept, rest = split(contexts.where(~short), "t", "d", capacity, share * n_bytes)
     kept = contexts.where(short).select("context").union(kept.select("context"))
     rows = grams.join(kept, "context").select("key", "n").toArrow()
     trie = Trie(rows.column("key").to_numpy(), rows.column("n").to_numpy(), rest is None)
