@@ -15,6 +15,7 @@ from tubetrace.llm import minhash, packing, quality_rules, toxicity
 from tubetrace.llm.common import fold, package_for_workers, read, stored
 
 TOXIC = 0.5
+REMEMBERED = 50_000  # words a stage keeps in a Python worker: the workers serve all stages
 SIMILAR = 80  # per cent of the shingles of two documents
 
 
@@ -28,7 +29,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC``; learns from those that are labelled."""
     package_for_workers(spark)
     learn = read(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0).select("doc_id", "toxic")
-    return toxicity.clean_documents(docs, learn, TOXIC)
+    return toxicity.clean_documents(docs, learn, TOXIC, remembered=REMEMBERED)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in the sequences."""
     package_for_workers(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"),
+                                  remembered=REMEMBERED)
 
 
 STAGES = [("quality", quality), ("toxicity", clean), ("near_duplicates", distinct),

@@ -34,6 +34,7 @@ from .common import Recent, fields_of
 # packing 100,000 pieces takes less than a second
 DOCS_PER_PARTITION = 50_000
 OPEN_BINS = 1024  # far fewer than the pieces of a partition
+REMEMBERED = 300_000  # runs of which a worker keeps the ids, and as many older ones
 # fixed value: controls that str.split cuts at, but the normalizer of the vocabulary keeps
 KEPT_CONTROLS = re.compile("[\x1c-\x1f]")
 # fixed value: letters whose lower case is one letter and which no normalization joins
@@ -48,7 +49,7 @@ class WordIds:
     lower-cased letters go to the merges at once. Other runs go through the whole tokenizer.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -92,8 +93,8 @@ class WordIds:
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, limit: int = REMEMBERED) -> WordIds:
+    return WordIds(path, limit)
 
 
 class BestFit:
@@ -132,7 +133,8 @@ class BestFit:
 
 
 def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, text: str = "text",
-           carry: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+           carry: tuple[str, ...] = ("doc_id",), with_ids: bool = False,
+           remembered: int = REMEMBERED) -> DataFrame:
     """Rows (carry, piece, start, length, ids_crc32[, ids]), one per piece of a document."""
     kept = docs.select(*carry, F.col(text).alias("__text"))
     schema = docs.select(*carry).schema
@@ -142,7 +144,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, text: str
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode = word_ids(path)
+        encode = word_ids(path, remembered)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
@@ -190,8 +192,9 @@ def pack(items: DataFrame, partitions: int, capacity: int = 2048, open_bins: int
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0,
                    open_bins: int = OPEN_BINS, text: str = "text",
-                   carry: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+                   carry: tuple[str, ...] = ("doc_id",), with_ids: bool = False,
+                   remembered: int = REMEMBERED) -> DataFrame:
     """Tokenizes, cuts and packs whole documents into sequences of ``capacity`` tokens."""
     partitions = max(1, -(-docs.count() // DOCS_PER_PARTITION))
-    return pack(pieces(docs, path, capacity, end_id, text, carry, with_ids), partitions,
+    return pack(pieces(docs, path, capacity, end_id, text, carry, with_ids, remembered), partitions,
                 capacity, open_bins)

@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fields_of, hidden, shown
+from .common import fields_of, hidden, sent, shown
 
 WORDS, STRIDE = 32, 24
 BUCKETS, EMBED, HIDDEN = 1 << 15, 8, 8
 INPUT = 2 * EMBED + 3
 PAD = -1
+REMEMBERED = 200_000  # words of which a task keeps the projections, and as many older ones
 TRIM = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -302,7 +303,7 @@ def train(texts: list[str], labels: list[int], steps: int = 900, batch: int = 64
 class Scorer:
     """Scores batches of texts; the projections of recent words are remembered."""
 
-    def __init__(self, net: Network, limit: int = 200_000):
+    def __init__(self, net: Network, limit: int = REMEMBERED):
         self.net, self.limit, self.known, self.old = net, limit, {}, {}
 
     def __call__(self, texts: list[str]) -> np.ndarray:
@@ -359,7 +360,8 @@ def training_sample(docs: DataFrame, labelled: DataFrame, key: str, label: str,
 def score_documents(docs: DataFrame, labelled: DataFrame, key: str = "doc_id",
                     label: str = "toxic", text: str = "text",
                     carry: tuple[str, ...] = ("doc_id",), per_class: int = 1500,
-                    max_chars: int = 20_000, net: Network | None = None) -> DataFrame:
+                    max_chars: int = 20_000, net: Network | None = None,
+                    remembered: int = REMEMBERED) -> DataFrame:
     """Adds ``score`` (0 to 1) of every whole text. Learns from ``labelled`` (key, label)
     unless a trained ``net`` is given."""
     if net is None:
@@ -370,20 +372,20 @@ def score_documents(docs: DataFrame, labelled: DataFrame, key: str = "doc_id",
         if net is None:
             warnings.warn("toxicity: no document of one of the labels; every score is 0",
                           stacklevel=2)
-    kept = docs.select(*carry, F.col(text).alias("__text"))
     if net is None:
-        return kept.drop("__text").withColumn("score", F.lit(0.0))
+        return docs.select(*carry).withColumn("score", F.lit(0.0))
+    kept, place = sent(docs, carry, text)
     schema = docs.select(*carry).schema
     for field in fields_of("score double"):
         schema = schema.add(field)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # 2 MB whatever the input
 
     def run(batches):
-        score = Scorer(shared.value)
+        score = Scorer(shared.value, remembered)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                found = score(batch.column(len(carry)).to_pylist())
+                found = score(batch.column(place).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in range(len(carry))] + [pa.array(found)], schema.names)
 
@@ -392,10 +394,10 @@ def score_documents(docs: DataFrame, labelled: DataFrame, key: str = "doc_id",
 
 def clean_documents(docs: DataFrame, labelled: DataFrame, bound: float = 0.5,
                     key: str = "doc_id", label: str = "toxic", text: str = "text",
-                    net: Network | None = None) -> DataFrame:
+                    net: Network | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """The documents that score below ``bound``, all columns as they were."""
     rows = hidden(docs)
     learn = labelled.select(F.col(key).alias(f"in_{key}"), F.col(label).alias("__label"))
     scored = score_documents(rows, learn, f"in_{key}", "__label", f"in_{text}",
-                             tuple(rows.columns), net=net)
+                             tuple(rows.columns), net=net, remembered=remembered)
     return shown(scored.where(F.col("score") < bound), docs)
