@@ -9,7 +9,7 @@ from messages import collect, envelope, frame, report
 from tubetrace.operators import envelope as E
 from tubetrace.operators import relations as R
 from tubetrace.operators.windows import WindowStat, stream_windowed_stats
-from tubetrace.plans import jobs, stats
+from tubetrace.plans import catalog, jobs, stats, stream_queries  # noqa: F401
 from tubetrace.schemas import COLLECT, REPORT
 from tubetrace.sources import messages as M
 from tubetrace.sources import tables
@@ -354,3 +354,45 @@ def test_counters_begin_anew_and_closed_issues_are_forgotten_after_two_days(spar
     # 49 hours on, the open issue is still known
     persons, issues = run(3, "2024-01-10 14:00:00", hour, good)
     assert persons == 4 and ("C4", False) in issues
+
+
+def test_stages_of_the_today_stream_share_their_state(spark, tmp_path):
+    day = "timestamp '2024-01-05 12:00:00'"
+    rows = spark.sql(
+        f"select string(id) as message_id, 0 as pos, if(id % 7 = 0, null, id % 2) as areaId, "
+        f"{day} + make_interval(0, 0, 0, 0, 0, int(id * 9)) as recTs, concat('u', id % 3) as userName, "
+        "int(id % 5) as dropDataNum, string(id % 4) as personIdCard, string(id % 6) as tubeCode, "
+        "if(id % 5 = 0, null, int(id % 8)) as tubeNum from range(40)")
+    last = rows.limit(1).withColumns({
+        "areaId": F.lit(-1).cast("bigint"), "recTs": F.expr(f"{day} + interval 3 days")})
+    folder = str(tmp_path / "in")
+    table = KeyedTable(str(tmp_path / "out"), ["union_id"], ["window_end"])
+    persons, loads = ("personIdCard", "tubeCode"), ("tubeNum",)
+
+    def stages(source):
+        return {"collect": source.drop(*loads), "transport": source.drop(*persons),
+                "receive": source.drop(*persons).filter("pos = 0"), "report": source.drop(*loads)}
+
+    def changelog():
+        return runner.stream_today(stages(spark.readStream.schema(rows.schema).parquet(folder)),
+                                   delay="3 minutes")
+
+    for part in (rows, last, last.withColumn("recTs", F.expr("recTs + interval 1 day"))):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        _run(lambda: runner.start_changelog(changelog(), table, str(tmp_path / "cp"), ONCE))
+    columns = ("union_id", "area_id", "source", "upload_time", "create_by", "drop_data_num",
+               *stats.TODAY_SUMS, "upload_hour_num", "fail_hour_num")
+    batch = jobs.today_changelog(jobs.today_windows(stages(rows)))
+    got = table.changelog(spark).filter("coalesce(area_id, 0) >= 0")
+    assert sorted(map(str, got.select(*columns).collect())) == sorted(
+        map(str, batch.select(*columns).collect()))
+    plan = changelog()._jdf.queryExecution().analyzed().toString()
+    assert plan.count("DeduplicateWithinWatermark") == 1 and plan.count("EventTimeWatermark") == 4
+
+
+def test_state_has_as_many_partitions_as_its_rows_ask_for(spark):
+    assert stream_queries.state_partitions(spark, 10 ** 9) == 2  # what the session is set to
+    with stream_queries._stream_settings(spark, 96):
+        assert stream_queries.state_partitions(spark, 10) == 8  # one per core
+        assert stream_queries.state_partitions(spark, 3_000_001) == 13
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "2"

@@ -61,8 +61,27 @@ def windowed_stats(df: DataFrame, time_column: str, stat: WindowStat) -> DataFra
 ARRIVAL = "arrival"
 
 
-def stream_windowed_stats(df: DataFrame, time_column: str, stat: WindowStat, row_id,
-                          delay: str, clock: str = "event") -> DataFrame:
+def _records(df: DataFrame, time_column: str, stat: WindowStat, row_id, delay: str) -> DataFrame:
+    """One record per row and one per distinct value of it, with a watermark."""
+    identity = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in row_id])
+    row_record = F.struct(F.lit("").alias("metric"), identity.alias("v"))
+    records = [row_record] + [
+        F.struct(F.lit(n).alias("metric"), e.cast("string").alias("v"))
+        for n, e in stat.distinct.items()]
+    # everything is computed before the watermark is set: a copy of the time column made
+    # afterwards would count as a second event time
+    expanded = df.filter(F.col(time_column).isNotNull()).select(
+        F.col(time_column).alias("_time"),
+        F.window(time_column, stat.size)["start"].alias("_start"),
+        *[e.alias(f"_k_{n}") for n, e in stat.keys.items()],
+        *[e.alias(f"_s_{n}") for n, e in stat.sums.items()],
+        *[e.alias(f"_m_{n}") for n, e in stat.maxima.items()],
+        F.inline(F.array(*records)))
+    return expanded.filter(F.col("v").isNotNull()).withWatermark("_time", delay)
+
+
+def stream_windowed_stats(df: DataFrame | list[DataFrame], time_column: str, stat: WindowStat,
+                          row_id, delay: str, clock: str = "event") -> DataFrame:
     """Streaming form of ``windowed_stats``, in append mode.
 
     ``row_id`` lists the columns that identify a row (a repeated row counts once).
@@ -72,28 +91,19 @@ def stream_windowed_stats(df: DataFrame, time_column: str, stat: WindowStat, row
     ``clock="arrival"`` cuts windows on the time of the micro-batch that brings a row. No row
     is late then, rows without ``time_column`` count as well, and a batch that is run again
     keeps its time.
+
+    Several streams share one state for their rows and one for their windows; a key must tell
+    them apart. Each has a watermark of its own, and the slowest one counts.
     """
     if clock not in ("event", ARRIVAL):
         raise ValueError(f"no such clock: {clock}")
+    streams = df if isinstance(df, list) else [df]
     if clock == ARRIVAL:
-        df = df.withColumn("_arrived", F.current_timestamp())
+        streams = [rows.withColumn("_arrived", F.current_timestamp()) for rows in streams]
         time_column = "_arrived"
-    identity = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in row_id])
-    row_record = F.struct(F.lit("").alias("metric"), identity.alias("v"))
-    records = [row_record] + [
-        F.struct(F.lit(n).alias("metric"), e.cast("string").alias("v"))
-        for n, e in stat.distinct.items()]
     is_row = F.col("metric") == ""
-    # everything is computed before the watermark is set: a copy of the time column made
-    # afterwards would count as a second event time
-    expanded = df.filter(F.col(time_column).isNotNull()).select(
-        F.col(time_column).alias("_time"),
-        F.window(time_column, stat.size)["start"].alias("_start"),
-        *[e.alias(f"_k_{n}") for n, e in stat.keys.items()],
-        *[e.alias(f"_s_{n}") for n, e in stat.sums.items()],
-        *[e.alias(f"_m_{n}") for n, e in stat.maxima.items()],
-        F.inline(F.array(*records)))
-    expanded = expanded.filter(F.col("v").isNotNull()).withWatermark("_time", delay)
+    expanded = reduce(DataFrame.unionByName, [
+        _records(rows, time_column, stat, row_id, delay) for rows in streams])
     unique = expanded.dropDuplicatesWithinWatermark(
         ["_start", "metric", "v", *[f"_k_{n}" for n in stat.keys]])
     grouped = (unique.groupBy(F.window("_time", stat.size),

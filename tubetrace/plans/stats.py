@@ -263,6 +263,29 @@ def today_stat(rows: DataFrame, stage: str, time="recTs", aggregate=windowed_sta
     return out.withColumns({"source": F.lit(source), "union_id": key}).select(*TODAY_COLUMNS)
 
 
+def today_stats(stages: dict[str, DataFrame], aggregate, time="recTs") -> DataFrame:
+    """``today_stat`` of all the stages by one call of ``aggregate`` on a list of streams."""
+    missing, number = F.lit(None).cast("string"), F.lit(None).cast("int")
+    rows = [stages[n].withColumns({
+        "_source": F.lit(STAGES[n].source),
+        **({"_person": F.col("personIdCard"), "_tube": F.col("tubeCode"), "_tubes": number}
+           if n in ("collect", "report") else
+           {"_person": missing, "_tube": missing, "_tubes": F.col("tubeNum")})})
+        for n in STAGES if n in stages]
+    stat = WindowStat(
+        STAT_WINDOW, keys={"area_id": F.col("areaId"), "source": F.col("_source")},
+        sums={"success_number": count_rows(), "_loaded": F.col("_tubes")},
+        distinct={"fail_number": F.col("_person"), "_tubes_seen": F.col("_tube")},
+        maxima={"upload_time": F.col(RECEIVED), "create_by": F.col("userName"),
+                "drop_data_num": F.col("dropDataNum")})
+    out = _texts(aggregate(rows, time, stat), "upload_time")
+    collect = F.col("source") == STAGES["collect"].source
+    return out.withColumns({
+        "upload_number": F.when(collect, F.col("fail_number")).otherwise(F.lit(0).cast("bigint")),
+        "tube_number": F.col("_loaded") + F.col("_tubes_seen"),
+        "union_id": union_id("area_id", "source", day_of("upload_time"))}).select(*TODAY_COLUMNS)
+
+
 # --- collect to report gap -----------------------------------------------------------
 
 GAP_COLUMNS = ("window_start", "window_end", "union_id", "area_id", "unit_hour", "check_persons",

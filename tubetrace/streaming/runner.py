@@ -391,7 +391,7 @@ def stream_hour(stages, *, delay: str, clock: str = "event") -> DataFrame:
 
 
 def stream_today(stages, *, delay: str, clock: str = "event") -> DataFrame:
-    rows = jobs.today_windows(stages, aggregate=_aggregate(delay, clock)).withColumns({
+    rows = stats.today_stats(stages, _aggregate(delay, clock)).withColumns({
         "upload_hour": hour_of("upload_time"), "upload_hour_num": F.col("success_number"),
         "fail_hour_num": F.col("fail_number")})
     out = stream_running(rows, "union_id", ["window_end"], stats.TODAY_SUMS,

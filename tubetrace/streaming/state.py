@@ -62,14 +62,20 @@ class RunningSums(StatefulProcessor):
             carried = pdf[c].astype("object").where(pdf[c].notna(), None).ffill()
             pdf[c] = carried.where(carried.notna(), known.get(c))
         if self.sub_key:
-            for value, group in pdf.groupby(self.sub_key, sort=False):
-                place = (value,)
-                old = (self.sub_totals.getValue(place) if self.sub_totals.containsKey(place)
-                       else [0] * len(self.sub_sums))
-                for c, start in zip(self.sub_sums, old):
-                    pdf.loc[group.index, c] = group[c].astype("int64").cumsum() + int(start)
-                end = pdf.loc[group.index[-1]]
-                self.sub_totals.updateValue(place, tuple(int(end[c]) for c in self.sub_sums))
+            # one pass over the rows and two calls to the store per value of the sub key
+            places, values = pd.factorize(pdf[self.sub_key])
+            nothing = (0,) * len(self.sub_sums)
+            stored = [self.sub_totals.getValue((value,)) or nothing for value in values]
+            known = places >= 0
+            ends = []
+            for n, c in enumerate(self.sub_sums):
+                column = pdf[c].to_numpy().copy()
+                added = pdf[c][known].astype("int64").groupby(places[known]).cumsum().to_numpy()
+                column[known] = added + [int(stored[p][n]) for p in places[known]]
+                pdf[c] = column
+                ends.append(dict(zip(places.tolist(), column.tolist())))
+            for place, value in enumerate(values):
+                self.sub_totals.updateValue((value,), tuple(int(e[place]) for e in ends))
         end = pdf.iloc[-1]
         self.totals.update(tuple(
             int(end[c]) if c in self.sums else _plain(end[c]) for c in names))
