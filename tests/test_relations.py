@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tubetrace.operators import relations as R
+from tubetrace.plans import standins as S
 
 
 def test_places_follow_second_partition_offset_and_position(spark):
@@ -29,3 +30,29 @@ def test_relation_tables_are_hashed(spark):
                   R.delivery_relation(rows, rows)):
         plan = table._jdf.queryExecution().executedPlan().toString()
         assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort " not in plan
+
+
+def test_work_on_loads_is_cut_by_the_number_of_lines(spark, tmp_path, monkeypatch):
+    day = "timestamp '2024-01-05 00:00:00'"
+    lines = spark.sql(
+        f"select id % 9 as l_orderkey, id % 4 as l_suppkey, id % 5 as l_partkey, "
+        f"if(id % 3 = 0, 'F', 'O') as l_linestatus, {day} + make_interval(0, 0, 0, int(id)) "
+        f"as l_shipdate from range(60) union all select null, 1, 1, 'F', {day}")
+    lines.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def made():
+        table = S.delivery_table(spark, str(tmp_path))
+        parts = S.load_partitions(spark, str(tmp_path))
+        matches = [
+            R.match_receive_transport(S.receive_records(spark, str(tmp_path)), table, parts),
+            R.match_transport_receive(S.transport_records(spark, str(tmp_path)), table, parts)]
+        matches = [rows.drop("transportItem") for rows in matches]
+        return [rows.rdd.getNumPartitions() for rows in (table, *matches)], [
+            sorted(map(str, rows.collect())) for rows in (table, *matches)]
+
+    assert S.load_partitions(spark, str(tmp_path)) is None
+    _, want = made()
+    monkeypatch.setattr(S, "LINES_PER_PARTITION", 9)
+    partitions, got = made()
+    assert partitions == [7, 7, 7]
+    assert got == want and all(want)

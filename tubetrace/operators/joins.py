@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .repartition import by_key
+
 NULL_KEY_SPREAD = 1024
 
 
 ROW_IDENTITY = ("message_id", "pos")
 
 
-def keyed_left_join(df: DataFrame, table: DataFrame, keys) -> DataFrame:
+def keyed_left_join(df: DataFrame, table: DataFrame, keys,
+                    partitions: int | None = None) -> DataFrame:
     """Left join on a table with one row per key.
 
     Rows whose key is null can match nothing; they are spread over many tasks by their
     identity, or else by all they hold, instead of meeting in one. A hot key that does match is
-    split by adaptive execution: the table side holds a single row for it.
+    split by adaptive execution: the table side holds a single row for it. With ``partitions``
+    both sides are dealt out by key beforehand and no key is split: for few rows per key.
     """
     keys = list(keys)
     identity = [c for c in ROW_IDENTITY if c in df.columns] or df.columns
@@ -26,7 +30,9 @@ def keyed_left_join(df: DataFrame, table: DataFrame, keys) -> DataFrame:
     spread = F.when(missing, F.pmod(F.xxhash64(*identity), F.lit(NULL_KEY_SPREAD)) + 1)
     left = df.withColumn("_spread", F.coalesce(spread, F.lit(0)).cast("int"))
     right = table.withColumn("_spread", F.lit(0))
-    return left.join(right, [*keys, "_spread"], "left").drop("_spread")
+    on = [*keys, "_spread"]
+    left, right = by_key(left, on, partitions), by_key(right, on, partitions)
+    return left.join(right, on, "left").drop("_spread")
 
 
 def one_row_per_key(table: DataFrame, keys, order) -> DataFrame:

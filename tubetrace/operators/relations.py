@@ -21,6 +21,7 @@ from ..functions.predicates import is_blank
 from ..functions.times import format_time
 from ..schemas import time_column
 from .joins import keyed_left_join
+from .repartition import by_key
 
 PERSON_KEY = ("personIdCard", "tubeCode")
 TUBE_KEY = ("tubeCode",)
@@ -62,8 +63,8 @@ def _latest(column: str) -> Column:
     return F.max_by(column, F.when(F.col(column).isNotNull(), F.col("_place"))).alias(column)
 
 
-def _latest_per_key(rows: DataFrame, keys, columns) -> DataFrame:
-    present = rows.dropna(subset=list(keys))
+def _latest_per_key(rows: DataFrame, keys, columns, partitions: int | None = None) -> DataFrame:
+    present = by_key(rows.dropna(subset=list(keys)), keys, partitions)
     return present.groupBy(*keys).agg(*[_latest(c) for c in columns])
 
 
@@ -92,8 +93,10 @@ def tube_relation(collect: DataFrame, order=ORDER) -> DataFrame:
         "collectSubmitId", F.col("collectSubmitId").cast("string"))
 
 
-def delivery_relation(transport: DataFrame, receive: DataFrame, order=ORDER) -> DataFrame:
-    """Latest transport and receive facts of each delivery."""
+def delivery_relation(transport: DataFrame, receive: DataFrame, order=ORDER,
+                      partitions: int | None = None) -> DataFrame:
+    """Latest transport and receive facts of each delivery. ``partitions`` for large inputs of
+    few rows per delivery, which aggregation ahead of the shuffle would only hold, not lessen."""
     nothing, place = F.lit(None), arrival_order(order).alias("_place")
     sent = transport.select(
         *DELIVERY_KEY, "deliveryTs", F.col("tubeNum").cast("int").alias("tubeNum"),
@@ -104,7 +107,7 @@ def delivery_relation(transport: DataFrame, receive: DataFrame, order=ORDER) ->
         nothing.cast("int").alias("tubeNum"), nothing.cast("int").alias("packNum"),
         "receiveTs", place)
     table = _latest_per_key(sent.unionByName(got), DELIVERY_KEY,
-                            ("deliveryTs", "tubeNum", "packNum", "receiveTs"))
+                            ("deliveryTs", "tubeNum", "packNum", "receiveTs"), partitions)
     return _with_text(table, "deliveryTime", "receiveTime")
 
 
@@ -140,20 +143,22 @@ def match_report_collect(report: DataFrame, person: DataFrame) -> DataFrame:
     return keyed_left_join(report, table, PERSON_KEY)
 
 
-def match_receive_transport(receive: DataFrame, delivery: DataFrame) -> DataFrame:
+def match_receive_transport(receive: DataFrame, delivery: DataFrame,
+                            partitions: int | None = None) -> DataFrame:
     """Receive records with what the transport record of the delivery says."""
     sent = delivery.filter("deliveryTs is not null or tubeNum is not null or packNum is not null")
     table = _prefixed(sent, DELIVERY_KEY, {
         "deliveryTime": "matchDeliveryTime", "deliveryTs": "matchDeliveryTs",
         "tubeNum": "matchTubeNum", "packNum": "matchPackNum"})
-    return keyed_left_join(receive, table, DELIVERY_KEY)
+    return keyed_left_join(receive, table, DELIVERY_KEY, partitions)
 
 
-def match_transport_receive(transport: DataFrame, delivery: DataFrame) -> DataFrame:
+def match_transport_receive(transport: DataFrame, delivery: DataFrame,
+                            partitions: int | None = None) -> DataFrame:
     """Transport records with the receive time of the delivery."""
     table = _prefixed(delivery.filter(F.col("receiveTs").isNotNull()), DELIVERY_KEY,
                       {"receiveTime": "matchReceiveTime", "receiveTs": "matchReceiveTs"})
-    return keyed_left_join(transport, table, DELIVERY_KEY)
+    return keyed_left_join(transport, table, DELIVERY_KEY, partitions)
 
 
 def match_tubes_collect(transport: DataFrame, tubes: DataFrame,

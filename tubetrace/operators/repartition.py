@@ -16,3 +16,10 @@ def rebalance(df: DataFrame, partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() * 2 >= wanted:
         return df
     return df.repartition(wanted)
+
+
+def by_key(df: DataFrame, keys, partitions: int | None) -> DataFrame:
+    """Rows of a key together in one of ``partitions``, for a caller that knows how many rows
+    there are: what one task holds does not grow with them then. None leaves the number to the
+    session."""
+    return df if partitions is None else df.repartition(partitions, *keys)

@@ -118,7 +118,8 @@ select rec.code, cast(tra.code is not null as integer) as matched,
 from rec left join tra on rec.code = tra.code""")
 def match_receive_transport(spark, sf_dir):
     rows = R.match_receive_transport(S.receive_records(spark, sf_dir),
-                                     S.delivery_table(spark, sf_dir))
+                                     S.delivery_table(spark, sf_dir),
+                                     S.load_partitions(spark, sf_dir))
     return rows.select(
         F.col("deliveryCode").alias("code"),
         F.col("matchDeliveryTime").isNotNull().cast("int").alias("matched"),
@@ -133,7 +134,8 @@ select tra.code, cast(rec.code is not null as integer) as matched,
 from tra left join rec on rec.code = tra.code""")
 def match_transport_receive(spark, sf_dir):
     rows = R.match_transport_receive(S.transport_records(spark, sf_dir),
-                                     S.delivery_table(spark, sf_dir))
+                                     S.delivery_table(spark, sf_dir),
+                                     S.load_partitions(spark, sf_dir))
     return rows.select(
         F.col("deliveryCode").alias("code"),
         F.col("matchReceiveTime").isNotNull().cast("int").alias("matched"),

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.times import format_time
 from ..operators import relations
-from ..operators.repartition import rebalance
+from ..operators.repartition import by_key, rebalance
 
 EVENT_TYPES = {"collect": "signup", "transport": "click", "receive": "purchase",
                "report": "error"}
@@ -175,21 +175,36 @@ def _delivery_code() -> Column:
     return F.concat_ws("-", text("l_orderkey"), text("l_suppkey")).alias("deliveryCode")
 
 
+LOAD_KEY = ("l_orderkey", "l_suppkey")
+LINES_PER_PARTITION = 250_000
+
+
+def load_partitions(spark: SparkSession, sf_dir: str) -> int | None:
+    """Partitions for work on loads, by the number of lines, which the files tell without
+    being read; None where the session's number is enough."""
+    parts = -(-table(spark, sf_dir, "lineitem").count() // LINES_PER_PARTITION)
+    return parts if parts > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def _loads(spark: SparkSession, sf_dir: str, lines: DataFrame, *facts: Column) -> DataFrame:
+    # few lines make a load: the shuffle comes first, and one task never holds more than its
+    # share of a fixed number of lines
+    dealt = by_key(lines, LOAD_KEY, load_partitions(spark, sf_dir))
+    return dealt.groupBy(*LOAD_KEY).agg(
+        *facts, F.count("*").cast("int").alias("tubeNum"),
+        F.countDistinct("l_partkey").cast("int").alias("packNum"))
+
+
 def sent_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the lines of one order and supplier add up to."""
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(
-        F.min("l_shipdate").cast("timestamp").alias("deliveryTs"),
-        F.count("*").cast("int").alias("tubeNum"),
-        F.countDistinct("l_partkey").cast("int").alias("packNum"))
+    return _loads(spark, sf_dir, table(spark, sf_dir, "lineitem"),
+                  F.min("l_shipdate").cast("timestamp").alias("deliveryTs"))
 
 
 def got_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the finished lines of one order and supplier add up to."""
     lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F")
-    return lines.groupBy("l_orderkey", "l_suppkey").agg(
-        F.max("l_shipdate").cast("timestamp").alias("receiveTs"),
-        F.count("*").cast("int").alias("tubeNum"),
-        F.countDistinct("l_partkey").cast("int").alias("packNum"))
+    return _loads(spark, sf_dir, lines, F.max("l_shipdate").cast("timestamp").alias("receiveTs"))
 
 
 def transport_records(spark: SparkSession, sf_dir: str, loads=None) -> DataFrame:
@@ -242,7 +257,8 @@ def delivery_table(spark, sf_dir, sent=None, got=None) -> DataFrame:
     are made here."""
     sent = transport_records(spark, sf_dir) if sent is None else sent
     got = receive_records(spark, sf_dir) if got is None else got
-    return relations.delivery_relation(sent, got, order=("recTs", "message_id"))
+    return relations.delivery_relation(sent, got, order=("recTs", "message_id"),
+                                       partitions=load_partitions(spark, sf_dir))
 
 
 # --- messages ------------------------------------------------------------------------
