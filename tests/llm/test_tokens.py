@@ -5,6 +5,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -66,6 +67,29 @@ def test_word_ids(texts):
     assert [np.frombuffer(b, "<u4").tolist() for b in packing.word_ids(WORDS)(texts)] == want
 
 
+def test_word_ids_merge_words_with_marks_without_the_whole_tokenizer(monkeypatch):
+    encode, whole = packing.WordIds(WORDS, 3), []
+    plain = encode._encode
+    monkeypatch.setattr(encode, "_encode", lambda runs: whole.extend(runs) or plain(runs))
+    texts = ["Fine... (word)", "", " Été&&& fine... é\x1c x\n", "it's 2 Été&&&", "<|endoftext|> one% ONE%"] * 2
+    want = [LIB_WORDS.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(3):  # the runs outlive their span only where they come again
+        for at in (0, 2, 5):
+            found = encode(texts[at:])
+            assert [np.frombuffer(b, "<u4").tolist() for b in found] == want[at:]
+    assert encode([]) == [] and len(encode.known) + len(encode.old) < 40
+    assert {"(word)", "it's", "<|endoftext|>"} <= set(whole)
+    assert not set(whole) & {"Fine...", "Été&&&", "fine...", "one%", "ONE%", "x"}
+
+
+def test_portions_hold_all_rows(monkeypatch):
+    monkeypatch.setattr(packing, "BATCH_BYTES", 10)
+    rows = pa.array(["abc", None, "abcdefgh", "x" * 50, "", "a"])
+    found = packing.portions(rows)
+    assert [k for a, n in found for k in range(a, a + n)] == [*range(6)] and len(found) > 2
+    assert packing.portions(rows[:0]) == []
+
+
 def test_packing(odd, none):
     rows = packing.pack_documents(odd, WORDS, capacity=64).collect()
     texts = {r.doc_id: r.text for r in odd.collect()}

@@ -16,12 +16,14 @@ empty table gives an empty one. Of further columns only ``carry`` is kept.
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,19 +36,21 @@ from .common import Recent, fields_of
 # packing 100,000 pieces takes less than a second
 DOCS_PER_PARTITION = 50_000
 OPEN_BINS = 1024  # far fewer than the pieces of a partition
-REMEMBERED = 300_000  # runs of which a worker keeps the ids, and as many older ones
-# fixed value: controls that str.split cuts at, but the normalizer of the vocabulary keeps
-KEPT_CONTROLS = re.compile("[\x1c-\x1f]")
-# fixed value: letters whose lower case is one letter and which no normalization joins
-PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+REMEMBERED = 300_000  # runs of which a worker keeps the ids, besides those of one batch
+BATCH_BYTES = 8_000_000  # text that is cut into runs at once; a longer text goes alone
+# fixed value: letters whose lower case is one letter and which no normalization joins, and
+# ASCII marks after them; as nothing follows, the marks are one pretoken
+PLAIN_WORD = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-/:-@\[-`{-~]*)$"
 
 
 class WordIds:
     """Ids of texts under a vocabulary that drops white space and lower-cases, so that each
-    run of other characters can be encoded on its own; the ids of recent runs are kept.
+    run between ASCII white space can be encoded on its own. Arrow cuts a batch into runs and
+    numbers the distinct ones; the ids of recent runs are kept as one list array, out of which
+    those of the texts are taken.
 
-    A word of plain letters, with one mark after it at most, is two pretokens at most: its
-    lower-cased letters go to the merges at once. Other runs go through the whole tokenizer.
+    A word of plain letters, with marks after it, is two pretokens at most: its lower-cased
+    letters go to the merges at once. Other runs go through the whole tokenizer.
     """
 
     def __init__(self, path: str, limit: int = REMEMBERED):
@@ -56,40 +60,60 @@ class WordIds:
         self.merge = self.tokenizer.model.tokenize
         shown = {b: letter for letter, b in byte_letters().items()}
         self.shown = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(128, 256)}
-        self.limit, self.known, self.old, self.words = limit, {}, {}, Recent(self._word, limit)
+        self.limit, self.words = limit, Recent(self._word, limit)
+        self.known = self.old = pa.array([], pa.string())  # runs of this span and the last one
+        self.ids = self.old_ids = pa.array([], pa.list_(pa.uint32()))
 
     def _word(self, letters: str) -> bytes:
-        return np.array([t.id for t in self.merge(letters.translate(self.shown))],
-                        "<u4").tobytes()
+        if not letters.isascii():
+            letters = letters.translate(self.shown)
+        return array("I", [t.id for t in self.merge(letters)]).tobytes()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _encode(self, runs: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, runs: set[str]) -> None:
-        known, old, others = self.known, self.old, []
-        for run in runs:
-            if run in known:
-                continue
-            if run in old:
-                known[run] = old[run]
-            elif word := PLAIN_WORD.fullmatch(run):
-                letters, mark = word.groups()
-                known[run] = self.words[letters.lower()] + (self.words[mark] if mark else b"")
-            else:
-                others.append(run)
-        known.update(zip(others, self._encode(others), strict=True))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def _learn(self, runs: pa.Array) -> pa.Array:
+        """The ids of each of the ``runs``."""
+        parts = pc.extract_regex(runs, PLAIN_WORD)
+        letters = pc.utf8_lower(pc.struct_field(parts, "letters")).to_pylist()
+        marks = pc.struct_field(parts, "marks").to_pylist()
+        others = iter(self._encode(runs.filter(parts.is_null()).to_pylist()))
+        words = self.words
+        found = [next(others) if w is None else words[w] + words[m] if m else words[w]
+                 for w, m in zip(letters, marks, strict=True)]
+        ends = np.cumsum([0, *map(len, found)]) // 4
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                        pa.array(np.frombuffer(b"".join(found), "<u4")))
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        cut = pc.ascii_split_whitespace(column.cast(pa.string()))
+        runs = cut.values.dictionary_encode()
+        distinct = runs.dictionary
+        place = pc.index_in(distinct, pa.concat_arrays([self.known, self.old]))
+        new = distinct.filter(place.is_null())
+        held = len(self.known) + len(self.old)
+        place = place.fill_null(-1).to_numpy().copy()
+        place[place < 0] = held + np.arange(len(new))
+        ids = pa.concat_arrays([self.ids, self.old_ids, self._learn(new)]).take(pa.array(place))
+        add = pa.array(place >= len(self.known))
+        self.known = pa.concat_arrays([self.known, distinct.filter(add)])
+        self.ids = pa.concat_arrays([self.ids, ids.filter(add)])
         if len(self.known) > self.limit:
-            self.old, self.known = self.known, {}
-        plain = [KEPT_CONTROLS.search(t) is None for t in texts]
-        cut = [t.split() if p else () for t, p in zip(texts, plain, strict=True)]
-        self._learn(set().union(*cut))
-        get = self.known.__getitem__
-        return [b"".join(map(get, runs)) if p else self._encode([t])[0]
-                for t, runs, p in zip(texts, cut, plain, strict=True)]
+            self.old, self.old_ids = self.known, self.ids
+            self.known, self.ids = self.known[:0], self.ids[:0]
+        coded = ids.take(runs.indices)
+        flat, ends = coded.values.to_numpy(), coded.offsets.to_numpy()[cut.offsets.to_numpy()]
+        return [flat[a:b].tobytes() for a, b in pairwise(ends.tolist())]
+
+
+def portions(texts: pa.Array) -> list[tuple[int, int]]:
+    """Neighbouring rows of about ``BATCH_BYTES`` of text: their first row and their number."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64)
+    change = np.diff(ends // BATCH_BYTES, prepend=-1)
+    return [(a, b - a) for a, b in pairwise([*np.flatnonzero(change).tolist(), len(texts)])]
 
 
 @lru_cache(maxsize=2)
@@ -146,10 +170,10 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, text: str
     def run(batches):
         encode = word_ids(path, remembered)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at, size in portions(whole.column(len(carry))):
+                batch = whole.slice(at, size)
                 rows, source = [], []
-                coded = encode([t or "" for t in batch.column(len(carry)).to_pylist()])
+                coded = encode(batch.column(len(carry)).fill_null(""))
                 for k, ids in enumerate(coded):
                     ids += end
                     n = len(ids) // 4
