@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,6 +212,25 @@ def test_ppm_shares_the_same_contexts_of_a_corpus_of_any_size(spark_llm):
     assert b"rare " in set(map(text, outside[0])) and b"commo" not in set(map(text, outside[0]))
 
 
+def test_ppm_numbers_words_and_counts_open_ones_per_text():
+    rows = [None, "", " \n", "A b  a\tB", "É é\x1c x ", "z" * 90, "a a A b"]
+    bodies, distinct, codes, ends = ppm.tokens(pa.array(rows, pa.large_string())[1:])
+    want = [(t or "").encode().translate(ppm.TO_LOWER).split() for t in rows[1:]]
+    assert ppm.texts(bodies) == [b" ".join(t) for t in want]
+    found = np.split(np.array(distinct.to_pylist(), object)[codes], ends[:-1])
+    assert [t.tolist() for t in found] == [[*t, ppm.END_WORD] for t in want]
+    assert len(set(distinct.to_pylist())) == len(distinct)
+    # a text sends each of its rare words and open contexts once, with their number
+    rng = np.random.default_rng(3)
+    owners, values = rng.integers(0, 5, 400) // 2 * 2, rng.integers(0, 9, 400)
+    o, v, n = ppm.counted(owners, values)
+    assert list(zip(o, v, n, strict=True)) == sorted(
+        (*pair, n) for pair, n in Counter(zip(owners, values, strict=True)).items())
+    made = ppm.lists(o, 5, {"key": pa.array(v), "times": pa.array(n)}).to_pylist()
+    assert [sum(i["times"] for i in row) for row in made] == np.bincount(owners, minlength=5).tolist()
+    assert [len(x) for x in ppm.counted(owners[:0], values[:0])] == [0, 0, 0]
+
+
 def test_ppm_probabilities_add_up():
     keys, _ = ppm.gram_keys([b"abracadabra", b"abrakadabra", b""])
     grams = Counter(int(k) for s in range(1, ppm.ORDER + 2) for k in ppm.shorter(keys, s))

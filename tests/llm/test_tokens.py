@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tubetrace.llm import bpe, packing
+from tubetrace.llm import bpe, common, packing
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -83,11 +83,11 @@ def test_word_ids_merge_words_with_marks_without_the_whole_tokenizer(monkeypatch
 
 
 def test_portions_hold_all_rows(monkeypatch):
-    monkeypatch.setattr(packing, "BATCH_BYTES", 10)
+    monkeypatch.setattr(common, "BATCH_BYTES", 10)
     rows = pa.array(["abc", None, "abcdefgh", "x" * 50, "", "a"])
-    found = packing.portions(rows)
+    found = common.portions(rows)
     assert [k for a, n in found for k in range(a, a + n)] == [*range(6)] and len(found) > 2
-    assert packing.portions(rows[:0]) == []
+    assert common.portions(rows[:0]) == []
 
 
 def test_packing(odd, none):

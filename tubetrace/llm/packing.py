@@ -30,14 +30,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe import byte_letters
-from .common import Recent, fields_of
+from .common import Recent, fields_of, portions
 
 # documents a partition gets on average: few partitions leave few unfilled last bins, and
 # packing 100,000 pieces takes less than a second
 DOCS_PER_PARTITION = 50_000
 OPEN_BINS = 1024  # far fewer than the pieces of a partition
 REMEMBERED = 300_000  # runs of which a worker keeps the ids, besides those of one batch
-BATCH_BYTES = 8_000_000  # text that is cut into runs at once; a longer text goes alone
 # fixed value: letters whose lower case is one letter and which no normalization joins, and
 # ASCII marks after them; as nothing follows, the marks are one pretoken
 PLAIN_WORD = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-/:-@\[-`{-~]*)$"
@@ -109,13 +108,6 @@ class WordIds:
         return [flat[a:b].tobytes() for a, b in pairwise(ends.tolist())]
 
 
-def portions(texts: pa.Array) -> list[tuple[int, int]]:
-    """Neighbouring rows of about ``BATCH_BYTES`` of text: their first row and their number."""
-    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64)
-    change = np.diff(ends // BATCH_BYTES, prepend=-1)
-    return [(a, b - a) for a, b in pairwise([*np.flatnonzero(change).tolist(), len(texts)])]
-
-
 @lru_cache(maxsize=2)
 def word_ids(path: str, limit: int = REMEMBERED) -> WordIds:
     return WordIds(path, limit)

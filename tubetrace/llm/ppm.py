@@ -32,14 +32,14 @@ empty table gives an empty one. Of further columns only ``carry`` is kept.
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TO_LOWER, fields_of, stored, texts
+from .common import TO_LOWER, fields_of, portions, stored, texts  # noqa: F401
 
 ORDER = 5
 CAPACITY = 1 << 20
@@ -48,6 +48,7 @@ FREQUENT = 1 << 18
 END_WORD = b""  # no word is empty
 END_BYTE = b"\xff"
 SYMBOLS = 256
+KEYS_AT_ONCE = 1 << 20  # bytes of which contexts are made at once; a longer text goes alone
 FLUSH = 400_000  # distinct words or contexts a task holds before it puts them out
 
 
@@ -62,10 +63,12 @@ def gram_keys(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     for k in range(1, ORDER + 1):
         inside[ends - k] = False
     inside = inside[:len(buffer) - ORDER]
-    b = buffer.astype(np.int64)
-    keys = np.full(len(b) - ORDER, 1, np.int64)
-    for k in range(ORDER + 1):
-        keys = keys << 8 | b[k:len(b) - ORDER + k]
+    pairs = buffer[:-1].astype(np.int64) << 8
+    pairs |= buffer[1:]
+    keys = np.full(len(buffer) - ORDER, 1, np.int64)
+    for k in range(0, ORDER + 1, 2):  # an even number of bytes
+        keys <<= 16
+        keys |= pairs[k:len(buffer) - ORDER + k]
     return keys[inside], np.cumsum(sizes) - sizes
 
 
@@ -75,12 +78,49 @@ def shorter(keys: np.ndarray, size: int) -> np.ndarray:
     return keys & (unit - 1) | unit
 
 
+def tokens(column: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+    """Of texts: their words with one space between two of them, the distinct tokens of all,
+    the place of each token there, text after text, and where the tokens of each text end."""
+    lowered = pc.ascii_lower(column.cast(pa.string()).fill_null(""))
+    cut = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(lowered))
+    bodies, runs, ends = pc.binary_join(cut, " "), cut.values.dictionary_encode(), cut.offsets.to_numpy()
+    distinct, codes = runs.dictionary.cast(pa.binary()), runs.indices.to_numpy()
+    # a text without words is cut into one empty word, which serves as its end
+    some = pc.binary_length(bodies).to_numpy() > 0
+    end = pc.index(distinct, pa.scalar(END_WORD, pa.binary())).as_py()
+    if end < 0:
+        end = len(distinct)
+        distinct = pa.concat_arrays([distinct, pa.array([END_WORD], pa.binary())])
+    return bodies, distinct, np.insert(codes, ends[1:][some], end), ends[1:] + np.cumsum(some)
+
+
+def counted(owners: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of ``owners`` and ``values``, by owner, and how often each is there."""
+    order = np.lexsort((values, owners))
+    o, v = owners[order], values[order]
+    change = (o[1:] != o[:-1]) | (v[1:] != v[:-1])
+    first = np.flatnonzero(np.append(np.full(min(len(o), 1), True), change))
+    return o[first], v[first], np.diff(np.append(first, len(o)))
+
+
+def lists(owners: np.ndarray, rows: int, items: dict[str, pa.Array]) -> pa.Array:
+    """One list of structs per row out of items that are sorted by the row that owns them."""
+    cuts = np.searchsorted(owners, np.arange(rows + 1))
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()),
+                                    pa.StructArray.from_arrays(list(items.values()), list(items)))
+
+
 def corpus_counts(docs: DataFrame, text: str) -> DataFrame:
     """(word, gram, n): how often each word and each byte in its context occurs."""
 
+    names = ["word", "gram", "n"]
+
     def run(batches):
-        found: Counter = Counter()
-        keys, counts = [], []
+        words, keys, counts = [], [], []
+
+        def merged_words():
+            return (pa.Table.from_batches(words).group_by("word", use_threads=False)
+                    .aggregate([("n", "sum")]).rename_columns(["word", "n"]).combine_chunks().to_batches())
 
         def merged():
             k, n = np.concatenate(keys), np.concatenate(counts)
@@ -90,36 +130,37 @@ def corpus_counts(docs: DataFrame, text: str) -> DataFrame:
             return k[first], np.add.reduceat(n, first)
 
         def word_rows():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.binary()), pa.nulls(len(found), pa.int64()),
-                 pa.array(list(found.values()), pa.int64())], ["word", "gram", "n"])
+            for found in words:
+                yield pa.RecordBatch.from_arrays(
+                    [found.column("word"), pa.nulls(len(found), pa.int64()), found.column("n")], names)
 
         def gram_rows(k, n):
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(k), pa.binary()), pa.array(k), pa.array(n)], ["word", "gram", "n"])
+                [pa.nulls(len(k), pa.binary()), pa.array(k), pa.array(n)], names)
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                bodies = texts(whole.slice(at, 512).column(0))
-                for k, t in enumerate(bodies):
-                    tokens = t.translate(TO_LOWER).split()
-                    found.update(tokens)
-                    bodies[k] = b" ".join(tokens)
-                found[END_WORD] += len(bodies)
-                k, n = np.unique(gram_keys(bodies)[0], return_counts=True)
-                keys.append(k)
-                counts.append(n)
-                if len(found) > FLUSH:
-                    yield word_rows()
-                    found.clear()
+            for at, size in portions(whole.column(0)):
+                bodies, distinct, codes, _ = tokens(whole.column(0).slice(at, size))
+                n = np.bincount(codes, minlength=len(distinct))
+                words.append(pa.RecordBatch.from_arrays([distinct, pa.array(n)], ["word", "n"]))
+                for first, some in portions(bodies, KEYS_AT_ONCE):
+                    k, n = np.unique(gram_keys(texts(bodies.slice(first, some)))[0], return_counts=True)
+                    keys.append(k)
+                    counts.append(n)
+                if sum(map(len, words)) > 4 * FLUSH:
+                    words = merged_words()
+                    if sum(map(len, words)) > FLUSH:
+                        yield from word_rows()
+                        words = []
                 if sum(map(len, keys)) > 4 * FLUSH:
                     k, n = merged()
                     keys, counts = [k], [n]
                     if len(k) > FLUSH:
                         yield gram_rows(k, n)
                         keys, counts = [], []
-        if found:
-            yield word_rows()
+        if words:
+            words = merged_words()
+            yield from word_rows()
         if keys:
             yield gram_rows(*merged())
 
@@ -175,9 +216,10 @@ class Lookup:
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         """Position of each key, or -1."""
         slot = self._slot(keys)
-        there = self.keys[slot]
-        out = np.where(there == keys, self.place[slot], np.int32(-1))
-        look = np.flatnonzero((there != keys) & (there != 0))
+        there, out = self.keys[slot], self.place[slot]
+        look = np.flatnonzero(there != keys)
+        out[look] = -1
+        look = look[there[look] != 0]
         slot = slot[look]
         while len(look):
             slot = (slot + 1) & self.mask
@@ -227,6 +269,7 @@ class Trie:
         self.grams, self.contexts = Lookup(keys), Lookup(contexts)
         for name in ("log_n", "top", "escape", "left", "pass_on"):
             setattr(self, name, getattr(self, name).astype(np.float32))
+        self.top = np.append(self.top, np.float32(0))  # of what is not found, too
 
     def log_probabilities(self, keys: np.ndarray, size: int = ORDER,
                           above: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
@@ -242,9 +285,13 @@ class Trie:
                 now = shorter(now, k + 1)
             found = self.grams(now)
             hit = found >= 0
-            g, c = found[hit], child[hit]
-            out[todo[hit]] += np.where(c >= 0, self.log_n[g] - self.left[c], self.top[g])
+            if k == size:
+                out = self.top[found]
+            else:
+                g, c = found[hit], child[hit]
+                out[todo[hit]] += np.where(c >= 0, self.log_n[g] - self.left[c], self.top[g])
             if above is not None and k == size:
+                g = found[hit]
                 out[hit] = np.where(np.isnan(above[0][hit]), out[hit], self.log_n[g] - above[0][hit])
             todo, child, now = todo[~hit], child[~hit], now[~hit]
             if not len(todo):
@@ -383,57 +430,53 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text",
     common = split(vocabulary.withColumn("one", F.lit(1)), "c", "one", frequent)[0].toArrow()
     # both are bounded by parameters
     shared = spark.sparkContext.broadcast((
-        trie, common.column("word").to_pylist(), common.column("c").to_pylist()))
+        trie, common.column("word").combine_chunks(), common.column("c").to_numpy()))
     schema = docs.select(*carry).schema
     for field in fields_of("n_tokens long, known long, logs double, score double, "
-                           "rare array<binary>, open array<long>"):
+                           "rare array<struct<word binary, times long>>, "
+                           "open array<struct<key long, times long>>"):
         schema = schema.add(field)
 
     def run(batches):
         model, kept, numbers = shared.value
-        logs = dict(zip(kept, map(math.log10, [c + 1 for c in numbers]), strict=True))
+        logs = np.append(np.log10(numbers + 1.0), 0)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                bodies = texts(batch.column(len(carry)))
-                n, known, sums, rare = [], [], [], []
-                for k, t in enumerate(bodies):
-                    found = t.translate(TO_LOWER).split()
-                    bodies[k] = b" ".join(found)
-                    found.append(END_WORD)
-                    values = list(map(logs.get, found))
-                    n.append(len(found))
-                    if None in values:
-                        rare.append([w for w, v in zip(found, values, strict=True) if v is None])
-                        values = [v for v in values if v is not None]
-                    else:
-                        rare.append([])
-                    known.append(len(values))
-                    sums.append(math.fsum(values))
-                keys, starts = gram_keys(bodies)
-                logs_of = model.log_probabilities(keys)
-                at_open = np.flatnonzero(np.isnan(logs_of))
-                logs_of[at_open] = 0
-                score = np.add.reduceat(logs_of, starts, dtype=np.float64)
-                cuts = np.searchsorted(at_open, [*starts, len(keys)])
-                left_open = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(keys[at_open]))
+            for at, size in portions(whole.column(len(carry))):
+                batch = whole.slice(at, size)
+                bodies, distinct, codes, ends = tokens(batch.column(len(carry)))
+                starts = np.append(0, ends[:-1])
+                place = pc.index_in(distinct, kept).fill_null(-1).to_numpy()
+                sums = np.add.reduceat(logs[place][codes], starts)
+                unknown = np.flatnonzero((place < 0)[codes])
+                owner, word, times = counted(np.searchsorted(ends, unknown, "right"), codes[unknown])
+                rare = lists(owner, size, {"word": distinct.take(pa.array(word)), "times": pa.array(times)})
+                known = np.diff(ends, prepend=0) - np.bincount(owner, times, size).astype(np.int64)
+                score, owners, open_keys = [], [], []
+                for first, some in portions(bodies, KEYS_AT_ONCE):
+                    keys, key_starts = gram_keys(texts(bodies.slice(first, some)))
+                    logs_of = model.log_probabilities(keys)
+                    at_open = np.flatnonzero(np.isnan(logs_of))
+                    logs_of[at_open] = 0
+                    score.append(np.add.reduceat(logs_of, key_starts, dtype=np.float64))
+                    owners.append(first + np.searchsorted(key_starts, at_open, "right") - 1)
+                    open_keys.append(keys[at_open])
+                owner, key, times = counted(np.concatenate(owners), np.concatenate(open_keys))
+                left_open = lists(owner, size, {"key": pa.array(key), "times": pa.array(times)})
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in range(len(carry))]
-                    + [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(sums),
-                       pa.array(score), pa.array(rare, pa.list_(pa.binary())), left_open],
+                    + [pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(known), pa.array(sums),
+                       pa.array(np.concatenate(score)), rare, left_open],
                     schema.names)
 
     scored = stored(docs.select(*carry, F.col(text).alias("__text")).mapInArrow(run, schema)
                     .withColumn("__row", F.monotonically_increasing_id()))
-    rare = (scored.select("__row", F.explode("rare").alias("word"))
-            .groupBy("__row", "word").agg(F.count("*").alias("times"))
+    rare = (scored.select("__row", F.inline("rare"))
             .join(vocabulary, "word")
             .groupBy("__row").agg(F.sum("times").alias("more"),
                                   F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more_logs")))
     score = F.col("score")
     if contexts is not None:
-        opened = stored(scored.select("__row", F.explode("open").alias("key"))
-                        .groupBy("__row", "key").agg(F.count("*").alias("times")))
+        opened = scored.select("__row", F.inline("open"))
         answers = looked_up(opened.select("key").distinct(), shared, grams, contexts)
         opened = (opened.join(answers, "key").groupBy("__row")
                   .agg(F.sum(F.col("times") * F.col("log")).alias("more_score")))
