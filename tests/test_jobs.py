@@ -1,11 +1,13 @@
 import json
+import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from messages import collect, envelope, frame, receive, report, transport
 from tubetrace.operators import issues as I
-from tubetrace.plans import jobs, relation_queries, stats
+from tubetrace.operators.rules import CATALOGUE
+from tubetrace.plans import jobs, relation_queries, standins, stats
 from tubetrace.sources.tables import KeyedTable
 
 
@@ -206,3 +208,62 @@ def test_stage_counts_leave_little_behind(spark, tmp_path):
     new = {f: n for f, n in held().items() if f not in before}
     assert counts.count() and 0 < sum(new.values()) < 500_000
     assert all("tables" in f.parts for f in new)
+
+
+def _lines_and_orders(spark, home):
+    spark.range(1500).selectExpr(
+        "id as o_orderkey", "nullif(id % 300, 11) as o_custkey", "'F' as o_orderstatus",
+        "1.0 as o_totalprice", "timestamp'2000-01-05' + make_interval(0, 0, 0, id % 3) as o_orderdate",
+        "'LOW' as o_orderpriority").write.parquet(f"{home}/orders.parquet")
+    spark.range(6000).selectExpr(
+        "nullif(id div 4 + 30, 77) as l_orderkey", "nullif(id % 70, 9) as l_partkey",
+        "nullif(id % 9, 3) as l_suppkey", "cast(id % 4 as int) as l_linenumber",
+        "if(id % 5 < 3, 'F', 'O') as l_linestatus",
+        "timestamp'2000-01-05' + make_interval(0, 0, 0, id % 4) as l_shipdate",
+    ).write.parquet(f"{home}/lineitem.parquet")
+
+
+def test_issue_stages_leave_no_shuffle_files(spark, tmp_path):
+    """Each stage is written before the next one begins, and what it shuffled goes with it."""
+    _lines_and_orders(spark, str(tmp_path))
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(d.toString()) for d in disk.localDirs()]
+
+    def shuffled():
+        return {f for d in folders for f in d.rglob("shuffle_*")}
+
+    before = shuffled()
+    for issues in (relation_queries.issue_events, relation_queries.issue_stage_counts):
+        rows = issues(spark, str(tmp_path))
+        until = time.time() + 10  # the files are removed in the background
+        while (left := shuffled() - before) and time.time() < until:
+            time.sleep(.1)
+        assert not left
+        assert rows.count()
+
+
+def test_issue_stages_by_slices_of_the_deliveries(spark, tmp_path, monkeypatch):
+    _lines_and_orders(spark, str(tmp_path))
+
+    def found():
+        return [sorted(map(str, issues(spark, str(tmp_path)).collect()))
+                for issues in (relation_queries.issue_events, relation_queries.issue_stage_counts)]
+
+    whole = found()
+    monkeypatch.setattr(standins, "LINES_PER_SLICE", 1_500)
+    assert standins.load_slices(spark, str(tmp_path))[0] == 4
+    assert found() == whole
+
+
+def test_rules_ahead_of_the_match_give_the_same_bits(spark):
+    rows = frame(spark, envelope("COLLECT_DATA", [collect(personName="#"), collect(tubeCode="T9")]),
+                 envelope("REPORT_DATA", [report(), report(checkTime=None),
+                                          report(personIdCard=None), report(tubeCode="T8")]))
+    for name, records in _matched(rows).items():
+        ahead = I.judged_alone(records, CATALOGUE[name], at(NOW))
+        once, twice = (I.judged(r, CATALOGUE[name], at(NOW)) for r in (records, ahead))
+        assert once.columns == twice.columns
+        assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+        own = records.drop(*[c for c in records.columns if c.startswith(("match", "tubeCollect"))])
+        assert own.columns != records.columns
+        assert I.judged_alone(own, CATALOGUE[name], at(NOW)).count() == records.count()
