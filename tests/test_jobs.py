@@ -242,6 +242,20 @@ def test_issue_stages_leave_no_shuffle_files(spark, tmp_path):
         assert rows.count()
 
 
+def test_stage_counts_leave_counts_only(spark, tmp_path):
+    """Tables of the way, such as loads and relations, are removed behind it."""
+    _lines_and_orders(spark, str(tmp_path))
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    settings = dict(spark.conf.getAll)
+    before = set(folder.rglob("*.parquet"))
+    counts = relation_queries.issue_stage_counts(spark, str(tmp_path))
+    assert dict(spark.conf.getAll) == settings
+    tables = {f.parent for f in folder.rglob("*.parquet") if f not in before}
+    assert len(tables) == 5
+    assert all("upload_number" in spark.read.parquet(str(t)).columns for t in tables)
+    assert {r.source for r in counts.collect()} == {1, 2, 3, 4}
+
+
 def test_issue_stages_by_slices_of_the_deliveries(spark, tmp_path, monkeypatch):
     _lines_and_orders(spark, str(tmp_path))
 
